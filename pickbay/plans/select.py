@@ -1,0 +1,53 @@
+"""Selection job: choose the SKUs to stock in the hot store and write
+selected(dt, pid, ts)."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from pickbay.operators import assortment as A
+from pickbay.operators import orders as O
+from pickbay.operators import pareto as PA
+from pickbay.operators import votes as V
+from pickbay.scenario import Scenario
+from pickbay.sinks import overwrite_partitions
+from pickbay.sources.tables import day_scan, partition_scan
+
+
+@dataclass
+class Selection:
+    flags: DataFrame
+    facts: DataFrame
+    daily: DataFrame
+    shares: DataFrame
+    params: PA.SelectionParams
+    picks: DataFrame
+    selected: DataFrame
+
+
+def selection(catalogue: DataFrame, order_lines: DataFrame, scn: Scenario) -> Selection:
+    """Per-store selection when two stores have different default ratios,
+    otherwise one joint selection (the reference's two algorithms)."""
+    cat = partition_scan(catalogue, scn)
+    facts = A.assortment_orders(cat, day_scan(order_lines, scn.yesterday))
+    flags = A.assortment_flags(cat)
+    daily = O.daily_order_count(facts)
+    shares = A.target_share(A.default_ratio(cat), scn.share_bonus)
+    params = PA.selection_params(shares)
+    if params.per_store:
+        picks = PA.pareto_pick_by_store(daily, flags, params.stores)
+        chosen = V.select_two_store(picks, scn)
+    else:
+        picks = PA.pareto_pick(daily, flags, params.joint_share)
+        chosen = V.select_joint(picks, scn)
+    return Selection(flags, facts, daily, shares, params, picks, chosen)
+
+
+def run_selection(catalogue: DataFrame, order_lines: DataFrame, scn: Scenario, out_path: str) -> None:
+    s = selection(catalogue, order_lines, scn)
+    out = s.selected.select(A.SKU, F.lit(scn.run_date).alias("dt"), F.lit(scn.pid).alias("pid"),
+                            F.lit(scn.ts).alias("ts"))
+    overwrite_partitions(out, out_path, ["dt", "pid", "ts"], fmt="orc", compression="snappy")
