@@ -11,10 +11,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickbay.operators.assortment import FUTURE, SKU, can_choose_by_sku, can_choose_flags
+from pickbay.operators.prefix import running_total, window_running_total
 
 CUM_TYPE = "decimal(38,2)"
 LIMIT_TYPE = "decimal(38,4)"
@@ -49,59 +50,74 @@ def selection_params(shares: DataFrame) -> SelectionParams:
     return SelectionParams(stores, per_store)
 
 
-def _running(order_cols) -> Window:
-    return (Window.partitionBy("sub_dt").orderBy(F.desc("ord_cnt"), *[F.asc(c) for c in order_cols])
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+# A day of the daily table holds at most one row per SKU of the catalogue, so
+# the catalogue size bounds what a per-day window puts into one task.  Up to
+# this many SKUs the window is used; beyond it the distributed running total.
+WINDOW_MAX_SKUS = 2_000_000
 
 
-def pareto_cumulative(daily: DataFrame, flags: DataFrame, share: Decimal | None) -> DataFrame:
-    """Joint form: running selectable count and the day's limit (share x all orders)."""
+def running_strategy(catalogue: DataFrame, max_skus: int | None = None) -> str:
+    """'window' when the catalogue bounds a day below `max_skus` rows, else 'range'."""
+    limit = WINDOW_MAX_SKUS if max_skus is None else max_skus
+    n = catalogue.select(SKU).distinct().count()
+    return "window" if n <= limit else "range"
+
+
+def _running(rows: DataFrame, order, value, strategy: str | None) -> DataFrame:
+    fn = window_running_total if strategy == "window" else running_total
+    return fn(rows, "sub_dt", order, value, "cumulative_total")
+
+
+def pareto_cumulative(daily: DataFrame, flags: DataFrame, share: Decimal | None,
+                      strategy: str | None = None) -> DataFrame:
+    """Joint form: running selectable count and the day's limit (share x all orders).
+
+    The day total is an aggregate (one row per day) joined back, not an
+    unordered window, so no step holds a whole day in one task.
+    """
     rows = daily.join(can_choose_by_sku(flags), SKU, "left")
-    day = Window.partitionBy("sub_dt")
+    totals = daily.groupBy("sub_dt").agg(F.sum("ord_cnt").alias("_day_total"))
+    run = _running(rows, [F.desc("ord_cnt"), F.asc(SKU)], F.col("ord_cnt") * F.col("canchoose_flag"), strategy)
     share_col = F.lit(share).cast("decimal(4,2)")
-    return rows.select(
+    return run.join(F.broadcast(totals), "sub_dt").select(
         "sub_dt", SKU, "ord_cnt", "canchoose_flag",
-        F.sum(F.col("ord_cnt") * F.col("canchoose_flag")).over(_running([SKU])).cast(CUM_TYPE).alias("cumulative_total"),
-        (F.sum("ord_cnt").over(day) * share_col).cast(LIMIT_TYPE).alias("total_ord"),
-    )
+        F.col("cumulative_total").cast(CUM_TYPE).alias("cumulative_total"),
+        (F.col("_day_total") * share_col).cast(LIMIT_TYPE).alias("total_ord"))
 
 
 def _choosable(flags: DataFrame) -> DataFrame:
     return can_choose_flags(flags).where(F.col("canchoose_flag") == 1).select(SKU).distinct()
 
 
-def pareto_pick(daily: DataFrame, flags: DataFrame, share: Decimal | None) -> DataFrame:
+def pareto_pick(daily: DataFrame, flags: DataFrame, share: Decimal | None,
+                strategy: str | None = None) -> DataFrame:
     """Joint pick: (sub_dt, sku_id) rows within the day's limit."""
-    cum = pareto_cumulative(daily, flags, share)
+    cum = pareto_cumulative(daily, flags, share, strategy)
     picked = cum.where(F.col("cumulative_total") <= F.col("total_ord")).select("sub_dt", SKU)
     return picked.join(_choosable(flags), SKU, "left_semi")
 
 
-def pareto_pick_by_store(daily: DataFrame, flags: DataFrame, stores: tuple[StoreShare, ...]) -> DataFrame:
+def pareto_pick_by_store(daily: DataFrame, flags: DataFrame, stores: tuple[StoreShare, ...],
+                         strategy: str | None = None) -> DataFrame:
     """Per-store pick: the limit counts only the store's SKUs, while the running
     total still spans every selectable SKU of the day (as the reference does).
 
-    Output (future_source_store_id, sub_dt, sku_id).  One limit column per store
-    is computed in the same window pass; the mode has at most two stores.
+    Output (future_source_store_id, store_rank, sub_dt, sku_id).  The day
+    limits are one aggregate with a column per store (the mode has two).
     """
+    if not stores:
+        return daily.sparkSession.createDataFrame(
+            [], f"{FUTURE} string, store_rank int, sub_dt date, {SKU} string")
     rows = daily.join(can_choose_flags(flags), SKU, "left")
-    day = Window.partitionBy("sub_dt")
-    limits = []
-    for s in stores:
-        in_store = F.when(F.col(FUTURE) == s.store_id, 1).otherwise(0)
-        limits.append((F.sum(F.col("ord_cnt") * in_store).over(day)
-                       * F.lit(s.share).cast("decimal(4,2)")).cast(LIMIT_TYPE).alias(f"_limit{s.rank}"))
-    cum = rows.select(
-        "sub_dt", SKU,
-        F.sum(F.col("ord_cnt") * F.col("canchoose_flag")).over(_running([SKU, FUTURE])).cast(CUM_TYPE)
-         .alias("cumulative_total"),
-        *limits)
+    limits = rows.groupBy("sub_dt").agg(*[
+        (F.sum(F.col("ord_cnt") * F.when(F.col(FUTURE) == s.store_id, 1).otherwise(0))
+         * F.lit(s.share).cast("decimal(4,2)")).cast(LIMIT_TYPE).alias(f"_limit{s.rank}") for s in stores])
+    run = _running(rows, [F.desc("ord_cnt"), F.asc(SKU), F.asc(FUTURE)],
+                   F.col("ord_cnt") * F.col("canchoose_flag"), strategy)
+    cum = run.join(F.broadcast(limits), "sub_dt")
     picks = None
     for s in stores:
         p = (cum.where(F.col("cumulative_total") <= F.col(f"_limit{s.rank}"))
              .select(F.lit(s.store_id).alias(FUTURE), F.lit(s.rank).alias("store_rank"), "sub_dt", SKU))
         picks = p if picks is None else picks.unionByName(p)
-    if picks is None:
-        return daily.sparkSession.createDataFrame(
-            [], f"{FUTURE} string, store_rank int, sub_dt date, {SKU} string")
     return picks.join(_choosable(flags), SKU, "left_semi")

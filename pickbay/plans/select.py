@@ -24,6 +24,7 @@ class Selection:
     daily: DataFrame
     shares: DataFrame
     params: PA.SelectionParams
+    strategy: str
     picks: DataFrame
     selected: DataFrame
 
@@ -37,13 +38,14 @@ def selection(catalogue: DataFrame, order_lines: DataFrame, scn: Scenario) -> Se
     daily = O.daily_order_count(facts)
     shares = A.target_share(A.default_ratio(cat), scn.share_bonus)
     params = PA.selection_params(shares)
+    strategy = PA.running_strategy(cat)
     if params.per_store:
-        picks = PA.pareto_pick_by_store(daily, flags, params.stores)
+        picks = PA.pareto_pick_by_store(daily, flags, params.stores, strategy)
         chosen = V.select_two_store(picks, scn)
     else:
-        picks = PA.pareto_pick(daily, flags, params.joint_share)
+        picks = PA.pareto_pick(daily, flags, params.joint_share, strategy)
         chosen = V.select_joint(picks, scn)
-    return Selection(flags, facts, daily, shares, params, picks, chosen)
+    return Selection(flags, facts, daily, shares, params, strategy, picks, chosen)
 
 
 def run_selection(catalogue: DataFrame, order_lines: DataFrame, scn: Scenario, out_path: str) -> None:

@@ -294,22 +294,22 @@ def q_daily_order_count(spark, sf_dir):
 
 def q_pareto_cumulative(spark, sf_dir):
     s = Inputs(spark, sf_dir).selection
-    return PA.pareto_cumulative(s.daily, s.flags, s.params.joint_share)
+    return PA.pareto_cumulative(s.daily, s.flags, s.params.joint_share, s.strategy)
 
 
 def q_pareto_pick(spark, sf_dir):
     s = Inputs(spark, sf_dir).selection
-    return PA.pareto_pick(s.daily, s.flags, s.params.joint_share)
+    return PA.pareto_pick(s.daily, s.flags, s.params.joint_share, s.strategy)
 
 
 def q_pareto_pick_by_store(spark, sf_dir):
     s = Inputs(spark, sf_dir).selection
-    return PA.pareto_pick_by_store(s.daily, s.flags, s.params.stores)
+    return PA.pareto_pick_by_store(s.daily, s.flags, s.params.stores, s.strategy)
 
 
 def _joint_picks(i: Inputs):
     s = i.selection
-    return PA.pareto_pick(s.daily, s.flags, s.params.joint_share)
+    return PA.pareto_pick(s.daily, s.flags, s.params.joint_share, s.strategy)
 
 
 def q_recency_votes(spark, sf_dir):
@@ -330,7 +330,7 @@ def q_select_joint(spark, sf_dir):
 def q_select_two_store(spark, sf_dir):
     i = Inputs(spark, sf_dir, store_thresholds=TWO_STORE_THRESHOLDS)
     s = i.selection
-    return V.select_two_store(PA.pareto_pick_by_store(s.daily, s.flags, s.params.stores), i.scn)
+    return V.select_two_store(PA.pareto_pick_by_store(s.daily, s.flags, s.params.stores, s.strategy), i.scn)
 
 
 # ---------------------------------------------------------------------------

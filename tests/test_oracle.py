@@ -26,3 +26,11 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() >= 0
     assert "hot_sku_ratio" in df.columns
+
+
+@pytest.mark.parametrize("key", ["pareto_cumulative", "pareto_pick", "pareto_pick_by_store", "select_two_store"])
+def test_distributed_running_total_matches_oracle(spark, duck, key, monkeypatch):
+    from pickbay.operators import pareto
+    monkeypatch.setattr(pareto, "WINDOW_MAX_SKUS", 0)  # force the range-partitioned running total
+    ok, n_spark, n_duck, _, detail = compare_key(spark, duck, SF_SMALL, key, queries()[key], oracle_sql()[key])
+    assert ok, f"{key}: spark={n_spark} duck={n_duck} {detail}"
