@@ -3,8 +3,9 @@ and store proportions, and write ratio_result(dt, pid, ts)."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,61 +18,117 @@ from pickbay.sinks import overwrite_partitions
 from pickbay.sources.tables import day_scan, partition_scan
 
 
-@dataclass
 class Division:
-    catalogue: DataFrame
-    flags: DataFrame
-    marked_catalogue: DataFrame
-    facts: DataFrame
-    marked_facts: DataFrame
-    order_flags: DataFrame
-    split: DataFrame
-    stock: DataFrame
-    recent: DataFrame
-    transfer: DataFrame
-    info: DataFrame
-    prelim: DataFrame
-    stock_prop: DataFrame
-    ratios: DataFrame
-    order_table: DataFrame
-    proportions: DataFrame
-    store: DataFrame
-    final: DataFrame
+    """Every relation of the division job, each built on first use.
+
+    `reuse` (e.g. ``lambda df: df.checkpoint()``) is applied to the marked order
+    facts, which feed five consumers, and to the marked catalogue, which feeds
+    three.  Each consumer prunes different columns, so without it every one
+    re-scans and re-joins the order lines.  The job runner uses a reliable
+    checkpoint, so a lost executor does not force a re-scan either.
+    """
+
+    def __init__(self, catalogue: DataFrame, selected: DataFrame, order_lines: DataFrame, stock: DataFrame,
+                 transfers: DataFrame, scn: Scenario, reuse=None):
+        # inputs may be DataFrames or zero-argument callables returning one
+        self._src = dict(catalogue=catalogue, selected=selected, order_lines=order_lines, stock=stock,
+                         transfers=transfers)
+        self.scn = scn
+        self._reuse = reuse or (lambda df: df)
+
+    def _input(self, name: str) -> DataFrame:
+        src = self._src[name]
+        return src() if callable(src) else src
+
+    @cached_property
+    def catalogue(self):
+        cat = partition_scan(self._input("catalogue"), self.scn)
+        if self.scn.dc_id is not None:
+            cat = cat.where(F.col("dc_id") == self.scn.dc_id)
+        return cat
+
+    @cached_property
+    def selected(self):
+        return partition_scan(self._input("selected"), self.scn).select(A.SKU)
+
+    @cached_property
+    def flags(self):
+        return A.assortment_flags(self.catalogue)
+
+    @cached_property
+    def marked_catalogue(self):
+        return self._reuse(A.mark_selected(self.catalogue, self.selected, self.flags))
+
+    @cached_property
+    def facts(self):
+        return A.assortment_orders(self.catalogue, day_scan(self._input("order_lines"), self.scn.yesterday))
+
+    @cached_property
+    def marked_facts(self):
+        return self._reuse(A.mark_facts(self.facts, self.selected))
+
+    @cached_property
+    def order_flags(self):
+        return O.order_flags(self.marked_facts)
+
+    @cached_property
+    def split(self):
+        return D.sku_split_sales(self.marked_facts, self.order_flags)
+
+    @cached_property
+    def stock(self):
+        return D.stock_by_future_store(self.marked_catalogue, D.stock_clean(self._input("stock"), self.scn))
+
+    @cached_property
+    def recent(self):
+        return D.recent_sales(self.marked_facts, self.scn)
+
+    @cached_property
+    def transfer(self):
+        return D.transfer_qty(self.marked_catalogue, self._input("transfers"), self.scn)
+
+    @cached_property
+    def info(self):
+        return D.selected_info(self.marked_catalogue)
+
+    @cached_property
+    def prelim(self):
+        return D.preliminary_result(self.info, self.split, self.stock, self.transfer, self.recent)
+
+    @cached_property
+    def stock_prop(self):
+        return P.stock_proportion(self.stock, self.prelim)
+
+    @cached_property
+    def ratios(self):
+        return A.default_ratio(self.catalogue)
+
+    @cached_property
+    def order_table(self):
+        return P.order_store_table(self.marked_facts)
+
+    @cached_property
+    def proportions(self):
+        return P.order_proportions(self.order_table, self.ratios)
+
+    @cached_property
+    def store(self):
+        return P.store_result(self.proportions, self.stock_prop)
+
+    @cached_property
+    def final(self):
+        return P.final_result(self.prelim, self.store)
 
 
 def division(catalogue: DataFrame, selected: DataFrame, order_lines: DataFrame, stock: DataFrame,
              transfers: DataFrame, scn: Scenario, reuse=None) -> Division:
-    """Build every relation of the division job lazily.
+    return Division(catalogue, selected, order_lines, stock, transfers, scn, reuse)
 
-    `reuse` (e.g. ``lambda df: df.checkpoint()``) is applied to the marked order
-    facts, which feed five consumers; the job runner uses a reliable checkpoint
-    so a lost executor does not force a re-scan of the order lines.
-    """
-    cat = partition_scan(catalogue, scn)
-    if scn.dc_id is not None:
-        cat = cat.where(F.col("dc_id") == scn.dc_id)
-    sel = partition_scan(selected, scn).select(A.SKU)
-    flags = A.assortment_flags(cat)
-    marked_cat = A.mark_selected(cat, sel, flags)
-    facts = A.assortment_orders(cat, day_scan(order_lines, scn.yesterday))
-    marked = A.mark_facts(facts, sel)
-    if reuse is not None:
-        marked = reuse(marked)
-    oflags = O.order_flags(marked)
-    split = D.sku_split_sales(marked, oflags)
-    stock_f = D.stock_by_future_store(marked_cat, D.stock_clean(stock, scn))
-    recent = D.recent_sales(marked, scn)
-    transfer = D.transfer_qty(marked_cat, transfers, scn)
-    info = D.selected_info(marked_cat)
-    prelim = D.preliminary_result(info, split, stock_f, transfer, recent)
-    stock_prop = P.stock_proportion(stock_f, prelim)
-    ratios = A.default_ratio(cat)
-    table = P.order_store_table(marked)
-    props = P.order_proportions(table, ratios)
-    store = P.store_result(props, stock_prop)
-    final = P.final_result(prelim, store)
-    return Division(cat, flags, marked_cat, facts, marked, oflags, split, stock_f, recent, transfer, info,
-                    prelim, stock_prop, ratios, table, props, store, final)
+
+def persisted(df: DataFrame) -> DataFrame:
+    """Keep a relation for its several consumers (memory, spilling to disk;
+    lost blocks are recomputed from lineage)."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def run_division(catalogue, selected, order_lines, stock, transfers, scn: Scenario, out_path: str) -> None:

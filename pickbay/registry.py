@@ -23,12 +23,15 @@ from pickbay.operators import proportions as P
 from pickbay.operators import purchase as PU
 from pickbay.operators import votes as V
 from pickbay.plans import divide, ingest, select
-from pickbay.session import ensure_checkpoint_dir, scratch_path
+from pickbay.session import ensure_checkpoint_dir, path_bytes, scratch_path
 from pickbay.sinks import drop_partitions_before, export_csv, overwrite_partitions, replace_table
 from pickbay.sources import testdata as T
 from pickbay.sources.tables import as_of, partition_scan, read_csv_upload, read_partitioned
 
 HEAD_N = 20
+# Above this input size the division job keeps its shared relations (order
+# facts, marked catalogue) instead of recomputing them for each consumer.
+REUSE_MIN_BYTES = 1 << 30
 # Vote thresholds of the per-store selection for the test tables: the mapped
 # data has too few picked days for the production values (18, 16) to keep
 # SKUs of the second store (FIXTURES.md, selection facts).
@@ -78,8 +81,16 @@ class Inputs:
 
     @property
     def division(self) -> divide.Division:
-        return self._get("div", lambda: divide.division(self.catalogue, self.selected, self.order_lines,
-                                                        self.stock, self.transfers, self.scn))
+        return self._get("div", lambda: divide.division(
+            lambda: self.catalogue, lambda: self.selected, lambda: self.order_lines,
+            lambda: self.stock, lambda: self.transfers, self.scn, reuse=self.reuse))
+
+    @property
+    def reuse(self):
+        """Keep the shared division relations only when the order lines are big
+        enough that re-scanning them costs more than materialising them."""
+        size = path_bytes(self.spark, f"{self.sf_dir}/lineitem.parquet")
+        return divide.persisted if size >= REUSE_MIN_BYTES else None
 
     @property
     def upload_all(self):

@@ -71,3 +71,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if root.startswith("file:"):
         root = root[len("file:"):]
     return os.path.join(root, "pickbay-tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under `path` (one metadata call on the file system)."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(jpath).getLength()) if fs.exists(jpath) else 0
