@@ -22,8 +22,9 @@ def flag(cond: Column) -> Column:
 
 
 def day_of(c) -> Column:
-    """Calendar day of a timestamp, date or 'yyyy-MM-dd...' text."""
-    return F.to_date(_col(c))
+    """Calendar day of a timestamp, date or 'yyyy-MM-dd...' text; text that is
+    not a date gives null (ANSI `to_date` would fail the job)."""
+    return _col(c).try_cast("date")
 
 
 def minute_text(c) -> Column:
@@ -61,8 +62,9 @@ def valid_after(check_tm, submit_tm) -> Column:
 
 
 def latest_order_time(end_date_text: str, lead_days, default_days: int) -> Column:
-    """'yyyy-MM-dd HH:mm' of end day 23:59 minus the lead time in days."""
-    end_sec = F.unix_timestamp(F.lit(f"{end_date_text} 23:59"), "yyyy-MM-dd HH:mm")
+    """'yyyy-MM-dd HH:mm' of end day 23:59 minus the lead time in days (whole
+    seconds, floored); wall-clock arithmetic, independent of the session zone."""
     lead = F.coalesce(_col(lead_days).cast("double"), F.lit(float(default_days)))
-    return F.date_format(F.timestamp_seconds(F.floor(end_sec - F.lit(86400) * lead)), "yyyy-MM-dd HH:mm")
-
+    back = F.floor(F.lit(86400) * lead).cast("bigint")
+    end = F.lit(f"{end_date_text} 23:59:00").cast("timestamp_ntz")
+    return F.date_format(F.timestamp_add("SECOND", -back, end), "yyyy-MM-dd HH:mm")

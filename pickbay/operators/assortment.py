@@ -77,8 +77,9 @@ def assortment_orders(catalogue: DataFrame, order_lines: DataFrame) -> DataFrame
     which is an inner join; it is written as one here.
     """
     a = catalogue.select(SKU, F.col(CURRENT).alias("store_id"), FUTURE)
-    b = (order_lines.where(F.col("sale_qtty") >= 0)
-         .select(SKU, "store_id", F.col("parent_sale_ord_id").alias("ord_id"), "sale_qtty",
+    qty = F.col("sale_qtty").try_cast("double")  # raw quantities may be text
+    b = (order_lines.where(qty >= 0)
+         .select(SKU, "store_id", F.col("parent_sale_ord_id").alias("ord_id"), qty.alias("sale_qtty"),
                  day_of("out_wh_tm").alias("sub_dt")))
     return (a.join(b, ["store_id", SKU], "inner")
             .where(F.col("sub_dt").isNotNull())

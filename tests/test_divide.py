@@ -81,3 +81,16 @@ def test_proportions_against_brute_force(spark):
     got_all = {r.future_source_store_id: (r.ord_proportion, r.sale_proportion)
                for r in P.order_proportions(table, three).collect()}
     assert got_all == all_form
+
+
+def test_dirty_text_order_lines(spark):
+    """Text quantities and times: bad values drop the line instead of failing the job."""
+    from pickbay.operators import assortment as A
+    cat = spark.createDataFrame([("a", "1", "38")], "sku_id string, current_source_store_id string, "
+                                "future_source_store_id string")
+    lines = spark.createDataFrame(
+        [("a", "1", "2018-10-20 10:00:00", "o1", "3"), ("a", "1", "2018-10-21", "o2", "x"),
+         ("a", "1", "", "o3", "1"), ("a", "1", "not a date", "o4", "2"), ("a", "1", "2018-10-22 08:00:00", "o5", "-1")],
+        "sku_id string, store_id string, out_wh_tm string, parent_sale_ord_id string, sale_qtty string")
+    got = sorted((r.ord_id, str(r.sub_dt), r.sale_qtty) for r in A.assortment_orders(cat, lines).collect())
+    assert got == [("o1", "2018-10-20", 3.0)]
