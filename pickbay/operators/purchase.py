@@ -158,9 +158,10 @@ def purchase_wide(header: DataFrame, booking: DataFrame, inbound: DataFrame, bac
                   cancel_dedup: str | None = None) -> DataFrame:
     """The 46-column purchase wide table, bound by name.
 
-    Order of joins: the small dimension (broadcast) and the one-row-per-key
-    sides first, the sides that fan out (receipts, confirmations, cancels)
-    last, so the rows that get multiplied are shuffled as late as possible.
+    Order of joins: lead time and the DC dimension (broadcast) on (sku, dc),
+    then receipts on (bill, sku), then everything keyed by the bill alone, so
+    the wide side is shuffled once per key set; the per-bill sides that fan
+    out (confirmations, cancels) come last.
     """
     base = with_lead_and_dc(header, stock_out, dc_info, pw)
     r3 = booking_latest(booking, pw).withColumnRenamed("poid", "pur_bill_id")
@@ -171,9 +172,11 @@ def purchase_wide(header: DataFrame, booking: DataFrame, inbound: DataFrame, bac
     r4 = supplier_backinfo(backinfo, pw).withColumnRenamed("orderid", "pur_bill_id")
     r6 = cancel_events(lifecycle, pw, cancel_dedup).withColumnRenamed("poid", "pur_bill_id") \
         .withColumnRenamed("creator", "cancel_creator")
-    j = (base.join(r3, "pur_bill_id", "left")
+    # The receipt join is keyed on (bill, sku); every later join is keyed on
+    # the bill alone and reuses one partitioning of the wide side.
+    j = (base.join(r2.withColumn("purchase_ib_id", F.col("pur_bill_id")), ["pur_bill_id", "sku_id"], "left")
+         .join(r3, "pur_bill_id", "left")
          .join(r5, "pur_bill_id", "left")
-         .join(r2.withColumn("purchase_ib_id", F.col("pur_bill_id")), ["pur_bill_id", "sku_id"], "left")
          .join(r4, "pur_bill_id", "left")
          .join(r6, "pur_bill_id", "left"))
     return j.select(
