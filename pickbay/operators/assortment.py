@@ -70,24 +70,28 @@ def mark_selected(catalogue: DataFrame, selected: DataFrame, flags: DataFrame) -
             .drop("_sel", "_mov"))
 
 
-def assortment_orders(catalogue: DataFrame, order_lines: DataFrame) -> DataFrame:
-    """Order facts: order lines shipped from a SKU's current store.
+def assortment_orders(catalogue: DataFrame, order_lines: DataFrame, carry=()) -> DataFrame:
+    """Order facts: order lines shipped from a SKU's current store, plus the
+    catalogue columns in `carry` (e.g. is_selected of a marked catalogue).
 
     The reference writes a left join followed by `out_wh_tm is not null`,
-    which is an inner join; it is written as one here.
+    which is an inner join; it is written as one here.  Both sides are scans,
+    so a SKU holding a large share of the lines is split by AQE's skew join
+    (or the catalogue is broadcast when it measures small).
     """
-    a = catalogue.select(SKU, F.col(CURRENT).alias("store_id"), FUTURE)
+    a = catalogue.select(SKU, F.col(CURRENT).alias("store_id"), FUTURE, *carry)
     qty = F.col("sale_qtty").try_cast("double")  # raw quantities may be text
     b = (order_lines.where(qty >= 0)
          .select(SKU, "store_id", F.col("parent_sale_ord_id").alias("ord_id"), qty.alias("sale_qtty"),
                  day_of("out_wh_tm").alias("sub_dt")))
     return (a.join(b, ["store_id", SKU], "inner")
             .where(F.col("sub_dt").isNotNull())
-            .select(SKU, FUTURE, "sub_dt", "ord_id", "sale_qtty"))
+            .select(SKU, FUTURE, "sub_dt", "ord_id", "sale_qtty", *carry))
 
 
 def mark_facts(facts: DataFrame, selected: DataFrame) -> DataFrame:
-    """Order facts + is_selected."""
+    """Order facts + is_selected (for facts built from an unmarked catalogue;
+    the division job carries is_selected from the marked catalogue instead)."""
     chosen = selected.select(SKU).distinct().withColumn("_sel", F.lit(1))
     return (facts.join(chosen, SKU, "left")
             .withColumn("is_selected", F.coalesce("_sel", F.lit(0)))

@@ -16,12 +16,18 @@ TRANSFER_STATUSES = ["41", "42"]
 
 
 def sku_split_sales(marked_facts: DataFrame, flags: DataFrame) -> DataFrame:
-    """Per selected SKU: units in orders marked servable (sale_in_hot) and all units."""
-    sel = marked_facts.where(F.col("is_selected") == 1).select("ord_id", SKU, "sale_qtty")
-    j = sel.join(flags, "ord_id", "left")
+    """Per selected SKU: units in orders marked servable (sale_in_hot) and all units.
+
+    Selected lines are summed per (order, SKU) before the join with the order
+    flags, so an order holding a large share of all lines enters the join
+    with one row per distinct SKU, a size bounded by the catalogue.
+    """
+    per_order_sku = (marked_facts.where(F.col("is_selected") == 1)
+                     .groupBy("ord_id", SKU).agg(F.sum("sale_qtty").alias("qty")))
+    j = per_order_sku.join(flags, "ord_id", "left")
     return j.groupBy(SKU).agg(
-        F.sum(F.when(F.col("choice_flag") == 1, F.col("sale_qtty")).otherwise(0)).alias("sale_in_hot"),
-        F.sum("sale_qtty").alias("sale_total"))
+        F.sum(F.when(F.col("choice_flag") == 1, F.col("qty")).otherwise(0)).alias("sale_in_hot"),
+        F.sum("qty").alias("sale_total"))
 
 
 def stock_clean(stock: DataFrame, scn: Scenario) -> DataFrame:

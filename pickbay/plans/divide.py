@@ -65,7 +65,9 @@ class Division:
 
     @cached_property
     def marked_facts(self):
-        return self._reuse(A.mark_facts(self.facts, self.selected))
+        # is_selected comes with the catalogue side of the one facts join
+        lines = day_scan(self._input("order_lines"), self.scn.yesterday)
+        return self._reuse(A.assortment_orders(self.marked_catalogue, lines, carry=["is_selected"]))
 
     @cached_property
     def order_flags(self):
