@@ -28,12 +28,14 @@ ORDER_LINE_SCHEMA = ("sku_id string, store_id string, out_wh_tm timestamp_ntz, i
 def ingest_order_lines(raw: DataFrame, scn: Scenario) -> DataFrame:
     """Valid general-order lines shipped in [run - history_days, run - 1].
 
-    Raw partitions are dated when a row arrived, which is never before the
-    ship day, so `dt >= first day` bounds the scan (partition pruning) and
-    still picks up rows that arrived late.
+    A row counts when its raw partition is not older than its ship day
+    (`dt >= ship day`, the union of the reference's per-day queries); rows that
+    arrive late in a newer partition are picked up.  `dt >= first day` is
+    implied and stated separately so the scan prunes partitions.
     """
     day = day_of("out_wh_tm")
     keep = ((F.col("dt") >= F.lit(scn.history_start))
+            & (F.col("dt") >= day)
             & day.between(F.lit(scn.history_start), F.lit(scn.yesterday))
             & (F.col("sale_ord_type_cd") == "0")
             & (F.col("sale_ord_valid_flag") == 1)

@@ -26,7 +26,7 @@ from pickbay.plans import divide, ingest, select
 from pickbay.session import ensure_checkpoint_dir, path_bytes, scratch_path
 from pickbay.sinks import drop_partitions_before, export_csv, overwrite_partitions, replace_table
 from pickbay.sources import testdata as T
-from pickbay.sources.tables import as_of, partition_scan, read_csv_upload, read_partitioned
+from pickbay.sources.tables import as_of, day_scan, partition_scan, read_csv_upload, read_partitioned
 
 HEAD_N = 20
 # Above this input size the division job keeps its shared relations (order
@@ -154,7 +154,7 @@ def q_assortment_orders(spark, sf_dir):
 
 def q_assortment_orders_unsold(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return A.assortment_orders_unsold(i.marked_upload, i.order_lines)
+    return A.assortment_orders_unsold(i.marked_upload, day_scan(i.order_lines, i.scn.yesterday))
 
 
 def q_default_ratio(spark, sf_dir):

@@ -80,3 +80,10 @@ def test_stream_ingest_reads_each_drop_once(spark):
     out = stream_backfill(spark, _raw(spark), SCN)
     assert sorted((r.sku_id, r.sub_dt) for r in out.collect()) == [
         ("a", dt.date(2000, 12, 1)), ("b", dt.date(2000, 12, 31))]
+
+
+def test_ingest_skips_rows_filed_before_their_ship_day(spark):
+    early = spark.createDataFrame(
+        [("z", "1", dt.datetime(2000, 12, 10, 9), "c", "oz", 1.0, "0", "0", 1, "1", dt.date(2000, 12, 9))],
+        RAW_SCHEMA)
+    assert ingest.ingest_order_lines(early, SCN).count() == 0
