@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 
 from pickbay.plans import divide, ingest, purchase, select
 from pickbay.scenario import PurchaseWindow, Scenario
-from pickbay.session import ensure_checkpoint_dir
+from pickbay.session import ensure_checkpoint_dir, size_shuffles
 
 
 def _read(spark: SparkSession, path: str, fmt: str):
@@ -40,7 +40,8 @@ def parser() -> argparse.ArgumentParser:
         if scenario:
             sp.add_argument("--pid", required=True)
             sp.add_argument("--ts", required=True)
-        sp.add_argument("--format", default="parquet")
+        sp.add_argument("--format", default="parquet", help="input table format")
+        sp.add_argument("--out-format", help="output format (default: the job's own)")
         sp.add_argument("--out", required=True)
 
     sp = sub.add_parser("ingest", help="order_line backfill of the last 31 ship days")
@@ -71,21 +72,27 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"pickbay-{a.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
+    inputs = [v for k, v in vars(a).items()
+              if k not in ("job", "date", "pid", "ts", "format", "out_format", "out", "thresholds", "dc_id",
+                           "cancel_dedup") and v]
+    size_shuffles(spark, inputs)
     fmt = a.format
+    out_fmt = {"out_format": a.out_format} if a.out_format else {}
     if a.job == "ingest":
         scn = Scenario(run_date=a.date, pid="", ts="")
         ingest.backfill(spark, _read(spark, a.raw, fmt), a.out, scn)
     elif a.job == "select":
-        select.run_selection(_read(spark, a.catalogue, fmt), _read(spark, a.order_lines, fmt), _scenario(a), a.out)
+        select.run_selection(_read(spark, a.catalogue, fmt), _read(spark, a.order_lines, fmt), _scenario(a), a.out,
+                             **out_fmt)
     elif a.job == "divide":
         divide.run_division(_read(spark, a.catalogue, fmt), _read(spark, a.selected, fmt),
                             _read(spark, a.order_lines, fmt), _read(spark, a.stock, fmt),
-                            _read(spark, a.transfers, fmt), _scenario(a), a.out)
+                            _read(spark, a.transfers, fmt), _scenario(a), a.out, **out_fmt)
     else:
         pw = PurchaseWindow(end_date=a.date)
         names = {"sku_info": a.sku_info, "detail": a.detail, "booking": a.booking, "inbound": a.inbound,
                  "backinfo": a.backinfo, "lifecycle": a.lifecycle, "stock_out": a.stock_out, "dc_info": a.dc_info}
-        purchase.run_purchase(a.out, pw, cancel_dedup=a.cancel_dedup,
+        purchase.run_purchase(a.out, pw, cancel_dedup=a.cancel_dedup, **out_fmt,
                               **{k: _read(spark, v, fmt) for k, v in names.items()})
     return 0
 

@@ -133,7 +133,8 @@ def persisted(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def run_division(catalogue, selected, order_lines, stock, transfers, scn: Scenario, out_path: str) -> None:
+def run_division(catalogue, selected, order_lines, stock, transfers, scn: Scenario, out_path: str,
+                 out_format: str = "orc") -> None:
     d = division(catalogue, selected, order_lines, stock, transfers, scn, reuse=lambda df: df.checkpoint())
     out = d.final.select("*", F.lit(scn.run_date).alias("dt"), F.lit(scn.pid).alias("pid"), F.lit(scn.ts).alias("ts"))
-    overwrite_partitions(out, out_path, ["dt", "pid", "ts"], fmt="orc", compression="snappy")
+    overwrite_partitions(out, out_path, ["dt", "pid", "ts"], fmt=out_format, compression="snappy")

@@ -18,6 +18,7 @@ def wide_table(sku_info: DataFrame, detail: DataFrame, booking: DataFrame, inbou
     return PU.purchase_wide(header, booking, inbound, backinfo, lifecycle, stock_out, dc_info, pw, cancel_dedup)
 
 
-def run_purchase(out_path: str, pw: PurchaseWindow, **inputs) -> None:
+def run_purchase(out_path: str, pw: PurchaseWindow, out_format: str = "parquet", **inputs) -> None:
     wide = wide_table(pw=pw, **inputs).withColumn("dt", F.lit(pw.end_date))
-    overwrite_partitions(wide, out_path, ["dt"])
+    options = {"sep": "\t", "header": "false"} if out_format == "csv" else {}
+    overwrite_partitions(wide, out_path, ["dt"], fmt=out_format, **options)

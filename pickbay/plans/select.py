@@ -48,8 +48,9 @@ def selection(catalogue: DataFrame, order_lines: DataFrame, scn: Scenario) -> Se
     return Selection(flags, facts, daily, shares, params, strategy, picks, chosen)
 
 
-def run_selection(catalogue: DataFrame, order_lines: DataFrame, scn: Scenario, out_path: str) -> None:
+def run_selection(catalogue: DataFrame, order_lines: DataFrame, scn: Scenario, out_path: str,
+                  out_format: str = "orc") -> None:
     s = selection(catalogue, order_lines, scn)
     out = s.selected.select(A.SKU, F.lit(scn.run_date).alias("dt"), F.lit(scn.pid).alias("pid"),
                             F.lit(scn.ts).alias("ts"))
-    overwrite_partitions(out, out_path, ["dt", "pid", "ts"], fmt="orc", compression="snappy")
+    overwrite_partitions(out, out_path, ["dt", "pid", "ts"], fmt=out_format, compression="snappy")

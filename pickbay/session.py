@@ -79,3 +79,22 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return int(fs.getContentSummary(jpath).getLength()) if fs.exists(jpath) else 0
+
+
+# Initial shuffle partitions per input byte: AQE starts from this many
+# partitions and coalesces small ones, so it should err on the high side.
+BYTES_PER_SHUFFLE_PARTITION = 128 << 20
+MIN_SHUFFLE_PARTITIONS, MAX_SHUFFLE_PARTITIONS = 200, 100_000
+
+
+def size_shuffles(spark: SparkSession, paths) -> int | None:
+    """Set the initial shuffle partition count from the input size, unless the
+    submit configuration already chose one.  Returns the value set, if any."""
+    submitted = spark.sparkContext.getConf()
+    if submitted.contains("spark.sql.shuffle.partitions") or \
+            submitted.contains("spark.sql.adaptive.coalescePartitions.initialPartitionNum"):
+        return None
+    total = sum(path_bytes(spark, p) for p in paths)
+    n = max(MIN_SHUFFLE_PARTITIONS, min(MAX_SHUFFLE_PARTITIONS, total // BYTES_PER_SHUFFLE_PARTITION))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
