@@ -89,15 +89,6 @@ def assortment_orders(catalogue: DataFrame, order_lines: DataFrame, carry=()) ->
             .select(SKU, FUTURE, "sub_dt", "ord_id", "sale_qtty", *carry))
 
 
-def mark_facts(facts: DataFrame, selected: DataFrame) -> DataFrame:
-    """Order facts + is_selected (for facts built from an unmarked catalogue;
-    the division job carries is_selected from the marked catalogue instead)."""
-    chosen = selected.select(SKU).distinct().withColumn("_sel", F.lit(1))
-    return (facts.join(chosen, SKU, "left")
-            .withColumn("is_selected", F.coalesce("_sel", F.lit(0)))
-            .drop("_sel"))
-
-
 def marked_upload_catalogue(upload_all: DataFrame, upload_selected: DataFrame) -> DataFrame:
     """Distinct (sku, current store, future store, is_selected) of the uploaded
     catalogue, marked against the uploaded selection."""

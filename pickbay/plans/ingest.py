@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pickbay.functions import day_of
 from pickbay.scenario import Scenario
 from pickbay.sinks import drop_partitions_before, overwrite_partitions
+from pickbay.sources.tables import read_tsv
 
 ORDER_LINE_COLS = ["sku_id", "store_id", "out_wh_tm", "item_third_cate_cd", "parent_sale_ord_id",
                    "sale_qtty", "split_status_cd"]
@@ -53,4 +54,4 @@ def backfill(spark: SparkSession, raw: DataFrame, path: str, scn: Scenario) -> l
 
 
 def read_order_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ORDER_LINE_SCHEMA).option("sep", "\t").csv(path)
+    return read_tsv(spark, path, ORDER_LINE_SCHEMA)

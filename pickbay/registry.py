@@ -23,7 +23,7 @@ from pickbay.operators import proportions as P
 from pickbay.operators import purchase as PU
 from pickbay.operators import votes as V
 from pickbay.plans import divide, ingest, select
-from pickbay.session import ensure_checkpoint_dir, path_bytes, scratch_path
+from pickbay.session import path_bytes, scratch_path
 from pickbay.sinks import drop_partitions_before, export_csv, overwrite_partitions, replace_table
 from pickbay.sources import testdata as T
 from pickbay.sources.tables import as_of, day_scan, partition_scan, read_csv_upload, read_partitioned
@@ -514,4 +514,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
-__all__ = ["queries", "Inputs", "ensure_checkpoint_dir"]
+__all__ = ["queries", "Inputs"]

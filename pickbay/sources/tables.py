@@ -50,6 +50,6 @@ def read_csv_upload(spark: SparkSession, path: str, schema: StructType, day: _dt
     return df.withColumn("dt", F.lit(day))
 
 
-def read_tsv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, schema) -> DataFrame:
     """Tab-separated partitioned text table (no header)."""
     return spark.read.schema(schema).option("sep", "\t").csv(path)

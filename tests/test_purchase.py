@@ -67,3 +67,10 @@ def test_cancel_dedup_latest(spark):
     assert PU.cancel_events(chain, PW).count() == 2
     last = PU.cancel_events(chain, PW, dedup="latest").collect()
     assert [(r.cancel_type, r.creator) for r in last] == [("120", "u2")]
+
+
+def test_wide_table_has_the_46_columns_in_order(spark):
+    from pickbay.registry import queries
+    from conftest import SF_SMALL
+    cols = queries()["purchase_wide"](spark, SF_SMALL).columns
+    assert cols == PU.WIDE_COLS and len(cols) == 46
