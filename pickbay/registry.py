@@ -239,6 +239,13 @@ def q_final_result(spark, sf_dir):
     return Inputs(spark, sf_dir).division.final
 
 
+def q_upload_final_result(spark, sf_dir):
+    """The offline check's result table, from the uploaded catalogue and selection."""
+    from pickbay.plans.verify import upload_check_result
+    i = Inputs(spark, sf_dir)
+    return upload_check_result(i.upload_all, i.upload_selected, i.order_lines, i.stock, i.transfers, i.scn)
+
+
 def q_verify_marked_catalogue(spark, sf_dir):
     return Inputs(spark, sf_dir).marked_upload
 
