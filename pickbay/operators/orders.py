@@ -9,18 +9,23 @@ SKU, FUTURE = "sku_id", "future_source_store_id"
 
 
 def order_store_summary(marked_facts: DataFrame) -> DataFrame:
-    """Per (order, future store): does the order hold selected / unselected lines there.
-
-    First level of the order marking.  Partial aggregation runs map-side, so a
-    very large order is reduced before the shuffle.
+    """Per (order, future store): whether selected / unselected lines are there,
+    the line count and the units.
+
+    The one aggregation of the lines that both the order marking and the
+    order / sales proportions read, so the facts are shuffled once for both.
+    Partial aggregation runs map-side, so a very large order is reduced before
+    the shuffle.  Lines without an order id form their own groups (they count
+    for units, not for lines, as COUNT(ord_id) does).
     """
-    return (marked_facts.where(F.col("ord_id").isNotNull())
-            .groupBy("ord_id", FUTURE)
-            .agg(F.max("is_selected").alias("has_sel"),
-                 F.max(1 - F.col("is_selected")).alias("has_unsel")))
+    return marked_facts.groupBy("ord_id", FUTURE).agg(
+        F.max("is_selected").alias("has_sel"),
+        F.max(1 - F.col("is_selected")).alias("has_unsel"),
+        F.count("ord_id").alias("n_lines"),
+        F.sum("sale_qtty").alias("qty"))
 
 
-def order_flags(marked_facts: DataFrame) -> DataFrame:
+def flags_from_summary(summary: DataFrame) -> DataFrame:
     """choice_flag per order: 1 when the order can be served without a new split.
 
     With f1 = stores, f2 = distinct is_selected values, g1 = distinct (store,
@@ -31,7 +36,7 @@ def order_flags(marked_facts: DataFrame) -> DataFrame:
     COUNT(DISTINCT ...).  Lines without an order id are not marked (they never
     join back to an order).
     """
-    s = order_store_summary(marked_facts)
+    s = summary.where(F.col("ord_id").isNotNull())
     has_store = F.col(FUTURE).isNotNull()
     per_order = s.groupBy("ord_id").agg(
         F.count(FUTURE).alias("f1"),
@@ -46,11 +51,14 @@ def order_flags(marked_facts: DataFrame) -> DataFrame:
     return per_order.select("ord_id", F.when(ok, 1).otherwise(0).alias("choice_flag"))
 
 
+def order_flags(marked_facts: DataFrame) -> DataFrame:
+    return flags_from_summary(order_store_summary(marked_facts))
+
+
 def order_pick_flag(marked_facts: DataFrame) -> DataFrame:
     """Per (order, future store): 1 when every line of the order in that store is selected."""
-    return (marked_facts.where(F.col("ord_id").isNotNull())
-            .groupBy("ord_id", FUTURE)
-            .agg(F.min("is_selected").alias("pick_flag")))
+    s = order_store_summary(marked_facts).where(F.col("ord_id").isNotNull())
+    return s.select("ord_id", FUTURE, (1 - F.col("has_unsel")).alias("pick_flag"))
 
 
 def order_weight(facts: DataFrame) -> DataFrame:

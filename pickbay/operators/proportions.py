@@ -23,10 +23,10 @@ def stock_proportion(stock: DataFrame, prelim: DataFrame) -> DataFrame:
          .alias("stock_proportion"))
 
 
-def order_store_table(marked_facts: DataFrame) -> DataFrame:
-    """Everything the order / sales proportions need, one row per future store.
+def order_store_table(summary: DataFrame) -> DataFrame:
+    """Everything the order / sales proportions need, one row per future store,
+    from the (order, store) summary of :func:`orders.order_store_summary`.
 
-    Per (order, store): lines, units and whether all lines there are selected.
     A window over the order (at most one row per store, so a huge order stays
     small here) adds the order's total lines / units and whether the whole
     order is selected.  One aggregation per store then yields both forms:
@@ -36,17 +36,14 @@ def order_store_table(marked_facts: DataFrame) -> DataFrame:
     * all-store form: lines / units in that store of orders that are entirely
       selected, over the store's own lines / units.
     """
-    per = marked_facts.groupBy("ord_id", FUTURE).agg(
-        F.count("ord_id").alias("n_lines"),
-        F.sum("sale_qtty").alias("qty"),
-        F.min("is_selected").alias("pick"))
     order = Window.partitionBy("ord_id")
     known = F.col("ord_id").isNotNull()
-    per = per.select(
-        "*",
+    pick = 1 - F.col("has_unsel")
+    per = summary.select(
+        "ord_id", FUTURE, "n_lines", "qty", pick.alias("pick"),
         F.sum("n_lines").over(order).alias("order_lines"),
         F.sum("qty").over(order).alias("order_qty"),
-        F.when(known, F.min("pick").over(order)).alias("order_pick"))
+        F.when(known, F.min(pick).over(order)).alias("order_pick"))
     picked = known & (F.col("pick") == 1)
     all_picked = F.col("order_pick") == 1
     return per.groupBy(FUTURE).agg(

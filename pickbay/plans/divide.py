@@ -69,9 +69,13 @@ class Division:
         lines = day_scan(self._input("order_lines"), self.scn.yesterday)
         return self._reuse(A.assortment_orders(self.marked_catalogue, lines, carry=["is_selected"]))
 
+    @cached_property
+    def order_summary(self):
+        return O.order_store_summary(self.marked_facts)
+
     @cached_property
     def order_flags(self):
-        return O.order_flags(self.marked_facts)
+        return O.flags_from_summary(self.order_summary)
 
     @cached_property
     def split(self):
@@ -107,7 +111,7 @@ class Division:
 
     @cached_property
     def order_table(self):
-        return P.order_store_table(self.marked_facts)
+        return P.order_store_table(self.order_summary)
 
     @cached_property
     def proportions(self):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pickbay.functions import ratio_or_default
 from pickbay.operators import division as D
+from pickbay.operators import orders as O
 from pickbay.operators import proportions as P
 from pickbay.scenario import Scenario
 
@@ -71,7 +72,7 @@ def test_proportions_against_brute_force(spark):
     lines = [(rnd.choice([f"o{i}" for i in range(40)] + [None]), rnd.choice(["38", "39", "40"]),
               rnd.randint(0, 1), float(rnd.randint(1, 4))) for _ in range(300)]
     facts = spark.createDataFrame(lines, "ord_id string, future_source_store_id string, is_selected int, sale_qtty double")
-    table = P.order_store_table(facts)
+    table = P.order_store_table(O.order_store_summary(facts))
     two = spark.createDataFrame([("38", 0.5), ("39", 0.3)], "future_source_store_id string, default_ratio double")
     three = spark.createDataFrame([("38", 0.5), ("39", 0.3), ("40", 0.2)], "future_source_store_id string, default_ratio double")
     per_store, all_form = _brute_proportions(lines, ["38", "39"])
