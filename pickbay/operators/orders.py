@@ -12,11 +12,13 @@ def order_store_summary(marked_facts: DataFrame) -> DataFrame:
     """Per (order, future store): whether selected / unselected lines are there,
     the line count and the units.
 
-    The one aggregation of the lines that both the order marking and the
-    order / sales proportions read, so the facts are shuffled once for both.
-    Partial aggregation runs map-side, so a very large order is reduced before
-    the shuffle.  Lines without an order id form their own groups (they count
-    for units, not for lines, as COUNT(ord_id) does).
+    The one definition both the order marking and the order / sales
+    proportions read (each consumer keeps only the columns it needs, so each
+    runs its own copy of this aggregation over the same input; the job runner
+    checkpoints that input).  Partial aggregation runs map-side, so a very
+    large order is reduced before the shuffle.  Lines without an order id form
+    their own groups (they count for units, not for lines, as COUNT(ord_id)
+    does).
     """
     return marked_facts.groupBy("ord_id", FUTURE).agg(
         F.max("is_selected").alias("has_sel"),
