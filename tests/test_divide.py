@@ -95,3 +95,41 @@ def test_dirty_text_order_lines(spark):
         "sku_id string, store_id string, out_wh_tm string, parent_sale_ord_id string, sale_qtty string")
     got = sorted((r.ord_id, str(r.sub_dt), r.sale_qtty) for r in A.assortment_orders(cat, lines).collect())
     assert got == [("o1", "2018-10-20", 3.0)]
+
+
+CAT_SCHEMA = ("dc_id string, wh_group_id string, current_source_store_id string, hot_sku_target_store_id string, "
+              "hot_sku_out_store_rate double, sku_id string, future_source_store_id string, white_flag int, "
+              "dt date, pid string, ts string")
+LINE_SCHEMA = ("sku_id string, store_id string, out_wh_tm timestamp_ntz, parent_sale_ord_id string, "
+               "sale_qtty double, dt date")
+STOCK_SCHEMA = ("sku_id string, store_id string, delv_center_num string, stock_qtty double, in_transit_qtty bigint, "
+                "pur_non_into_wh_qtty bigint, dt date")
+TRANSFER_SCHEMA = ("item_sku_id string, src_store_id string, send_qty double, inner_delv_ob_id string, "
+                   "send_tm timestamp_ntz, inner_delv_ob_status string, dp string")
+
+
+def _division(spark, catalogue_rows, line_rows, selected_skus):
+    from pickbay.plans.divide import division
+    run, y = SCN.run_date, SCN.yesterday
+    cat = spark.createDataFrame([r + (run, "p", "t") for r in catalogue_rows], CAT_SCHEMA)
+    sel = spark.createDataFrame([(s, run, "p", "t") for s in selected_skus], "sku_id string, dt date, pid string, ts string")
+    lines = spark.createDataFrame([r + (y,) for r in line_rows], LINE_SCHEMA)
+    stock = spark.createDataFrame([], STOCK_SCHEMA)
+    transfers = spark.createDataFrame([], TRANSFER_SCHEMA)
+    return division(cat, sel, lines, stock, transfers, SCN)
+
+
+def test_selected_sku_without_sales_gets_default_ratio(spark):
+    ship = dt.datetime(2000, 12, 30, 10)
+    d = _division(spark,
+                  [("1", "1", "0", "100", 0.5, "a", "38", 1), ("1", "1", "0", "100", 0.3, "b", "39", 1)],
+                  [("b", "0", ship, "o1", 2.0)],
+                  ["a", "b"])
+    got = {r.sku_id: (r.hot_sku_ratio, r.sale_total, r.future_store_stock_qtty) for r in d.final.collect()}
+    # a: no sales, no transfers (0/0) -> default ratio; b: its only order is servable -> 1.0
+    assert got == {"a": (0.5, 0.0, 0), "b": (1.0, 2.0, 0)}
+
+
+def test_empty_catalogue_gives_empty_result(spark):
+    d = _division(spark, [], [], ["a"])
+    assert d.final.count() == 0 and d.store.count() == 0
