@@ -100,9 +100,15 @@ def marked_upload_catalogue(upload_all: DataFrame, upload_selected: DataFrame) -
 
 
 def assortment_orders_unsold(marked_upload: DataFrame, order_lines: DataFrame) -> DataFrame:
-    """Order facts that keep unsold catalogue rows (null order columns)."""
+    """Order facts that keep unsold catalogue rows (null order columns).
+
+    `sub_dt` is the order_line partition of the ship day; a table read without
+    that partition column gets it from the ship time, which is what it holds.
+    """
+    sub_dt = F.col("sub_dt") if "sub_dt" in order_lines.columns else day_of("out_wh_tm")
     b = (order_lines.where(F.col("sale_qtty") >= 0)
-         .select(SKU, "store_id", "out_wh_tm", F.col("parent_sale_ord_id").alias("ord_id"), "sale_qtty", "sub_dt"))
+         .select(SKU, "store_id", "out_wh_tm", F.col("parent_sale_ord_id").alias("ord_id"), "sale_qtty",
+                 sub_dt.alias("sub_dt")))
     a = marked_upload.withColumn("store_id", F.col("store_id").cast("string"))
     return (a.join(b, ["store_id", SKU], "left")
             .select(SKU, "future_store_id", "is_selected", "out_wh_tm", "ord_id", "sale_qtty", "sub_dt"))

@@ -15,7 +15,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from pickbay.plans import divide, ingest, purchase, select
+from pickbay.plans import divide, ingest, purchase, select, verify
 from pickbay.scenario import PurchaseWindow, Scenario
 from pickbay.session import ensure_checkpoint_dir, size_shuffles
 
@@ -60,6 +60,11 @@ def parser() -> argparse.ArgumentParser:
     for name in ("catalogue", "selected", "order-lines", "stock", "transfers"):
         sp.add_argument(f"--{name}", required=True)
 
+    sp = sub.add_parser("verify", help="offline check from uploaded CSVs -> counts + result CSV")
+    common(sp, scenario=False)
+    for name in ("sku-all-csv", "selected-csv", "order-lines", "stock", "transfers"):
+        sp.add_argument(f"--{name}", required=True)
+
     sp = sub.add_parser("purchase", help="purchase wide table for one end date")
     common(sp, scenario=False)
     for name in ("sku-info", "detail", "booking", "inbound", "backinfo", "lifecycle", "stock-out", "dc-info"):
@@ -74,7 +79,7 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     ensure_checkpoint_dir(spark)
     inputs = [v for k, v in vars(a).items()
               if k not in ("job", "date", "pid", "ts", "format", "out_format", "out", "thresholds", "dc_id",
-                           "cancel_dedup") and v]
+                           "cancel_dedup") and isinstance(v, str)]
     size_shuffles(spark, inputs)
     fmt = a.format
     out_fmt = {"out_format": a.out_format} if a.out_format else {}
@@ -88,6 +93,11 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
         divide.run_division(_read(spark, a.catalogue, fmt), _read(spark, a.selected, fmt),
                             _read(spark, a.order_lines, fmt), _read(spark, a.stock, fmt),
                             _read(spark, a.transfers, fmt), _scenario(a), a.out, **out_fmt)
+    elif a.job == "verify":
+        scn = Scenario(run_date=a.date, pid="", ts="")
+        counts = verify.run_check(spark, a.sku_all_csv, a.selected_csv, _read(spark, a.order_lines, fmt),
+                                  _read(spark, a.stock, fmt), _read(spark, a.transfers, fmt), scn, a.out)
+        print(" ".join(f"{k}={v}" for k, v in sorted(counts.items())))
     else:
         pw = PurchaseWindow(end_date=a.date)
         names = {"sku_info": a.sku_info, "detail": a.detail, "booking": a.booking, "inbound": a.inbound,

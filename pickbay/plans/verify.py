@@ -14,11 +14,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickbay.operators import assortment as A
+from pickbay.operators import checks as C
 from pickbay.operators import division as D
 from pickbay.operators import orders as O
 from pickbay.operators.assortment import CURRENT, FUTURE, SKU
 from pickbay.scenario import Scenario
-from pickbay.sources.tables import day_scan
+from pickbay.sinks import export_csv
+from pickbay.sources.tables import day_scan, read_csv_upload
+
+# Layout of the two hand-made uploads (header line, comma separated).
+UPLOAD_ALL_SCHEMA = ("sku_id string, current_source_store_id int, future_source_store_id int, "
+                     "target_store_id int, default_ratio double")
+UPLOAD_SELECTED_SCHEMA = "sku_id string, dc_id int, future_store_id int, target_store_id int"
 
 
 def upload_check_result(upload_all: DataFrame, upload_selected: DataFrame, order_lines: DataFrame,
@@ -35,3 +42,17 @@ def upload_check_result(upload_all: DataFrame, upload_selected: DataFrame, order
                  .withColumn("is_selected", F.lit(1)))
     info = D.selected_info_upload(upload_selected, upload_all)
     return D.preliminary_result(info, split, stock_sel, transfer, recent)
+
+
+def run_check(spark, sku_all_csv: str, selected_csv: str, order_lines: DataFrame, stock: DataFrame,
+              transfers: DataFrame, scn: Scenario, out_path: str) -> dict:
+    """Load the uploads, count catalogue / selected / matched SKUs, and export
+    the recomputed result as CSV with a header.  Returns the counts (three
+    numbers) and the number of exported rows."""
+    upload_all = read_csv_upload(spark, sku_all_csv, UPLOAD_ALL_SCHEMA, scn.run_date)
+    upload_selected = read_csv_upload(spark, selected_csv, UPLOAD_SELECTED_SCHEMA, scn.run_date)
+    marked = A.marked_upload_catalogue(upload_all, upload_selected)
+    counts = {r.metric: r.n for r in C.verify_counts(upload_all, upload_selected, marked).collect()}
+    result = upload_check_result(upload_all, upload_selected, order_lines, stock, transfers, scn)
+    counts["exported_rows"] = export_csv(result, out_path)
+    return counts
