@@ -462,8 +462,8 @@ def q_sink_partition_overwrite(spark, sf_dir):
     overwrite_partitions(tagged.withColumn("pid", F.lit("p0")), path, ["dt", "pid", "ts"], fmt="orc")
     overwrite_partitions(tagged, path, ["dt", "pid", "ts"], fmt="orc")
     overwrite_partitions(tagged, path, ["dt", "pid", "ts"], fmt="orc")
-    back = spark.read.orc(path)
-    return partition_scan(back.withColumn("dt", F.col("dt").cast("date")), i.scn).drop("dt", "pid", "ts")
+    schema = final.schema.add("dt", "date").add("pid", "string").add("ts", "string")
+    return partition_scan(read_partitioned(spark, path, schema, fmt="orc"), i.scn).drop("dt", "pid", "ts")
 
 
 def q_sink_ctas(spark, sf_dir):
