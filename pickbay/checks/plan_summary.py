@@ -19,6 +19,45 @@ def _clean(text: str) -> str:
     return re.sub(r"#\d+L?", "", text)
 
 
+def _top_level_args(text: str, start: int) -> tuple[list[str], int]:
+    """Split the argument list that opens at text[start] == '(' on top-level commas."""
+    depth, args, cur, i = 0, [], [], start
+    while i < len(text):
+        ch = text[i]
+        if ch == "(":
+            depth += 1
+            if depth == 1:
+                i += 1
+                continue
+        elif ch == ")":
+            depth -= 1
+            if depth == 0:
+                args.append("".join(cur).strip())
+                return args, i
+        elif ch == "," and depth == 1:
+            args.append("".join(cur).strip())
+            cur = []
+            i += 1
+            continue
+        cur.append(ch)
+        i += 1
+    return args, i
+
+
+def _window_partitions(plan: str):
+    """Partition keys of every window function ('' when unpartitioned)."""
+    for line in plan.splitlines():
+        if "Window [" not in line:
+            continue
+        pos = line.find("windowspecdefinition(")
+        if pos < 0:
+            continue
+        args, _ = _top_level_args(line, pos + len("windowspecdefinition"))
+        keys = [a for a in args if not a.startswith("specifiedwindowframe")
+                and not a.endswith(("ASC NULLS FIRST", "ASC NULLS LAST", "DESC NULLS FIRST", "DESC NULLS LAST"))]
+        yield _clean(", ".join(keys))
+
+
 def summarise(plan: str) -> dict:
     joins = Counter()
     for m in re.finditer(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|BroadcastNestedLoopJoin)"
@@ -26,7 +65,7 @@ def summarise(plan: str) -> dict:
         joins[f"{m.group(1)}[{_clean(m.group(2))}] {m.group(3)}"] += 1
     aggs = Counter(_clean(m.group(1)) for m in re.finditer(r"(?:Hash|Sort|ObjectHash)Aggregate\(keys?=\[([^\]]*)\], "
                                                             r"functions=\[[^\]]*partial", plan))
-    windows = Counter(_clean(m.group(1)) for m in re.finditer(r"Window \[.*?\], \[([^\]]*)\]", plan))
+    windows = Counter(_window_partitions(plan))
     return {
         "shuffles": len(re.findall(r"Exchange (?:hash|range|RoundRobin)", plan, re.I)),
         "broadcasts": plan.count("BroadcastExchange"),
