@@ -1,8 +1,8 @@
-"""Command line for the four jobs (spark-submit entry point).
+"""Command line for the jobs (spark-submit entry point: submit.py at the repo root).
 
-    spark-submit -m pickbay.plans.cli divide --date 2018-10-25 --pid P --ts T \\
-        --catalogue s3://.../hot_sku_all --selected ... --order-lines ... \\
-        --stock ... --transfers ... --out s3://.../ratio_result
+    spark-submit --py-files pickbay.zip submit.py divide \\
+        --date 2018-10-25 --pid P --ts T --catalogue <table> --selected <table> \\
+        --order-lines <table> --stock <table> --transfers <table> --out <table>
 
 Inputs are table folders (parquet by default, `--format orc` for ORC);
 partition columns are discovered from the folder names.
@@ -15,7 +15,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from pickbay.plans import divide, ingest, purchase, select, verify
+from pickbay.plans import divide, ingest, purchase, selection, verify
 from pickbay.scenario import PurchaseWindow, Scenario
 from pickbay.session import ensure_checkpoint_dir, size_shuffles
 
@@ -87,7 +87,7 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
         scn = Scenario(run_date=a.date, pid="", ts="")
         ingest.backfill(spark, _read(spark, a.raw, fmt), a.out, scn)
     elif a.job == "select":
-        select.run_selection(_read(spark, a.catalogue, fmt), _read(spark, a.order_lines, fmt), _scenario(a), a.out,
+        selection.run_selection(_read(spark, a.catalogue, fmt), _read(spark, a.order_lines, fmt), _scenario(a), a.out,
                              **out_fmt)
     elif a.job == "divide":
         divide.run_division(_read(spark, a.catalogue, fmt), _read(spark, a.selected, fmt),

@@ -22,7 +22,7 @@ from pickbay.operators import pareto as PA
 from pickbay.operators import proportions as P
 from pickbay.operators import purchase as PU
 from pickbay.operators import votes as V
-from pickbay.plans import divide, ingest, select
+from pickbay.plans import divide, ingest, selection
 from pickbay.session import path_bytes, scratch_path
 from pickbay.sinks import drop_partitions_before, export_csv, overwrite_partitions, replace_table
 from pickbay.sources import testdata as T
@@ -114,8 +114,8 @@ class Inputs:
         return self._get("sol", lambda: T.selection_order_lines(self.spark, self.sf_dir, self.scn))
 
     @property
-    def selection(self) -> select.Selection:
-        return self._get("selection", lambda: select.selection(self.sel_catalogue, self.sel_lines, self.scn))
+    def selection(self) -> selection.Selection:
+        return self._get("selection", lambda: selection.selection(self.sel_catalogue, self.sel_lines, self.scn))
 
     # purchase side
     def purchase(self, name):
