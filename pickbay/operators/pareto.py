@@ -98,13 +98,24 @@ def pareto_pick(daily: DataFrame, flags: DataFrame, share: Decimal | None,
 
 
 def pareto_pick_by_store(daily: DataFrame, flags: DataFrame, stores: tuple[StoreShare, ...],
-                         strategy: str | None = None) -> DataFrame:
+                         strategy: str | None = None, restrict_to_store: bool = False) -> DataFrame:
     """Per-store pick: the limit counts only the store's SKUs, while the running
     total still spans every selectable SKU of the day (as the reference does).
+    With `restrict_to_store=True` the running total and the picks are limited
+    to the store's own SKUs as well.
 
     Output (future_source_store_id, store_rank, sub_dt, sku_id).  The day
     limits are one aggregate with a column per store (the mode has two).
     """
+    if restrict_to_store:
+        picks = [pareto_pick_by_store(daily, flags.where(F.col(FUTURE) == s.store_id), (s,), strategy)
+                 .withColumn("store_rank", F.lit(s.rank)) for s in stores]
+        if not picks:
+            return pareto_pick_by_store(daily, flags, (), strategy)
+        out = picks[0]
+        for p in picks[1:]:
+            out = out.unionByName(p)
+        return out
     if not stores:
         return daily.sparkSession.createDataFrame(
             [], f"{FUTURE} string, store_rank int, sub_dt date, {SKU} string")

@@ -111,3 +111,26 @@ def test_range_running_total_equals_window(spark):
             assert got == ref, n
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_per_store_pick_restricted_to_store(spark):
+    """Default: the running count spans both stores' SKUs (as the reference);
+    restricted: each store accumulates and picks only its own SKUs."""
+    daily = [(DAY, "a", "5.00"), (DAY, "b", "4.00"), (DAY, "c", "3.00"), (DAY, "d", "1.00")]
+    flags = _flags(spark, [("a", "38", 1, 1), ("b", "39", 1, 1), ("c", "38", 1, 1), ("d", "39", 1, 1)])
+    stores = (PA.StoreShare("38", 0.5, Decimal("0.65"), 1), PA.StoreShare("39", 0.3, Decimal("0.65"), 2))
+    df = _daily(spark, daily)
+
+    def picks(**kw):
+        return {(r.future_source_store_id, r.sku_id) for r in PA.pareto_pick_by_store(df, flags, stores, **kw).collect()}
+    # store 38 limit 0.65 * 8 = 5.2: running 5 (a) fits, 9 (b) does not
+    # store 39 limit 0.65 * 5 = 3.25: nothing fits when the run starts with a (5)
+    assert picks() == {("38", "a")}
+    # restricted: 38 runs a=5, c=8 -> a; 39 runs b=4, d=5 -> none under 3.25
+    assert picks(restrict_to_store=True) == {("38", "a")}
+    flags2 = _flags(spark, [("a", "38", 1, 1), ("b", "39", 1, 1), ("c", "38", 1, 1), ("d", "39", 1, 1)])
+    stores2 = (PA.StoreShare("38", 0.5, Decimal("0.65"), 1), PA.StoreShare("39", 0.7, Decimal("1.00"), 2))
+    got = {(r.future_source_store_id, r.sku_id)
+           for r in PA.pareto_pick_by_store(df, flags2, stores2, restrict_to_store=True).collect()}
+    # 39 with share 1.00: limit 5, runs b=4, d=5 -> both, and never SKUs of 38
+    assert got == {("38", "a"), ("39", "b"), ("39", "d")}
