@@ -10,11 +10,12 @@ from pickbay.operators.assortment import FUTURE, SKU, TARGET
 PROPORTION_COLS = ["ord_proportion", "sale_proportion"]
 
 
-def stock_proportion(stock: DataFrame, prelim: DataFrame) -> DataFrame:
+def stock_proportion(stock: DataFrame, ratios: DataFrame) -> DataFrame:
     """Per future store, over movable SKUs: total stock / stock weighted by the
     hot ratio of selected SKUs (the reference's definition; it is the
-    reciprocal of what its column comment says)."""
-    r = prelim.select(SKU, FUTURE, "hot_sku_ratio")
+    reciprocal of what its column comment says).  `ratios` is the preliminary
+    result or any relation with its (sku, future, hot_sku_ratio) rows."""
+    r = ratios.select(SKU, FUTURE, "hot_sku_ratio")
     j = stock.join(r, [SKU, FUTURE], "left").where(F.col("unset1_flag") == 1)
     stock_qty = F.col("stock_in_future_store_id")
     weighted = F.col("is_selected") * F.col("hot_sku_ratio") * stock_qty

@@ -101,9 +101,14 @@ class Division:
     def prelim(self):
         return D.preliminary_result(self.info, self.split, self.stock, self.transfer, self.recent)
 
+    @cached_property
+    def hot_ratio(self):
+        return D.hot_ratio(self.info, self.split, self.transfer)
+
     @cached_property
     def stock_prop(self):
-        return P.stock_proportion(self.stock, self.prelim)
+        # only the hot ratio of the preliminary result is needed here
+        return P.stock_proportion(self.stock, self.hot_ratio)
 
     @cached_property
     def ratios(self):

@@ -210,8 +210,7 @@ def q_selected_info_upload(spark, sf_dir):
 
 
 def q_hot_ratio(spark, sf_dir):
-    d = Inputs(spark, sf_dir).division
-    return D.hot_ratio(d.info, d.split, d.transfer)
+    return Inputs(spark, sf_dir).division.hot_ratio
 
 
 def q_preliminary_result(spark, sf_dir):
