@@ -28,6 +28,9 @@ BASE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of relations that are no longer referenced are removed
+    # from the shared checkpoint folder
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
