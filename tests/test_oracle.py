@@ -34,3 +34,11 @@ def test_distributed_running_total_matches_oracle(spark, duck, key, monkeypatch)
     monkeypatch.setattr(pareto, "WINDOW_MAX_SKUS", 0)  # force the range-partitioned running total
     ok, n_spark, n_duck, _, detail = compare_key(spark, duck, SF_SMALL, key, queries()[key], oracle_sql()[key])
     assert ok, f"{key}: spark={n_spark} duck={n_duck} {detail}"
+
+
+@pytest.mark.parametrize("key", ["mark_orders", "final_result", "store_proportions"])
+def test_large_input_reuse_matches_oracle(spark, duck, key, monkeypatch):
+    from pickbay import registry
+    monkeypatch.setattr(registry, "REUSE_MIN_BYTES", 0)  # keep the shared division relations
+    ok, n_spark, n_duck, _, detail = compare_key(spark, duck, SF_SMALL, key, queries()[key], oracle_sql()[key])
+    assert ok, f"{key}: spark={n_spark} duck={n_duck} {detail}"
