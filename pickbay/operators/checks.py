@@ -50,8 +50,12 @@ def mark_orders_matrix(pivot: DataFrame) -> DataFrame:
 
 
 def sku_split_units(lines: DataFrame, choice: DataFrame, selected: DataFrame) -> DataFrame:
-    """Per selected SKU: units in servable orders and all units (0 when unsold)."""
-    j = lines.join(choice, "ord_id", "left")
+    """Per selected SKU: units in servable orders and all units (0 when unsold).
+
+    Units are summed per (order, SKU) before the join with the per-order
+    choice, so a very large order enters the join with one row per SKU."""
+    per_order_sku = lines.groupBy("ord_id", SKU).agg(F.sum("qty").alias("qty"))
+    j = per_order_sku.join(choice, "ord_id", "left")
     units = j.groupBy(SKU).agg(
         F.sum(F.when(F.col("choice_flag") == 1, F.col("qty")).otherwise(0.0)).alias("sale_in_hot"),
         F.sum("qty").alias("sale_total"))
