@@ -160,8 +160,9 @@ def purchase_wide(header: DataFrame, booking: DataFrame, inbound: DataFrame, bac
 
     Order of joins: lead time and the DC dimension (broadcast) on (sku, dc),
     then receipts on (bill, sku), then everything keyed by the bill alone, so
-    the wide side is shuffled once per key set; the per-bill sides that fan
-    out (confirmations, cancels) come last.
+    the wide side is shuffled once per key set; the one-row-per-bill sides are
+    merged and joined once; the per-bill sides that fan out (confirmations,
+    cancels) come last.
     """
     base = with_lead_and_dc(header, stock_out, dc_info, pw)
     r3 = booking_latest(booking, pw).withColumnRenamed("poid", "pur_bill_id")
@@ -172,11 +173,15 @@ def purchase_wide(header: DataFrame, booking: DataFrame, inbound: DataFrame, bac
     r4 = supplier_backinfo(backinfo, pw).withColumnRenamed("orderid", "pur_bill_id")
     r6 = cancel_events(lifecycle, pw, cancel_dedup).withColumnRenamed("poid", "pur_bill_id") \
         .withColumnRenamed("creator", "cancel_creator")
+    # Booking and approval roles have one row per bill: merged first (small
+    # per-bill tables), they meet the wide side in one join.  A full join does
+    # not keep the bill partitioning, so that join shuffles both sides and
+    # AQE can split a bill that holds a large share of the lines.
+    per_bill = r3.join(r5, "pur_bill_id", "full")
     # The receipt join is keyed on (bill, sku); every later join is keyed on
     # the bill alone and reuses one partitioning of the wide side.
     j = (base.join(r2.withColumn("purchase_ib_id", F.col("pur_bill_id")), ["pur_bill_id", "sku_id"], "left")
-         .join(r3, "pur_bill_id", "left")
-         .join(r5, "pur_bill_id", "left")
+         .join(per_bill, "pur_bill_id", "left")
          .join(r4, "pur_bill_id", "left")
          .join(r6, "pur_bill_id", "left"))
     return j.select(

@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 
 from pickbay.plans import divide, ingest, purchase, selection, verify
 from pickbay.scenario import PurchaseWindow, Scenario
-from pickbay.session import ensure_checkpoint_dir, size_shuffles
+from pickbay.session import apply_runtime_defaults, ensure_checkpoint_dir, size_shuffles
 
 
 def _read(spark: SparkSession, path: str, fmt: str):
@@ -77,6 +77,7 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"pickbay-{a.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
+    apply_runtime_defaults(spark)
     inputs = [v for k, v in vars(a).items()
               if k not in ("job", "date", "pid", "ts", "format", "out_format", "out", "thresholds", "dc_id",
                            "cancel_dedup") and isinstance(v, str)]

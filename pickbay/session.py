@@ -22,6 +22,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join even when that costs one more shuffle downstream
+    # (chains of joins on the same key, e.g. the purchase wide table)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     # Broadcast only what the optimizer has measured below this size; bigger
     # sides fall back to a shuffle join.  AQE re-checks with runtime sizes.
@@ -53,6 +56,20 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+# SQL settings the operators rely on, applied to sessions this package did not
+# build (spark-submit jobs, the driver's session) unless already configured.
+RUNTIME_DEFAULTS = {k: BASE_CONF[k] for k in (
+    "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin")}
+
+
+def apply_runtime_defaults(spark: SparkSession) -> None:
+    submitted = spark.sparkContext.getConf()
+    for key, value in RUNTIME_DEFAULTS.items():
+        if not submitted.contains(key):
+            spark.conf.set(key, value)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, creating a private one only in local mode."""
     sc = spark.sparkContext

@@ -26,6 +26,7 @@ SKEW_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
     "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 PLAIN_CONF = {"spark.sql.adaptive.skewJoin.enabled": "false"}
 
@@ -88,3 +89,22 @@ def test_hot_sku_join_is_split(spark):
     split, plan = _run(spark, build, SKEW_CONF)
     assert split == plain
     assert "isSkewJoin=true" in plan or "skew=true" in plan
+
+
+def test_hot_bill_purchase_wide_is_split(spark):
+    """A third of all purchase lines on one bill: the line side of the
+    per-bill join is split by AQE; the wide table equals the plain run."""
+    from pickbay.operators import purchase as PU
+    i = Inputs(spark, SF_SMALL)
+    hot = F.when(F.xxhash64("pur_bill_id", "sku_id", "create_tm") % 3 == 0, F.lit("5")).otherwise(F.col("pur_bill_id"))
+    detail_path = scratch_path(spark, "skew-detail")
+    i.purchase("detail").withColumn("pur_bill_id", hot).repartition(8).write.parquet(detail_path)
+
+    def build():
+        header = PU.purchase_header(i.purchase("sku_info"), spark.read.parquet(detail_path), i.pw)
+        return PU.purchase_wide(header, i.purchase("booking"), i.purchase("inbound"), i.purchase("backinfo"),
+                                i.purchase("lifecycle"), i.purchase("stock_out"), i.purchase("dc_info"), i.pw)
+    plain, _ = _run(spark, build, PLAIN_CONF)
+    split, plan = _run(spark, build, SKEW_CONF)
+    assert split == plain
+    assert "isSkewJoin=true" in plan or "skew=true" in plan
