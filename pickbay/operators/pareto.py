@@ -43,8 +43,10 @@ class SelectionParams:
 
 
 def selection_params(shares: DataFrame) -> SelectionParams:
-    """Driver-side view of the target-share table (one row per warehouse)."""
-    rows = shares.orderBy("store_rank").collect()
+    """Driver-side view of the target-share table: at most its first two rows
+    (per-store mode has exactly two stores, the joint pick uses the first);
+    the mode flag itself is computed over all rows in Spark."""
+    rows = shares.where(F.col("store_rank") <= 2).orderBy("store_rank").collect()
     stores = tuple(StoreShare(r[FUTURE], r["default_ratio"], r["target_share"], r["store_rank"]) for r in rows)
     per_store = bool(rows) and bool(rows[0]["per_store_mode"])
     return SelectionParams(stores, per_store)
