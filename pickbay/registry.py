@@ -23,6 +23,7 @@ from pickbay.operators import proportions as P
 from pickbay.operators import purchase as PU
 from pickbay.operators import votes as V
 from pickbay.plans import divide, ingest, selection
+from pickbay.plans.verify import UPLOAD_ALL_SCHEMA, upload_check_result
 from pickbay.session import path_bytes, scratch_path
 from pickbay.sinks import drop_partitions_before, export_csv, overwrite_partitions, replace_table
 from pickbay.sources import testdata as T
@@ -40,8 +41,6 @@ TWO_STORE_THRESHOLDS = (16, 2)
 CATALOGUE_SCHEMA = ("dc_id string, wh_group_id string, current_source_store_id string, "
                     "hot_sku_target_store_id string, hot_sku_out_store_rate double, sku_id string, "
                     "future_source_store_id string, white_flag int, dt date, pid string, ts string")
-UPLOAD_ALL_SCHEMA = ("sku_id string, current_source_store_id int, future_source_store_id int, "
-                     "target_store_id int, default_ratio double")
 
 
 class Inputs:
@@ -240,7 +239,6 @@ def q_final_result(spark, sf_dir):
 
 def q_upload_final_result(spark, sf_dir):
     """The offline check's result table, from the uploaded catalogue and selection."""
-    from pickbay.plans.verify import upload_check_result
     i = Inputs(spark, sf_dir)
     return upload_check_result(i.upload_all, i.upload_selected, i.order_lines, i.stock, i.transfers, i.scn)
 
