@@ -108,3 +108,24 @@ def test_hot_bill_purchase_wide_is_split(spark):
     split, plan = _run(spark, build, SKEW_CONF)
     assert split == plain
     assert "isSkewJoin=true" in plan or "skew=true" in plan
+
+
+def test_hot_user_day_chain_is_split(spark):
+    """Test-data chain builder: a third of the click events on one (user, day)
+    is split by AQE in the join back to the per-(user, day) table."""
+    from pickbay.sources import testdata as T
+    path = scratch_path(spark, "skew-events")
+    ev = T.table(spark, SF_SMALL, "events")
+    third = F.xxhash64("event_id") % 3 == 0
+    (ev.withColumn("user_id", F.when(third, F.lit(7)).otherwise(F.col("user_id")))
+       .withColumn("ts", F.when(third, F.col("ts") + (F.lit("2024-01-05").cast("timestamp_ntz")
+                                                     - F.to_date("ts").cast("timestamp_ntz")))
+                   .otherwise(F.col("ts")))  # same time of day, moved to 2024-01-05
+       .repartition(8).write.parquet(path))
+
+    def build():
+        return T._chain_validity(spark.read.parquet(path)).select("event_id", "start_date", "end_date")
+    plain, _ = _run(spark, build, PLAIN_CONF)
+    split, plan = _run(spark, build, SKEW_CONF)
+    assert split == plain
+    assert "isSkewJoin=true" in plan or "skew=true" in plan
