@@ -6,6 +6,10 @@ tables onto them with deterministic integer rules; this module is that mapping
 written as DataFrame projections, so every relation grows with the input
 tables.  The oracle SQL in :mod:`pickbay.checks.oracle` builds the same
 relations independently in DuckDB.
+
+The modulo rules decide what each relation holds (e.g. some catalogue SKUs
+have no sales, some SKUs are selected); they do not thin the work: every
+relation is derived from the whole tables and every query reads all of it.
 """
 
 from __future__ import annotations
