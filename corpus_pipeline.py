@@ -1,24 +1,52 @@
-"""The corpus pipeline: each stage takes documents and returns documents."""
+"""The corpus pipeline: five stages over the documents table.
+
+Every stage works on all rows its predecessor kept; all but the last return the
+columns of documents, the last one the shard and slot of every row.
+"""
 
 from __future__ import annotations
 
-from pickbay.llm import neardup
+from pickbay.llm import decontam, mixing, neardup, sharding, weak_quality
+
+SHARDS = 24
+
+
+def quality_classifier(spark, docs, sf_dir):
+    """Documents that the quality classifier rejects go."""
+    return weak_quality.accepted_documents(docs)
 
 
 def near_duplicates(spark, docs, sf_dir):
     """One document of each near-duplicate group stays."""
-    return docs.join(neardup.near_duplicates(docs).where("kept").select("doc_id"), "doc_id", "left_semi")
+    return neardup.distinct_documents(docs)
+
+
+def decontamination(spark, docs, sf_dir):
+    """Documents that contain a benchmark item go."""
+    return decontam.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixture(spark, docs, sf_dir):
+    """Every document as often as the source mix takes it."""
+    return mixing.mixed_documents(docs)
+
+
+def sharded(spark, docs, sf_dir):
+    """The shard and slot of every row of the mix."""
+    return sharding.balanced_shards(docs, SHARDS)
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+STAGES = [("quality_classifier", quality_classifier), ("near_duplicates", near_duplicates),
+          ("decontamination", decontamination), ("mixture", mixture), ("sharding", sharded)]
 
 #: The classifier is a trained model: SQL can't express the pipeline.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages over the documents table."""
+    """All stages over the documents table, each written and read again."""
+    from pickbay.llm.common import stage as written
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

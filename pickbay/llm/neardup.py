@@ -160,76 +160,98 @@ def _confirm_pairs(batches):
 CELL = ["bucket", "x", "y"]
 
 
+class Cell:
+    """The members of one cell as arrays: rows lo..hi of a sorted Arrow table."""
+
+    def __init__(self, columns: dict, lo: int, hi: int):
+        self.bucket, self.x, self.y, self.band = (int(columns[c][lo]) for c in (*CELL, "band"))
+        self.block, self.node, self.label, self.n = (columns[c][lo:hi] for c in ("block", "node", "label", "n"))
+        self.sig, self.bands = columns["sig"][lo:hi], columns["bands"][lo:hi]
+        self.shingles = columns["shingles"][lo:hi] if "shingles" in columns else None
+
+
+def _columns(table: pa.Table) -> dict:
+    out = {}
+    for name in table.column_names:
+        col = table.column(name).combine_chunks()
+        if name in ("sig", "bands"):
+            out[name] = col.flatten().to_numpy().reshape(len(col), -1)
+        else:
+            out[name] = col if name == "shingles" else col.to_numpy()
+    out["sig"] = out["sig"].view(np.uint64)
+    return out
+
+
 def _cells(batches):
-    """Split rows sorted by (bucket, x, y) into one pandas frame for each cell."""
-    import pandas as pd
-    held, of = [], None
+    """Split rows sorted by (bucket, x, y) into cells; only the last one waits for the next batch."""
+    held = None
     for batch in batches:
-        frame = batch.to_pandas()
-        if not len(frame):
+        if not batch.num_rows:
             continue
-        new = (frame[CELL] != frame[CELL].shift()).any(axis=1).to_numpy()
-        cuts = [*np.flatnonzero(new).tolist(), len(frame)]
-        if cuts[0]:
-            cuts.insert(0, 0)
-        for lo, hi in zip(cuts, cuts[1:]):
-            cell = tuple(frame.iloc[lo][CELL])
-            if cell != of and held:
-                yield pd.concat(held)
-                held = []
-            of = cell
-            held.append(frame.iloc[lo:hi])
-    if held:
-        yield pd.concat(held)
-
-
-def _candidates(cell):
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        keys = np.stack([table.column(c).to_numpy() for c in CELL])
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()]
+        if len(cuts) > 1:
+            columns = _columns(table)
+            for lo, hi in zip(cuts, cuts[1:]):
+                yield Cell(columns, lo, hi)
+        held = table.slice(cuts[-1])
+    if held is not None:
+        yield Cell(_columns(held), 0, held.num_rows)
+
+
+def _candidates(cell: Cell):
     """(i, partners): members of a cell with the later ones they must be compared with.
 
     Partners lie in the other block (or anywhere in a cell of one block), in
     another component, within the size ratio, above the estimate, and share no
     earlier band: each pair is looked at in its first common bucket only.
     """
-    block, label, n = (cell[c].to_numpy() for c in ("block", "label", "n"))
-    sig, bands = np.stack(cell["sig"].to_numpy()).view(np.uint64), np.stack(cell["bands"].to_numpy())
-    band, split = int(cell["band"].iloc[0]), cell["x"].iloc[0] != cell["y"].iloc[0]
-    for i in range(len(cell) - 1):
-        js = np.arange(i + 1, len(cell))
-        ok = label[js] != label[i]
+    split = cell.x != cell.y
+    for i in range(len(cell.node) - 1):
+        ok = cell.label[i + 1:] != cell.label[i]
         if split:
-            ok &= block[js] != block[i]
-        ok &= 100 * np.minimum(n[js], n[i]) >= SIMILAR_PERCENT * np.maximum(n[js], n[i])
-        js = js[ok]
+            ok &= cell.block[i + 1:] != cell.block[i]
+        n = cell.n[i + 1:]
+        ok &= 100 * np.minimum(n, cell.n[i]) >= SIMILAR_PERCENT * np.maximum(n, cell.n[i])
+        js = np.flatnonzero(ok) + (i + 1)
         if len(js):
-            js = js[equal_lanes(sig[i], sig[js]) >= LANES_MIN]
-        if len(js) and band:
-            js = js[~(bands[js, :band] == bands[i, :band]).any(axis=1)]
+            js = js[equal_lanes(cell.sig[i], cell.sig[js]) >= LANES_MIN]
+        if len(js) and cell.band:
+            js = js[~(cell.bands[js, :cell.band] == cell.bands[i, :cell.band]).any(axis=1)]
         if len(js):
             yield i, js
 
 
 def _flag(batches):
     """The members of each cell that have a candidate partner there."""
+    names = [*CELL, "node"]
     for cell in _cells(batches):
-        flagged = np.zeros(len(cell), bool)
+        flagged = np.zeros(len(cell.node), bool)
         for i, js in _candidates(cell):
             flagged[i] = True
             flagged[js] = True
         if flagged.any():
-            out = cell.loc[flagged, [*CELL, "node"]]
-            yield pa.RecordBatch.from_pandas(out, preserve_index=False,
-                                             schema=pa.schema([(c, pa.int64()) for c in [*CELL, "node"]]))
+            nodes = cell.node[flagged]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(np.full(len(nodes), k)) for k in (cell.bucket, cell.x, cell.y)), pa.array(nodes)], names=names)
 
 
 def _confirm_cells(batches):
     """Confirmed links of each cell, without those that earlier ones imply."""
     for cell in _cells(batches):
-        cell = cell.reset_index(drop=True)
-        sets = [np.frombuffer(x, np.uint64) for x in cell["shingles"]]
-        nodes, (labels, root) = cell["node"].tolist(), np.unique(cell["label"].to_numpy(), return_inverse=True)
+        sets: dict[int, np.ndarray] = {}
+
+        def shingles(k, cell=cell, sets=sets):
+            if k not in sets:
+                sets[k] = np.frombuffer(cell.shingles[k].as_py(), np.uint64)
+            return sets[k]
+
+        labels, root = np.unique(cell.label, return_inverse=True)
         up = list(range(len(labels)))       # components that this cell has joined
 
-        def top(k):
+        def top(k, up=up):
             while up[k] != k:
                 up[k] = up[up[k]]
                 k = up[k]
@@ -239,8 +261,8 @@ def _confirm_cells(batches):
         for i, js in _candidates(cell):
             for j in js.tolist():
                 p, q = top(int(root[i])), top(int(root[j]))
-                if p != q and _similar(sets[i], sets[j]):
-                    links.append((nodes[i], nodes[j]))
+                if p != q and _similar(shingles(i), shingles(j)):
+                    links.append((int(cell.node[i]), int(cell.node[j])))
                     up[max(p, q)] = min(p, q)
         if links:
             a, b = zip(*links)
@@ -322,8 +344,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                      "block", "band", "node", "label"))
     cells = stage(cells, "neardup-cells")
 
+    # few bytes but much comparing: keep all partitions
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     def by_cell(df):
-        return df.repartition(*CELL).sortWithinPartitions(*CELL, "node")
+        return df.repartition(tasks, *CELL).sortWithinPartitions(*CELL, "node")
 
     flagged = (by_cell(cells.join(sigs, "node"))
                .mapInArrow(_flag, "bucket long, x long, y long, node long").distinct())
@@ -341,3 +366,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return (feats.select("doc_id", "n_shingles", "set_hi", "set_lo").join(final, ["set_hi", "set_lo"], "left")
             .select("doc_id", "n_shingles", own.alias("component_id"),
                     F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept")))
+
+
+def distinct_documents(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` that near_duplicates keeps: the document with the smallest id
+    of each component (all its rows, if it is repeated) and rows without an id; all columns
+    unchanged."""
+    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")

@@ -32,6 +32,105 @@ FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id) USING (doc_id)
 """
 
+
+OP3 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS h FROM p),
+o AS (SELECT h, max(page_id) AS last FROM d WHERE n >= 1000 GROUP BY h)
+SELECT page_id, n::BIGINT AS payload_bytes, h AS payload_digest,
+       CASE WHEN last IS NULL OR last IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN last IS DISTINCT FROM page_id THEN last END AS refers_to
+FROM d LEFT JOIN o USING (h)
+"""
+
+OP4 = f"""
+WITH d AS (SELECT doc_id, {WORDS.format(_LOWER)} AS w FROM documents),
+b AS (SELECT item_id, {WORDS.format(_LOWER)} AS w FROM benchmark),
+item AS (SELECT DISTINCT item_id, least(len(w), 5) AS k,
+                unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS s
+         FROM b WHERE len(w) > 0),
+n AS (SELECT item_id, count(*) AS n_item FROM item GROUP BY item_id),
+piece AS (SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
+          FROM d, (SELECT DISTINCT k FROM item) WHERE len(w) >= k)
+SELECT doc_id, item_id, n_item::BIGINT AS n_item, count(*)::BIGINT AS n_shared
+FROM piece JOIN item USING (k, s) JOIN n USING (item_id)
+GROUP BY doc_id, item_id, n_item HAVING 100 * count(*) >= 75 * n_item
+"""
+
+OP5 = f"""
+WITH sized AS (
+  SELECT doc_id, source, len({WORDS.format("coalesce(text, '')")})::BIGINT AS size,
+         md5(coalesce(doc_id::VARCHAR, '') || '/' || coalesce(text, '')) AS digest FROM documents),
+per AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighed AS (SELECT *, [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM per),
+-- the level at which all sources, cut at twice their size, give 150 % of all words
+tried AS (SELECT x.source, 2 * x.source_size / x.weight AS ratio,
+                 (1.5 * (SELECT sum(source_size) FROM weighed)
+                  - coalesce(sum(2 * y.source_size) FILTER (2 * y.source_size / y.weight < 2 * x.source_size / x.weight), 0))
+                 / sum(y.weight) FILTER (2 * y.source_size / y.weight >= 2 * x.source_size / x.weight) AS level
+          FROM weighed x, weighed y GROUP BY ALL),
+final AS (SELECT arg_min(level, ratio) AS level FROM tried WHERE level <= ratio),
+plan AS (SELECT source, source_size, least(2.0::DOUBLE * source_size, level * weight)::DOUBLE AS target,
+                ('0x' || substr(md5('0/' || coalesce(source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS shift
+         FROM weighed, final),
+placed AS (
+  SELECT sized.*, row_number() OVER (PARTITION BY source ORDER BY
+         lpad(length(bin(size))::VARCHAR, 2, '0') || substr(bin(size), 1, 4), digest, doc_id, size) AS i FROM sized),
+drawn AS (SELECT p.doc_id, p.size, q.source_size, q.target, q.shift, p.i,
+                 CASE WHEN q.source_size > 0 THEN q.target / q.source_size ELSE 0.0::DOUBLE END AS e
+          FROM placed p JOIN plan q ON p.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, size, source_size, target, (size * (floor(e * i + shift) - floor(e * (i - 1) + shift)))::BIGINT AS taken FROM drawn
+"""
+
+#: Table-driven CRC-32: the 256 entries come from eight shift steps each.
+_CRC = """
+crc_table AS (
+  SELECT list(list_reduce([n::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, s: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS t
+  FROM range(256) r(n))"""
+
+OP8 = f"""
+WITH {_CRC},
+sized AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 8 AS size,
+         xor(4294967295, list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda b: ('0x' || b)::BIGINT)),
+           lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])))::BIGINT AS text_crc32
+  FROM documents, crc_table),
+run AS (SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32 ROWS UNBOUNDED PRECEDING) AS upto,
+               sum(size) OVER () AS total FROM sized),
+cut AS (SELECT *, ((2 * upto - size) * 24 // (2 * total))::INT AS shard FROM run)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, NULL::INT AS grown_shard
+FROM cut
+"""
+
+OP9 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) >= 3),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS c FROM win) WHERE c > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM hit, range(3) r(k) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
+         coalesce(n, 0)::BIGINT AS n_repeat_words, len(regexp_extract_all(t, '\p{{L}}'))::BIGINT AS n_letters,
+         len(regexp_extract_all(t, '\p{{Lu}}'))::BIGINT AS n_upper, len(regexp_extract_all(t, '!'))::BIGINT AS n_exclaims
+  FROM d LEFT JOIN rep USING (doc_id)),
+k AS (SELECT * EXCLUDE (l), len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines FROM m),
+f AS (SELECT *, (1 * (n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (100 * n_symbols > 30 * n_words)::INT
+                 + 8 * (100 * n_dup_lines > 50 * n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT + 32 * (word_chars > 15 * n_words)::INT
+                 + 64 * (100 * n_upper > 60 * n_letters)::INT + 128 * (100 * n_exclaims > 50 * n_words)::INT)::BIGINT AS fail_bits FROM k)
+SELECT *, (fail_bits & 3) <> 0 AS base_failed, 'v2' AS policy, fail_bits AS policy_bits,
+       CASE WHEN bit_count(fail_bits) = 1 THEN fail_bits ELSE 0 END::BIGINT AS sole_bit, fail_bits = 0 AS kept
+FROM f
+"""
+
 ORACLE = {
     "op2_minhash_near_duplicates": OP2,
+    "op3_warc_revisits": OP3,
+    "op4_decontamination": OP4,
+    "op5_mixing": OP5,
+    "op8_sharding": OP8,
+    "op9_quality_rules": OP9,
 }
