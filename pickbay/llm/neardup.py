@@ -362,6 +362,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     final = (classes.join(first, "node", "left").withColumn("label", F.coalesce("label", "node"))
              .join(second, "label", "left")
              .select("set_hi", "set_lo", F.coalesce("last", "label").alias("component")))
+    # written, so that the join below meets two plain shuffles and a hot class of copies can be split
+    final = stage(final, "neardup-classes")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return (feats.select("doc_id", "n_shingles", "set_hi", "set_lo").join(final, ["set_hi", "set_lo"], "left")
             .select("doc_id", "n_shingles", own.alias("component_id"),

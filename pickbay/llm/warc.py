@@ -140,9 +140,10 @@ def _read(payloads: bool):
         for files in batches:
             for content in files.column(0):
                 data = content.as_buffer()
-                plain = pa.BufferReader(data) if data[:2].to_pybytes() != b"\x1f\x8b" else gzip.GzipFile(fileobj=pa.BufferReader(data))
+                raw = pa.BufferReader(data)
+                stream = io.BufferedReader(gzip.GzipFile(fileobj=raw) if data[:2].to_pybytes() == b"\x1f\x8b" else raw)
                 rows, size = [], 0
-                for fields, block in parse(io.BufferedReader(plain) if isinstance(plain, gzip.GzipFile) else plain):
+                for fields, block in parse(stream):
                     rows.append(_row(fields, block, payloads))
                     size += len(block) * payloads + 500
                     if size > 4 << 20:
