@@ -62,9 +62,9 @@ def valid_after(check_tm, submit_tm) -> Column:
 
 
 def latest_order_time(end_date_text: str, lead_days, default_days: int) -> Column:
-    """'yyyy-MM-dd HH:mm' of end day 23:59 minus the lead time in days (whole
-    seconds, floored); wall-clock arithmetic, independent of the session zone."""
+    """'yyyy-MM-dd HH:mm' of end day 23:59 minus the lead time in days (the
+    difference floored to whole seconds); wall-clock arithmetic, independent of the session zone."""
     lead = F.coalesce(_col(lead_days).cast("double"), F.lit(float(default_days)))
-    back = F.floor(F.lit(86400) * lead).cast("bigint")
+    back = F.ceil(F.lit(86400) * lead).cast("bigint")
     end = F.lit(f"{end_date_text} 23:59:00").cast("timestamp_ntz")
     return F.date_format(F.timestamp_add("SECOND", -back, end), "yyyy-MM-dd HH:mm")

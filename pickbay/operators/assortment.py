@@ -70,6 +70,13 @@ def mark_selected(catalogue: DataFrame, selected: DataFrame, flags: DataFrame) -
             .drop("_sel", "_mov"))
 
 
+def sold_lines(order_lines: DataFrame) -> DataFrame:
+    """Order lines with a usable quantity as a double.  Raw quantities may be
+    text; text that is no number, and negative numbers, drop the line."""
+    qty = F.col("sale_qtty").try_cast("double")
+    return order_lines.withColumn("sale_qtty", qty).where(F.col("sale_qtty") >= 0)
+
+
 def assortment_orders(catalogue: DataFrame, order_lines: DataFrame, carry=()) -> DataFrame:
     """Order facts: order lines shipped from a SKU's current store, plus the
     catalogue columns in `carry` (e.g. is_selected of a marked catalogue).
@@ -80,10 +87,8 @@ def assortment_orders(catalogue: DataFrame, order_lines: DataFrame, carry=()) ->
     (or the catalogue is broadcast when it measures small).
     """
     a = catalogue.select(SKU, F.col(CURRENT).alias("store_id"), FUTURE, *carry)
-    qty = F.col("sale_qtty").try_cast("double")  # raw quantities may be text
-    b = (order_lines.where(qty >= 0)
-         .select(SKU, "store_id", F.col("parent_sale_ord_id").alias("ord_id"), qty.alias("sale_qtty"),
-                 day_of("out_wh_tm").alias("sub_dt")))
+    b = sold_lines(order_lines).select(SKU, "store_id", F.col("parent_sale_ord_id").alias("ord_id"), "sale_qtty",
+                                       day_of("out_wh_tm").alias("sub_dt"))
     return (a.join(b, ["store_id", SKU], "inner")
             .where(F.col("sub_dt").isNotNull())
             .select(SKU, FUTURE, "sub_dt", "ord_id", "sale_qtty", *carry))
@@ -106,9 +111,8 @@ def assortment_orders_unsold(marked_upload: DataFrame, order_lines: DataFrame) -
     that partition column gets it from the ship time, which is what it holds.
     """
     sub_dt = F.col("sub_dt") if "sub_dt" in order_lines.columns else day_of("out_wh_tm")
-    b = (order_lines.where(F.col("sale_qtty") >= 0)
-         .select(SKU, "store_id", "out_wh_tm", F.col("parent_sale_ord_id").alias("ord_id"), "sale_qtty",
-                 sub_dt.alias("sub_dt")))
+    b = sold_lines(order_lines).select(SKU, "store_id", "out_wh_tm", F.col("parent_sale_ord_id").alias("ord_id"),
+                                       "sale_qtty", sub_dt.alias("sub_dt"))
     a = marked_upload.withColumn("store_id", F.col("store_id").cast("string"))
     return (a.join(b, ["store_id", SKU], "left")
             .select(SKU, "future_store_id", "is_selected", "out_wh_tm", "ord_id", "sale_qtty", "sub_dt"))

@@ -20,7 +20,11 @@ def verify_counts(upload_all: DataFrame, upload_selected: DataFrame, marked: Dat
 
 # ---- matrix form (SKU x order counts, kept in long form) --------------------
 
-BUCKETS = ["selected_store_1", "selected_store_2", "unselected_store_1", "unselected_store_2"]
+KINDS, STORES = ("selected", "unselected"), (1, 2)
+
+
+def bucket(kind: str, store: int) -> str:
+    return f"{kind}_store_{store}"
 
 
 def order_bucket_pivot(lines: DataFrame, selected: DataFrame, store1_skus: DataFrame) -> DataFrame:
@@ -29,24 +33,25 @@ def order_bucket_pivot(lines: DataFrame, selected: DataFrame, store1_skus: DataF
     `lines` is (ord_id, sku_id, qty); a SKU is in store 1 when it is listed in
     `store1_skus`, otherwise in store 2.
     """
-    sel = selected.select(SKU).distinct().withColumn("_sel", F.lit(True))
-    s1 = store1_skus.select(SKU).distinct().withColumn("_s1", F.lit(True))
-    j = lines.join(sel, SKU, "left").join(s1, SKU, "left")
-    is_sel = F.coalesce("_sel", F.lit(False))
-    in_1 = F.coalesce("_s1", F.lit(False))
-    conds = [is_sel & in_1, is_sel & ~in_1, ~is_sel & in_1, ~is_sel & ~in_1]
-    return j.groupBy("ord_id").agg(*[F.sum(F.when(c, F.col("qty")).otherwise(0.0)).alias(b)
-                                     for c, b in zip(conds, BUCKETS)])
+    chosen = selected.select(SKU).distinct().withColumn("_chosen", F.lit(True))
+    first = store1_skus.select(SKU).distinct().withColumn("_first", F.lit(True))
+    j = lines.join(chosen, SKU, "left").join(first, SKU, "left")
+    kind = F.when(F.col("_chosen"), KINDS[0]).otherwise(KINDS[1])
+    store = F.when(F.col("_first"), STORES[0]).otherwise(STORES[1])
+    return j.groupBy("ord_id").agg(*[
+        F.sum(F.when((kind == k) & (store == n), F.col("qty")).otherwise(0.0)).alias(bucket(k, n))
+        for k in KINDS for n in STORES])
 
 
 def mark_orders_matrix(pivot: DataFrame) -> DataFrame:
-    """Order is servable unless (c1) unselected units sit in both stores,
-    (c2) store 2 only and mixed, or (c3) store 1 only and mixed."""
-    s1, s2, u1, u2 = (F.col(b) for b in BUCKETS)
-    c1 = (u1 > 0) & (u2 > 0)
-    c2 = (s1 == 0) & (s2 > 0) & (u1 == 0) & (u2 > 0)
-    c3 = (s1 > 0) & (s2 == 0) & (u1 > 0) & (u2 == 0)
-    return pivot.select("ord_id", F.when(c1 | c2 | c3, 0).otherwise(1).alias("choice_flag"))
+    """An order can't be served if unselected units lie in both stores, or if it
+    uses exactly one store and mixes both kinds there."""
+    has = {(k, n): F.col(bucket(k, n)) > 0 for k in KINDS for n in STORES}
+    stray = has[KINDS[1], 1] & has[KINDS[1], 2]
+    used = [has[KINDS[0], n] | has[KINDS[1], n] for n in STORES]
+    both_kinds = (has[KINDS[0], 1] | has[KINDS[0], 2]) & (has[KINDS[1], 1] | has[KINDS[1], 2])
+    one_store_mixed = (used[0] != used[1]) & both_kinds
+    return pivot.select("ord_id", (~(stray | one_store_mixed)).cast("int").alias("choice_flag"))
 
 
 def sku_split_units(lines: DataFrame, choice: DataFrame, selected: DataFrame) -> DataFrame:

@@ -20,14 +20,15 @@ def sku_split_sales(marked_facts: DataFrame, flags: DataFrame) -> DataFrame:
 
     Selected lines are summed per (order, SKU) before the join with the order
     flags, so an order holding a large share of all lines enters the join
-    with one row per distinct SKU, a size bounded by the catalogue.
+    with one row per distinct SKU, a size bounded by the catalogue.  Lines
+    without an order have no flag and go round the join.
     """
     per_order_sku = (marked_facts.where(F.col("is_selected") == 1)
                      .groupBy("ord_id", SKU).agg(F.sum("sale_qtty").alias("qty")))
-    j = per_order_sku.join(flags, "ord_id", "left")
-    return j.groupBy(SKU).agg(
-        F.sum(F.when(F.col("choice_flag") == 1, F.col("qty")).otherwise(0)).alias("sale_in_hot"),
-        F.sum("qty").alias("sale_total"))
+    known = (per_order_sku.where(F.col("ord_id").isNotNull()).join(flags, "ord_id", "left")
+             .select(SKU, F.when(F.col("choice_flag") == 1, F.col("qty")).otherwise(F.lit(0.0)).alias("hot"), "qty"))
+    lone = per_order_sku.where(F.col("ord_id").isNull()).select(SKU, F.lit(0.0).alias("hot"), "qty")
+    return known.unionAll(lone).groupBy(SKU).agg(F.sum("hot").alias("sale_in_hot"), F.sum("qty").alias("sale_total"))
 
 
 def stock_clean(stock: DataFrame, scn: Scenario) -> DataFrame:

@@ -30,27 +30,24 @@ def order_store_summary(marked_facts: DataFrame) -> DataFrame:
 def flags_from_summary(summary: DataFrame) -> DataFrame:
     """choice_flag per order: 1 when the order can be served without a new split.
 
-    With f1 = stores, f2 = distinct is_selected values, g1 = distinct (store,
-    selected) pairs, g2 / g3 = stores holding selected / unselected lines, the
-    flag is (f1=1 & f2=1) | (f1=2 & f2=1) | (f1=2 & f2=2 & (g1=2 | (g2=2 & g3=1))).
-    The five distinct counts come from the (order, store) summary, so there is
-    no Expand of every line; null stores count for f2 only, as in
-    COUNT(DISTINCT ...).  Lines without an order id are not marked (they never
-    join back to an order).
+    An order of one kind (all selected or all unselected) may span one or two
+    stores.  A mixed order must span two: either each store holds one kind, or
+    both hold selected lines and one of them unselected lines too.  Each
+    (order, store) row already says which kinds are there, so plain sums decide.
+    Lines without a store count for the mix only; lines without an order are
+    not marked.
     """
-    s = summary.where(F.col("ord_id").isNotNull())
-    has_store = F.col(FUTURE).isNotNull()
-    per_order = s.groupBy("ord_id").agg(
-        F.count(FUTURE).alias("f1"),
-        (F.max("has_sel") + F.max("has_unsel")).alias("f2"),
-        F.sum(F.when(has_store, F.col("has_sel")).otherwise(0)).alias("g2"),
-        F.sum(F.when(has_store, F.col("has_unsel")).otherwise(0)).alias("g3"),
-    )
-    f1, f2, g2, g3 = (F.col(c) for c in ("f1", "f2", "g2", "g3"))
-    g1 = g2 + g3
-    ok = (((f1 == 1) & (f2 == 1)) | ((f1 == 2) & (f2 == 1))
-          | ((f1 == 2) & (f2 == 2) & ((g1 == 2) | ((g2 == 2) & (g3 == 1)))))
-    return per_order.select("ord_id", F.when(ok, 1).otherwise(0).alias("choice_flag"))
+    known = summary.where(F.col("ord_id").isNotNull())
+    here = F.col(FUTURE).isNotNull().cast("int")
+    per_order = known.groupBy("ord_id").agg(
+        F.sum(here).alias("stores"),
+        F.sum(here * F.col("has_sel")).alias("sel_stores"),
+        F.sum(here * F.col("has_unsel")).alias("unsel_stores"),
+        (F.max("has_sel") + F.max("has_unsel") == 2).alias("mixed"))
+    split_cleanly = (F.col("sel_stores") + F.col("unsel_stores") == 2) | (
+        (F.col("sel_stores") == 2) & (F.col("unsel_stores") == 1))
+    servable = F.when(~F.col("mixed"), F.col("stores").isin(1, 2)).otherwise((F.col("stores") == 2) & split_cleanly)
+    return per_order.select("ord_id", servable.cast("int").alias("choice_flag"))
 
 
 def order_flags(marked_facts: DataFrame) -> DataFrame:
@@ -73,14 +70,16 @@ def order_weight(facts: DataFrame) -> DataFrame:
 def daily_order_count(facts: DataFrame) -> DataFrame:
     """Weighted order count per (ship day, SKU), rounded to 2 decimals.
 
-    Lines are first summed per (order, SKU, day) so the join with the order
-    weights shuffles one row per distinct triple, not one per line.  Lines
-    without an order weigh 1.  The count is an exact decimal so the later
-    running totals compare exactly.
+    A line weighs 1 / (distinct SKUs of its order); lines without an order
+    weigh 1 and stay out of the join.  Lines are counted per (day, SKU, order
+    size) as integers and only then divided, as decimals of 11 digits, so the
+    result doesn't depend on the order of summation.
     """
     lines = facts.groupBy("ord_id", "sub_dt", SKU).agg(F.count(F.lit(1)).alias("n_lines"))
-    weights = order_weight(lines)
-    w = F.coalesce(F.col("ord_weight"), F.lit(1.0))
-    return (lines.join(weights, "ord_id", "left")
-            .groupBy("sub_dt", SKU)
-            .agg(F.round(F.sum(F.col("n_lines") * w), 2).cast("decimal(18,2)").alias("ord_cnt")))
+    known = lines.where(F.col("ord_id").isNotNull())
+    sizes = known.select("ord_id", SKU).distinct().groupBy("ord_id").agg(F.count(F.lit(1)).alias("n_skus"))
+    sized = known.join(sizes, "ord_id").select("sub_dt", SKU, "n_skus", "n_lines")
+    lone = lines.where(F.col("ord_id").isNull()).select("sub_dt", SKU, F.lit(1).cast("long").alias("n_skus"), "n_lines")
+    per_size = sized.unionAll(lone).groupBy("sub_dt", SKU, "n_skus").agg(F.sum("n_lines").alias("n_lines"))
+    share = F.col("n_lines").cast("decimal(20,0)") / F.col("n_skus").cast("decimal(10,0)")
+    return per_size.groupBy("sub_dt", SKU).agg(F.round(F.sum(share), 2).cast("decimal(18,2)").alias("ord_cnt"))

@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickbay.operators.assortment import FUTURE, SKU, can_choose_by_sku, can_choose_flags
-from pickbay.operators.prefix import running_total, window_running_total
+from pickbay.operators.prefix import running_total
 
-CUM_TYPE = "decimal(38,2)"
-LIMIT_TYPE = "decimal(38,4)"
+# Narrow enough that comparing the two keeps all four fraction digits: Spark
+# would round the limit to two if both had 38 digits.
+CUM_TYPE = "decimal(28,2)"
+LIMIT_TYPE = "decimal(34,4)"
 
 
 @dataclass(frozen=True)
@@ -52,26 +54,11 @@ def selection_params(shares: DataFrame) -> SelectionParams:
     return SelectionParams(stores, per_store)
 
 
-# A day of the daily table holds at most one row per SKU of the catalogue, so
-# the catalogue size bounds what a per-day window puts into one task.  Up to
-# this many SKUs the window is used; beyond it the distributed running total.
-WINDOW_MAX_SKUS = 2_000_000
+def _running(rows: DataFrame, order, value) -> DataFrame:
+    return running_total(rows, "sub_dt", order, value, "cumulative_total")
 
 
-def running_strategy(catalogue: DataFrame, max_skus: int | None = None) -> str:
-    """'window' when the catalogue bounds a day below `max_skus` rows, else 'range'."""
-    limit = WINDOW_MAX_SKUS if max_skus is None else max_skus
-    n = catalogue.select(SKU).distinct().count()
-    return "window" if n <= limit else "range"
-
-
-def _running(rows: DataFrame, order, value, strategy: str | None) -> DataFrame:
-    fn = window_running_total if strategy == "window" else running_total
-    return fn(rows, "sub_dt", order, value, "cumulative_total")
-
-
-def pareto_cumulative(daily: DataFrame, flags: DataFrame, share: Decimal | None,
-                      strategy: str | None = None) -> DataFrame:
+def pareto_cumulative(daily: DataFrame, flags: DataFrame, share: Decimal | None) -> DataFrame:
     """Joint form: running selectable count and the day's limit (share x all orders).
 
     The day total is an aggregate (one row per day) joined back, not an
@@ -79,9 +66,9 @@ def pareto_cumulative(daily: DataFrame, flags: DataFrame, share: Decimal | None,
     """
     rows = daily.join(can_choose_by_sku(flags), SKU, "left")
     totals = daily.groupBy("sub_dt").agg(F.sum("ord_cnt").alias("_day_total"))
-    run = _running(rows, [F.desc("ord_cnt"), F.asc(SKU)], F.col("ord_cnt") * F.col("canchoose_flag"), strategy)
+    run = _running(rows, [F.desc("ord_cnt"), F.asc(SKU)], F.col("ord_cnt") * F.col("canchoose_flag"))
     share_col = F.lit(share).cast("decimal(4,2)")
-    return run.join(F.broadcast(totals), "sub_dt").select(
+    return run.join(totals, "sub_dt").select(
         "sub_dt", SKU, "ord_cnt", "canchoose_flag",
         F.col("cumulative_total").cast(CUM_TYPE).alias("cumulative_total"),
         (F.col("_day_total") * share_col).cast(LIMIT_TYPE).alias("total_ord"))
@@ -91,16 +78,15 @@ def _choosable(flags: DataFrame) -> DataFrame:
     return can_choose_flags(flags).where(F.col("canchoose_flag") == 1).select(SKU).distinct()
 
 
-def pareto_pick(daily: DataFrame, flags: DataFrame, share: Decimal | None,
-                strategy: str | None = None) -> DataFrame:
+def pareto_pick(daily: DataFrame, flags: DataFrame, share: Decimal | None) -> DataFrame:
     """Joint pick: (sub_dt, sku_id) rows within the day's limit."""
-    cum = pareto_cumulative(daily, flags, share, strategy)
+    cum = pareto_cumulative(daily, flags, share)
     picked = cum.where(F.col("cumulative_total") <= F.col("total_ord")).select("sub_dt", SKU)
     return picked.join(_choosable(flags), SKU, "left_semi")
 
 
 def pareto_pick_by_store(daily: DataFrame, flags: DataFrame, stores: tuple[StoreShare, ...],
-                         strategy: str | None = None, restrict_to_store: bool = False) -> DataFrame:
+                         restrict_to_store: bool = False) -> DataFrame:
     """Per-store pick: the limit counts only the store's SKUs, while the running
     total still spans every selectable SKU of the day (as the reference does).
     With `restrict_to_store=True` the running total and the picks are limited
@@ -110,10 +96,10 @@ def pareto_pick_by_store(daily: DataFrame, flags: DataFrame, stores: tuple[Store
     limits are one aggregate with a column per store (the mode has two).
     """
     if restrict_to_store:
-        picks = [pareto_pick_by_store(daily, flags.where(F.col(FUTURE) == s.store_id), (s,), strategy)
+        picks = [pareto_pick_by_store(daily, flags.where(F.col(FUTURE) == s.store_id), (s,))
                  .withColumn("store_rank", F.lit(s.rank)) for s in stores]
         if not picks:
-            return pareto_pick_by_store(daily, flags, (), strategy)
+            return pareto_pick_by_store(daily, flags, ())
         out = picks[0]
         for p in picks[1:]:
             out = out.unionByName(p)
@@ -126,8 +112,8 @@ def pareto_pick_by_store(daily: DataFrame, flags: DataFrame, stores: tuple[Store
         (F.sum(F.col("ord_cnt") * F.when(F.col(FUTURE) == s.store_id, 1).otherwise(0))
          * F.lit(s.share).cast("decimal(4,2)")).cast(LIMIT_TYPE).alias(f"_limit{s.rank}") for s in stores])
     run = _running(rows, [F.desc("ord_cnt"), F.asc(SKU), F.asc(FUTURE)],
-                   F.col("ord_cnt") * F.col("canchoose_flag"), strategy)
-    cum = run.join(F.broadcast(limits), "sub_dt")
+                   F.col("ord_cnt") * F.col("canchoose_flag"))
+    cum = run.join(limits, "sub_dt")
     picks = None
     for s in stores:
         p = (cum.where(F.col("cumulative_total") <= F.col(f"_limit{s.rank}"))

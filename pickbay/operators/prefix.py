@@ -1,85 +1,39 @@
 """Running totals that do not put a whole group into one task.
 
 `SUM(x) OVER (PARTITION BY g ORDER BY k ROWS UNBOUNDED PRECEDING)` runs each
-group `g` in a single task.  `running_total` computes the same column as a
-distributed scan:
+group `g` in a single task.  `running_total` computes the same column in parts:
 
-1. range-partition the rows on (g, k) so every task holds a contiguous slice
-   of the total order, and a big group is spread over many tasks;
-2. inside each task, a cumulative sum per group over the sorted slice
-   (numpy over Arrow batches, carrying the open group across batches);
-3. one summary row per (task, group) slice, at most tasks + groups - 1 rows,
-   whose preceding slices give each slice's offset (a window over that small
-   table), broadcast back and added.
+1. rows are range-partitioned on (g, k) and written once, each with the number of
+   its slice, so a slice is a fixed set of rows and a big group spans many;
+2. a window per (slice, g) gives the running sum inside the slice;
+3. one total per (slice, g), at most slices + groups - 1 rows, summed over the
+   group's earlier slices, gives what to add.
 
-Both uses of the range exchange read the same shuffle output (exchange reuse),
-and the in-task pass is deterministic, so slice ids agree between the two
-branches.  Values are decimals handled as scaled 64-bit integers, so the
-result is exact; like SQL SUM, the total is null until the first non-null
-value of the group.
+Values are decimals, so the result is exact; like SQL SUM, the total is null
+until the first non-null value of the group.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-
-def _local_pass(group_col: str):
-    def run(batches):
-        carry_key, carry_sum, carry_cnt, seen = None, 0, 0, False
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(_cum=pd.Series(dtype="int64"), _cnt=pd.Series(dtype="int64"))
-                continue
-            g = pdf[group_col]
-            first = (g != g.shift()).to_numpy()
-            first[0] = (not seen) or (g.iloc[0] != carry_key)
-            seg = first.cumsum()
-            units = pdf["_units"].astype("int64")
-            nn = pdf["_nn"].astype("int64")
-            cum = units.groupby(seg).cumsum().to_numpy()
-            cnt = nn.groupby(seg).cumsum().to_numpy()
-            if not first[0]:  # first segment continues the previous batch's group
-                head = seg == seg[0]
-                cum[head] += carry_sum
-                cnt[head] += carry_cnt
-            carry_key, carry_sum, carry_cnt, seen = g.iloc[-1], int(cum[-1]), int(cnt[-1]), True
-            yield pdf.assign(_cum=cum, _cnt=cnt)
-    return run
+from pickbay.session import stage
 
 
 def running_total(df: DataFrame, group_col: str, order: list[Column], value: Column, out: str,
                   scale: int = 2, partitions: int | None = None) -> DataFrame:
     """Add `out` = running sum of `value` (a decimal of `scale` digits) per
     `group_col` in the order `order`, which must be total within a group."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    factor = 10 ** scale
-    prepared = df.select("*", F.coalesce((value * factor).cast("long"), F.lit(0)).alias("_units"),
-                         value.isNotNull().cast("int").alias("_nn"))
-    sort = [F.col(group_col).asc(), *order]
-    ranged = (prepared.repartitionByRange(n, *sort)
-              .sortWithinPartitions(*sort)
-              .withColumn("_slice", F.spark_partition_id()))
-    schema = T.StructType(ranged.schema.fields + [T.StructField("_cum", T.LongType()),
-                                                  T.StructField("_cnt", T.LongType())])
-    local = ranged.mapInPandas(_local_pass(group_col), schema)
-    slices = local.groupBy("_slice", group_col).agg(F.sum("_units").alias("_s"), F.sum("_nn").alias("_c"))
-    before = Window.partitionBy(group_col).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select("_slice", group_col,
-                            F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off_s"),
-                            F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off_c"))
-    j = local.join(F.broadcast(offsets), ["_slice", group_col])
-    total = (F.col("_cum") + F.col("_off_s")).cast("decimal(38,0)") / F.lit(factor)
-    result = F.when(F.col("_cnt") + F.col("_off_c") > 0, total.cast(f"decimal(38,{scale})"))
-    return j.withColumn(out, result).drop("_units", "_nn", "_slice", "_cum", "_cnt", "_off_s", "_off_c")
-
-
-def window_running_total(df: DataFrame, group_col: str, order: list[Column], value: Column, out: str,
-                         scale: int = 2) -> DataFrame:
-    """The same column with a window (one task per group); for small inputs and tests."""
-    w = Window.partitionBy(group_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out, F.sum(value).over(w).cast(f"decimal(38,{scale})"))
+    keys = [F.col(group_col).asc(), *order]
+    rows = df.withColumn("_value", value.cast(f"decimal(18,{scale})"))
+    ranged = rows.repartitionByRange(partitions, *keys) if partitions else rows.repartitionByRange(*keys)
+    sliced = stage(ranged.withColumn("_slice", F.spark_partition_id()), "running-total")
+    earlier = Window.partitionBy(group_col).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (sliced.groupBy("_slice", group_col).agg(F.sum("_value").alias("_sum"))
+               .select("_slice", group_col, F.sum("_sum").over(earlier).alias("_offset")))
+    within = (Window.partitionBy("_slice", group_col).orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    j = sliced.withColumn("_inside", F.sum("_value").over(within)).join(offsets, ["_slice", group_col])
+    total = F.coalesce(F.col("_inside") + F.col("_offset"), "_inside", "_offset")
+    return j.withColumn(out, total.cast(f"decimal(28,{scale})")).drop("_value", "_slice", "_inside", "_offset")

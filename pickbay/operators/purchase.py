@@ -53,20 +53,32 @@ def booking_latest(booking: DataFrame, pw: PurchaseWindow) -> DataFrame:
                        F.col("r.booktime").alias("book_delivery_time"), F.col("r.bookno").alias("bookno"))
 
 
-def inbound_receipts(inbound: DataFrame, pw: PurchaseWindow) -> DataFrame:
-    """Warehouse receipts; the receipt id is the purchase id with a 'C' prefix."""
+def _latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The last row per `keys` by `order`, then by the other columns (one aggregation)."""
+    rest = [c for c in rows.columns if c not in keys and c not in order]
+    last = rows.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("r"))
+    return last.select(*keys, "r.*").select(*rows.columns)
+
+
+def inbound_receipts(inbound: DataFrame, pw: PurchaseWindow, dedup: str | None = None) -> DataFrame:
+    """Warehouse receipts; the receipt id is the purchase id with a 'C' prefix.
+    Several receipts per (order, SKU) fan out the wide table; dedup='latest'
+    keeps the one shelved last."""
     r = active_scan(inbound).where(_in_window("pur_create_date", pw))
-    return r.select(
+    rows = r.select(
         F.regexp_replace("purchase_ib_id", "C", "").alias("purchase_ib_id"),
         "item_sku_id", "distribute_no", "arrive_tm",
         text_to_int("insp_qtty").alias("insp_qtty"), "insp_tm",
         text_to_int("shelves_qtty").alias("shelves_qtty"), "shelves_tm", "book_id")
+    return _latest(rows, ["purchase_ib_id", "item_sku_id"], ["shelves_tm", "insp_tm", "arrive_tm"]) if dedup == "latest" else rows
 
 
-def supplier_backinfo(backinfo: DataFrame, pw: PurchaseWindow) -> DataFrame:
-    """Supplier confirmations (backtype '1') valid at the end date."""
+def supplier_backinfo(backinfo: DataFrame, pw: PurchaseWindow, dedup: str | None = None) -> DataFrame:
+    """Supplier confirmations (backtype '1') valid at the end date.  Several per
+    order fan out the wide table; dedup='latest' keeps the last."""
     b = as_of(backinfo, pw.end_text).where((F.col("backtype") == "1") & _in_window("createtime", pw))
-    return b.select("orderid", F.col("createtime").alias("backtime"))
+    rows = b.select("orderid", F.col("createtime").alias("backtime"))
+    return rows.groupBy("orderid").agg(F.max("backtime").alias("backtime")) if dedup == "latest" else rows
 
 
 def _lifecycle_window(chain: DataFrame, pw: PurchaseWindow) -> DataFrame:
@@ -117,11 +129,7 @@ def cancel_events(chain: DataFrame, pw: PurchaseWindow, dedup: str | None = None
     c = _lifecycle_window(chain, pw).where(F.col("actiontype").isin(CANCEL_ACTIONS))
     rows = c.select("poid", F.col("oldstate").alias("cancel_state"), F.col("actiontype").alias("cancel_type"),
                     F.col("descr").alias("cancel_reason"), F.col("createtime").alias("cancel_tm"), "creator", "id")
-    if dedup == "latest":
-        last = rows.groupBy("poid").agg(F.max(F.struct("cancel_tm", "id", "cancel_state", "cancel_type",
-                                                       "cancel_reason", "creator")).alias("r"))
-        rows = last.select("poid", "r.*")
-    return rows.drop("id")
+    return (_latest(rows, ["poid"], ["cancel_tm", "id"]) if dedup == "latest" else rows).drop("id")
 
 
 def stock_out_lead(stock_out: DataFrame, pw: PurchaseWindow) -> DataFrame:
@@ -130,10 +138,9 @@ def stock_out_lead(stock_out: DataFrame, pw: PurchaseWindow) -> DataFrame:
 
 
 def dc_map(dc_info: DataFrame) -> DataFrame:
-    """Small and medium item DCs to their regional DC (a dimension of a few
-    hundred rows at most, so it is broadcast)."""
-    return F.broadcast(dc_info.where(F.col("dc_type").isin(DC_TYPES))
-                       .select(F.col("dc_id").alias("int_org_num"), "org_dc_id").distinct())
+    """Small and medium item DCs to their regional DC."""
+    return (dc_info.where(F.col("dc_type").isin(DC_TYPES))
+            .select(F.col("dc_id").alias("int_org_num"), "org_dc_id").distinct())
 
 
 def with_lead_and_dc(header: DataFrame, stock_out: DataFrame, dc_info: DataFrame, pw: PurchaseWindow) -> DataFrame:
@@ -155,10 +162,11 @@ WIDE_COLS = [
 
 def purchase_wide(header: DataFrame, booking: DataFrame, inbound: DataFrame, backinfo: DataFrame,
                   lifecycle: DataFrame, stock_out: DataFrame, dc_info: DataFrame, pw: PurchaseWindow,
-                  cancel_dedup: str | None = None) -> DataFrame:
+                  cancel_dedup: str | None = None, confirm_dedup: str | None = None,
+                  receipt_dedup: str | None = None) -> DataFrame:
     """The 46-column purchase wide table, bound by name.
 
-    Order of joins: lead time and the DC dimension (broadcast) on (sku, dc),
+    Order of joins: lead time and the DC dimension on (sku, dc),
     then receipts on (bill, sku), then everything keyed by the bill alone, so
     the wide side is shuffled once per key set; the one-row-per-bill sides are
     merged and joined once; the per-bill sides that fan out (confirmations,
@@ -168,9 +176,9 @@ def purchase_wide(header: DataFrame, booking: DataFrame, inbound: DataFrame, bac
     r3 = booking_latest(booking, pw).withColumnRenamed("poid", "pur_bill_id")
     r5 = lifecycle_roles(lifecycle, pw).withColumnRenamed("poid", "pur_bill_id") \
         .withColumnRenamed("backtime", "r5_backtime")
-    r2 = inbound_receipts(inbound, pw).withColumnRenamed("item_sku_id", "sku_id") \
+    r2 = inbound_receipts(inbound, pw, receipt_dedup).withColumnRenamed("item_sku_id", "sku_id") \
         .withColumnRenamed("purchase_ib_id", "pur_bill_id")
-    r4 = supplier_backinfo(backinfo, pw).withColumnRenamed("orderid", "pur_bill_id")
+    r4 = supplier_backinfo(backinfo, pw, confirm_dedup).withColumnRenamed("orderid", "pur_bill_id")
     r6 = cancel_events(lifecycle, pw, cancel_dedup).withColumnRenamed("poid", "pur_bill_id") \
         .withColumnRenamed("creator", "cancel_creator")
     # Booking and approval roles have one row per bill: merged first (small
@@ -184,25 +192,15 @@ def purchase_wide(header: DataFrame, booking: DataFrame, inbound: DataFrame, bac
          .join(per_bill, "pur_bill_id", "left")
          .join(r4, "pur_bill_id", "left")
          .join(r6, "pur_bill_id", "left"))
-    return j.select(
-        "pur_bill_id", "pur_bill_src_cd", "pur_bill_attribute_cd", "pur_type_cd", "cgdetail_yn", "valid_flag",
-        "sku_id", "item_third_cate_cd", "supp_brevity_cd", "supp_name",
-        minute_text("create_tm").alias("create_tm"), minute_text("complete_dt").alias("complete_dt"),
-        "int_org_num", "originalnum",
-        F.when(F.col("backtime").isNotNull(), F.col("plan_pur_qtty")).alias("plan_pur_qtty"),
-        F.lit(None).cast("string").alias("actual_pur_qtty"),
-        "purchase_ib_id", minute_text("arrive_tm").alias("arrive_tm"), "insp_qtty",
-        minute_text("insp_tm").alias("insp_tm"), "shelves_qtty", minute_text("shelves_tm").alias("shelves_tm"),
-        minute_text("booktime").alias("booktime"), minute_text("backtime").alias("backtime"),
-        minute_text("cancel_tm").alias("cancel_tm"), minute_text("check_tm").alias("check_tm"),
-        minute_text("r5_backtime").alias("back_time"),
-        "cancel_reason", "cancel_type", F.col("cancel_creator").alias("creator"), "cancelcreatetime",
-        "cancel_state", "auto_check_flag", minute_text("book_delivery_time").alias("book_delivery_time"),
-        minute_text("submit_tm").alias("submit_tm"),
-        valid_after("manager_check_tm", "submit_tm").alias("manager_check_tm"),
-        valid_after("director_check_tm", "submit_tm").alias("director_check_tm"),
-        valid_after("qc_check_tm", "submit_tm").alias("qc_check_tm"),
-        "last_order_tm",
-        "submitter", F.col("manager").alias("manager_checker"), F.col("director").alias("director_checker"),
-        F.col("qc").alias("qc_checker"), F.col("purchaser_erp_acct").alias("po_creator"), "org_dc_id",
-        "pur_agmt_status_cd")
+    derived = {
+        **{c: minute_text(c) for c in ("create_tm", "complete_dt", "arrive_tm", "insp_tm", "shelves_tm", "booktime", "backtime",
+                                       "cancel_tm", "check_tm", "book_delivery_time", "submit_tm")},
+        **{c: valid_after(c, "submit_tm") for c in ("manager_check_tm", "director_check_tm", "qc_check_tm")},
+        # planned quantities count once the supplier has confirmed
+        "plan_pur_qtty": F.when(F.col("backtime").isNotNull(), F.col("plan_pur_qtty")),
+        "actual_pur_qtty": F.lit(None).cast("string"),
+        "back_time": minute_text("r5_backtime"), "creator": F.col("cancel_creator"),
+        "manager_checker": F.col("manager"), "director_checker": F.col("director"), "qc_checker": F.col("qc"),
+        "po_creator": F.col("purchaser_erp_acct"),
+    }
+    return j.select(*[derived.get(c, F.col(c)).alias(c) for c in WIDE_COLS])

@@ -4,8 +4,10 @@
         --date 2018-10-25 --pid P --ts T --catalogue <table> --selected <table> \\
         --order-lines <table> --stock <table> --transfers <table> --out <table>
 
-Inputs are table folders (parquet by default, `--format orc` for ORC);
-partition columns are discovered from the folder names.
+Inputs are table folders in the format of `--format` (parquet by default); an
+input in another format names it before a colon, e.g. `--order-lines tsv:<table>`
+for what `ingest` writes and `--selected orc:<table>` for what `select` writes.
+Partition columns are discovered from the folder names.
 """
 
 from __future__ import annotations
@@ -20,8 +22,23 @@ from pickbay.scenario import PurchaseWindow, Scenario
 from pickbay.session import apply_runtime_defaults, ensure_checkpoint_dir, size_shuffles
 
 
-def _read(spark: SparkSession, path: str, fmt: str):
-    return spark.read.format(fmt).load(path)
+FORMATS = ("parquet", "orc", "csv", "tsv", "json")
+#: Columns of the tables that the jobs hand to each other (text files name none).
+SCHEMAS = {"order_lines": ingest.ORDER_LINE_SCHEMA, "selected": "sku_id string, dt date, pid string, ts string"}
+
+
+def _split(spec: str, fmt: str) -> tuple[str, str]:
+    """(format, path) of an input: `fmt:path`, or a path in the default format."""
+    head, _, rest = spec.partition(":")
+    return (head, rest) if head in FORMATS and rest else (fmt, spec)
+
+
+def _read(spark: SparkSession, spec: str, default: str, table: str | None = None):
+    fmt, path = _split(spec, default)
+    if fmt not in ("csv", "tsv"):
+        return spark.read.format(fmt).load(path)
+    reader = spark.read.schema(SCHEMAS[table]) if table in SCHEMAS else spark.read.option("header", True)
+    return reader.option("sep", "\t" if fmt == "tsv" else ",").csv(path)
 
 
 def _scenario(a) -> Scenario:
@@ -31,6 +48,10 @@ def _scenario(a) -> Scenario:
     return Scenario(run_date=a.date, pid=a.pid, ts=a.ts, dc_id=getattr(a, "dc_id", None), **kw)
 
 
+DEDUP = ("cancel", "confirm", "receipt")
+OPTIONS = {"job", "date", "pid", "ts", "format", "out_format", "out", "thresholds", "dc_id", *(f"{d}_dedup" for d in DEDUP)}
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="pickbay")
     sub = p.add_subparsers(dest="job", required=True)
@@ -52,6 +73,7 @@ def parser() -> argparse.ArgumentParser:
     common(sp)
     sp.add_argument("--catalogue", required=True)
     sp.add_argument("--order-lines", required=True)
+    sp.add_argument("--dc-id")
     sp.add_argument("--thresholds", help="votes needed by the first,second store, e.g. 18,16")
 
     sp = sub.add_parser("divide", help="sales division -> ratio_result(dt, pid, ts)")
@@ -69,7 +91,8 @@ def parser() -> argparse.ArgumentParser:
     common(sp, scenario=False)
     for name in ("sku-info", "detail", "booking", "inbound", "backinfo", "lifecycle", "stock-out", "dc-info"):
         sp.add_argument(f"--{name}", required=True)
-    sp.add_argument("--cancel-dedup", choices=["latest"])
+    for name in DEDUP:
+        sp.add_argument(f"--{name}-dedup", choices=["latest"])
     return p
 
 
@@ -78,32 +101,29 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     spark = spark or SparkSession.builder.appName(f"pickbay-{a.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
     apply_runtime_defaults(spark)
-    inputs = [v for k, v in vars(a).items()
-              if k not in ("job", "date", "pid", "ts", "format", "out_format", "out", "thresholds", "dc_id",
-                           "cancel_dedup") and isinstance(v, str)]
-    size_shuffles(spark, inputs)
     fmt = a.format
+    size_shuffles(spark, [_split(v, fmt)[1] for k, v in vars(a).items() if k not in OPTIONS and isinstance(v, str)])
     out_fmt = {"out_format": a.out_format} if a.out_format else {}
     if a.job == "ingest":
         scn = Scenario(run_date=a.date, pid="", ts="")
-        ingest.backfill(spark, _read(spark, a.raw, fmt), a.out, scn)
+        ingest.backfill(spark, _read(spark, a.raw, fmt), a.out, scn, fmt=a.out_format or "tsv")
     elif a.job == "select":
-        selection.run_selection(_read(spark, a.catalogue, fmt), _read(spark, a.order_lines, fmt), _scenario(a), a.out,
-                             **out_fmt)
+        selection.run_selection(_read(spark, a.catalogue, fmt), _read(spark, a.order_lines, fmt, "order_lines"),
+                                _scenario(a), a.out, **out_fmt)
     elif a.job == "divide":
-        divide.run_division(_read(spark, a.catalogue, fmt), _read(spark, a.selected, fmt),
-                            _read(spark, a.order_lines, fmt), _read(spark, a.stock, fmt),
+        divide.run_division(_read(spark, a.catalogue, fmt), _read(spark, a.selected, fmt, "selected"),
+                            _read(spark, a.order_lines, fmt, "order_lines"), _read(spark, a.stock, fmt),
                             _read(spark, a.transfers, fmt), _scenario(a), a.out, **out_fmt)
     elif a.job == "verify":
         scn = Scenario(run_date=a.date, pid="", ts="")
-        counts = verify.run_check(spark, a.sku_all_csv, a.selected_csv, _read(spark, a.order_lines, fmt),
+        counts = verify.run_check(spark, a.sku_all_csv, a.selected_csv, _read(spark, a.order_lines, fmt, "order_lines"),
                                   _read(spark, a.stock, fmt), _read(spark, a.transfers, fmt), scn, a.out)
         print(" ".join(f"{k}={v}" for k, v in sorted(counts.items())))
     else:
         pw = PurchaseWindow(end_date=a.date)
         names = {"sku_info": a.sku_info, "detail": a.detail, "booking": a.booking, "inbound": a.inbound,
                  "backinfo": a.backinfo, "lifecycle": a.lifecycle, "stock_out": a.stock_out, "dc_info": a.dc_info}
-        purchase.run_purchase(a.out, pw, cancel_dedup=a.cancel_dedup, **out_fmt,
+        purchase.run_purchase(a.out, pw, **{f"{d}_dedup": getattr(a, f"{d}_dedup") for d in DEDUP}, **out_fmt,
                               **{k: _read(spark, v, fmt) for k, v in names.items()})
     return 0
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,27 +13,26 @@ from pickbay.operators import division as D
 from pickbay.operators import orders as O
 from pickbay.operators import proportions as P
 from pickbay.scenario import Scenario
-from pickbay.sinks import overwrite_partitions
+from pickbay.session import stage
+from pickbay.sinks import overwrite_partition
 from pickbay.sources.tables import day_scan, partition_scan
 
 
 class Division:
     """Every relation of the division job, each built on first use.
 
-    `reuse` (e.g. ``lambda df: df.checkpoint()``) is applied to the marked order
-    facts, which feed five consumers, and to the marked catalogue, which feeds
-    three.  Each consumer prunes different columns, so without it every one
-    re-scans and re-joins the order lines.  The job runner uses a reliable
-    checkpoint, so a lost executor does not force a re-scan either.
+    Relations with several consumers (the marked catalogue and order facts, the
+    per-order summary, and the per-SKU split, stock and transfers) are written
+    once as Parquet; each consumer reads its columns from there, so order lines,
+    stock and transfers are scanned once each.
     """
 
     def __init__(self, catalogue: DataFrame, selected: DataFrame, order_lines: DataFrame, stock: DataFrame,
-                 transfers: DataFrame, scn: Scenario, reuse=None):
+                 transfers: DataFrame, scn: Scenario):
         # inputs may be DataFrames or zero-argument callables returning one
         self._src = dict(catalogue=catalogue, selected=selected, order_lines=order_lines, stock=stock,
                          transfers=transfers)
         self.scn = scn
-        self._reuse = reuse or (lambda df: df)
 
     def _input(self, name: str) -> DataFrame:
         src = self._src[name]
@@ -57,7 +55,7 @@ class Division:
 
     @cached_property
     def marked_catalogue(self):
-        return self._reuse(A.mark_selected(self.catalogue, self.selected, self.flags))
+        return stage(A.mark_selected(self.catalogue, self.selected, self.flags), "marked-catalogue")
 
     @cached_property
     def facts(self):
@@ -67,11 +65,11 @@ class Division:
     def marked_facts(self):
         # is_selected comes with the catalogue side of the one facts join
         lines = day_scan(self._input("order_lines"), self.scn.yesterday)
-        return self._reuse(A.assortment_orders(self.marked_catalogue, lines, carry=["is_selected"]))
+        return stage(A.assortment_orders(self.marked_catalogue, lines, carry=["is_selected"]), "marked-facts")
 
     @cached_property
     def order_summary(self):
-        return O.order_store_summary(self.marked_facts)
+        return stage(O.order_store_summary(self.marked_facts), "order-summary")
 
     @cached_property
     def order_flags(self):
@@ -79,11 +77,12 @@ class Division:
 
     @cached_property
     def split(self):
-        return D.sku_split_sales(self.marked_facts, self.order_flags)
+        return stage(D.sku_split_sales(self.marked_facts, self.order_flags), "sku-split")
 
     @cached_property
     def stock(self):
-        return D.stock_by_future_store(self.marked_catalogue, D.stock_clean(self._input("stock"), self.scn))
+        return stage(D.stock_by_future_store(self.marked_catalogue, D.stock_clean(self._input("stock"), self.scn)),
+                     "future-stock")
 
     @cached_property
     def recent(self):
@@ -91,7 +90,7 @@ class Division:
 
     @cached_property
     def transfer(self):
-        return D.transfer_qty(self.marked_catalogue, self._input("transfers"), self.scn)
+        return stage(D.transfer_qty(self.marked_catalogue, self._input("transfers"), self.scn), "transfer-qty")
 
     @cached_property
     def info(self):
@@ -132,18 +131,11 @@ class Division:
 
 
 def division(catalogue: DataFrame, selected: DataFrame, order_lines: DataFrame, stock: DataFrame,
-             transfers: DataFrame, scn: Scenario, reuse=None) -> Division:
-    return Division(catalogue, selected, order_lines, stock, transfers, scn, reuse)
-
-
-def persisted(df: DataFrame) -> DataFrame:
-    """Keep a relation for its several consumers (memory, spilling to disk;
-    lost blocks are recomputed from lineage)."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+             transfers: DataFrame, scn: Scenario) -> Division:
+    return Division(catalogue, selected, order_lines, stock, transfers, scn)
 
 
 def run_division(catalogue, selected, order_lines, stock, transfers, scn: Scenario, out_path: str,
                  out_format: str = "orc") -> None:
-    d = division(catalogue, selected, order_lines, stock, transfers, scn, reuse=lambda df: df.checkpoint())
-    out = d.final.select("*", F.lit(scn.run_date).alias("dt"), F.lit(scn.pid).alias("pid"), F.lit(scn.ts).alias("ts"))
-    overwrite_partitions(out, out_path, ["dt", "pid", "ts"], fmt=out_format, compression="snappy")
+    d = division(catalogue, selected, order_lines, stock, transfers, scn)
+    overwrite_partition(d.final, out_path, scn.partition, fmt=out_format, compression="snappy")

@@ -3,8 +3,8 @@ general orders from the raw order detail into order_line(dt=run, sub_dt=day).
 
 The reference runs one insert per day (31 sequential jobs) and squeezes each
 day into a single task.  Here it is one job: a range filter over the whole
-window, `sub_dt` derived from the ship time, and a dynamic partition overwrite
-of every (dt, sub_dt) at once.  Rows are rebalanced on the ship day, so a busy
+window, `sub_dt` derived from the ship time, and one overwrite of the run's
+partition with all its ship days.  Rows are rebalanced on the ship day, so a busy
 day is split over several tasks while each task still writes to only a few day
 folders.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from pickbay.functions import day_of
 from pickbay.scenario import Scenario
-from pickbay.sinks import drop_partitions_before, overwrite_partitions
+from pickbay.sinks import drop_partitions_before, overwrite_partition
 from pickbay.sources.tables import read_tsv
 
 ORDER_LINE_COLS = ["sku_id", "store_id", "out_wh_tm", "item_third_cate_cd", "parent_sale_ord_id",
@@ -46,18 +46,23 @@ def ingest_order_lines(raw: DataFrame, scn: Scenario) -> DataFrame:
         F.lit(scn.run_date).alias("dt"), day.alias("sub_dt"))
 
 
-def backfill(spark: SparkSession, raw: DataFrame, path: str, scn: Scenario) -> list[str]:
-    """Write the window into `path` and apply retention; returns dropped dt values.
+def backfill(spark: SparkSession, raw: DataFrame, path: str, scn: Scenario, fmt: str = "tsv") -> list[str]:
+    """Replace the run's partition of `path` with the window and apply retention;
+    returns dropped dt values.
 
-    The rows are rebalanced on the ship day before the write: AQE groups each
-    day's rows into partitions of the advisory size, splitting a busy day over
-    several tasks and merging quiet ones, so files come out evenly sized
-    without a sampling pass over the input.
+    The whole dt = run partition is replaced, so a ship day that lost its lines
+    doesn't keep old ones.  The rows are rebalanced on the ship day before the
+    write: AQE groups each day's rows into partitions of the advisory size,
+    splitting a busy day over several tasks and merging quiet ones, so files come
+    out evenly sized without a sampling pass over the input.
     """
     lines = ingest_order_lines(raw, scn).hint("rebalance", "sub_dt")
-    overwrite_partitions(lines, path, ["dt", "sub_dt"], fmt="csv", sep="\t")
+    form = dict(fmt="csv", sep="\t") if fmt == "tsv" else dict(fmt=fmt)
+    overwrite_partition(lines, path, {"dt": scn.run_date.isoformat()}, by=["sub_dt"], **form)
     return drop_partitions_before(spark, path, "dt", scn.retention_cutoff.isoformat())
 
 
-def read_order_lines(spark: SparkSession, path: str) -> DataFrame:
-    return read_tsv(spark, path, ORDER_LINE_SCHEMA)
+def read_order_lines(spark: SparkSession, path: str, fmt: str = "tsv") -> DataFrame:
+    if fmt == "tsv":
+        return read_tsv(spark, path, ORDER_LINE_SCHEMA)
+    return spark.read.schema(ORDER_LINE_SCHEMA).format(fmt).load(path)

@@ -3,7 +3,7 @@ selected(dt, pid, ts)."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,44 +13,63 @@ from pickbay.operators import orders as O
 from pickbay.operators import pareto as PA
 from pickbay.operators import votes as V
 from pickbay.scenario import Scenario
-from pickbay.sinks import overwrite_partitions
+from pickbay.sinks import overwrite_partition
 from pickbay.sources.tables import day_scan, partition_scan
 
 
-@dataclass
 class Selection:
-    flags: DataFrame
-    facts: DataFrame
-    daily: DataFrame
-    shares: DataFrame
-    params: PA.SelectionParams
-    strategy: str
-    picks: DataFrame
-    selected: DataFrame
+    """Every relation of the selection job, each built on first use: per-store
+    selection when two stores have different default ratios, otherwise one joint
+    selection."""
+
+    def __init__(self, catalogue: DataFrame, order_lines: DataFrame, scn: Scenario):
+        self._catalogue, self._lines, self.scn = catalogue, order_lines, scn
+
+    @cached_property
+    def catalogue(self):
+        cat = partition_scan(self._catalogue, self.scn)
+        return cat if self.scn.dc_id is None else cat.where(F.col("dc_id") == self.scn.dc_id)
+
+    @cached_property
+    def facts(self):
+        return A.assortment_orders(self.catalogue, day_scan(self._lines, self.scn.yesterday))
+
+    @cached_property
+    def flags(self):
+        return A.assortment_flags(self.catalogue)
+
+    @cached_property
+    def daily(self):
+        return O.daily_order_count(self.facts)
+
+    @cached_property
+    def shares(self):
+        return A.target_share(A.default_ratio(self.catalogue), self.scn.share_bonus)
+
+    @cached_property
+    def params(self) -> PA.SelectionParams:
+        return PA.selection_params(self.shares)
+
+    @cached_property
+    def joint_picks(self):
+        return PA.pareto_pick(self.daily, self.flags, self.params.joint_share)
+
+    @cached_property
+    def store_picks(self):
+        return PA.pareto_pick_by_store(self.daily, self.flags, self.params.stores)
+
+    @cached_property
+    def selected(self):
+        if self.params.per_store:
+            return V.select_two_store(self.store_picks, self.scn)
+        return V.select_joint(self.joint_picks, self.scn)
 
 
 def selection(catalogue: DataFrame, order_lines: DataFrame, scn: Scenario) -> Selection:
-    """Per-store selection when two stores have different default ratios,
-    otherwise one joint selection (the reference's two algorithms)."""
-    cat = partition_scan(catalogue, scn)
-    facts = A.assortment_orders(cat, day_scan(order_lines, scn.yesterday))
-    flags = A.assortment_flags(cat)
-    daily = O.daily_order_count(facts)
-    shares = A.target_share(A.default_ratio(cat), scn.share_bonus)
-    params = PA.selection_params(shares)
-    strategy = PA.running_strategy(cat)
-    if params.per_store:
-        picks = PA.pareto_pick_by_store(daily, flags, params.stores, strategy)
-        chosen = V.select_two_store(picks, scn)
-    else:
-        picks = PA.pareto_pick(daily, flags, params.joint_share, strategy)
-        chosen = V.select_joint(picks, scn)
-    return Selection(flags, facts, daily, shares, params, strategy, picks, chosen)
+    return Selection(catalogue, order_lines, scn)
 
 
 def run_selection(catalogue: DataFrame, order_lines: DataFrame, scn: Scenario, out_path: str,
                   out_format: str = "orc") -> None:
-    s = selection(catalogue, order_lines, scn)
-    out = s.selected.select(A.SKU, F.lit(scn.run_date).alias("dt"), F.lit(scn.pid).alias("pid"),
-                            F.lit(scn.ts).alias("ts"))
-    overwrite_partitions(out, out_path, ["dt", "pid", "ts"], fmt=out_format, compression="snappy")
+    chosen = selection(catalogue, order_lines, scn).selected.select(A.SKU)
+    overwrite_partition(chosen, out_path, scn.partition, fmt=out_format, compression="snappy")

@@ -19,6 +19,7 @@ from pickbay.operators import division as D
 from pickbay.operators import orders as O
 from pickbay.operators.assortment import CURRENT, FUTURE, SKU
 from pickbay.scenario import Scenario
+from pickbay.session import stage
 from pickbay.sinks import export_csv
 from pickbay.sources.tables import day_scan, read_csv_upload
 
@@ -31,8 +32,8 @@ UPLOAD_SELECTED_SCHEMA = "sku_id string, dc_id int, future_store_id int, target_
 def upload_check_result(upload_all: DataFrame, upload_selected: DataFrame, order_lines: DataFrame,
                         stock: DataFrame, transfers: DataFrame, scn: Scenario) -> DataFrame:
     marked = A.marked_upload_catalogue(upload_all, upload_selected)
-    facts = (A.assortment_orders_unsold(marked, day_scan(order_lines, scn.yesterday))
-             .withColumnRenamed("future_store_id", FUTURE))
+    facts = stage(A.assortment_orders_unsold(marked, day_scan(order_lines, scn.yesterday))
+                  .withColumnRenamed("future_store_id", FUTURE), "upload-facts")   # three consumers
     split = D.sku_split_sales(facts, O.order_flags(facts))
     recent = D.recent_sales(facts, scn)
     catalogue = marked.select(SKU, F.col("store_id").cast("string").alias(CURRENT),

@@ -25,21 +25,13 @@ from pickbay.operators import purchase as PU
 from pickbay.operators import votes as V
 from pickbay.plans import divide, ingest, selection
 from pickbay.plans.verify import UPLOAD_ALL_SCHEMA, upload_check_result
-from pickbay.session import path_bytes, scratch_path
-from pickbay.sinks import drop_partitions_before, export_csv, overwrite_partitions, replace_table
+from pickbay.session import scratch_path, stage
+from pickbay.sinks import drop_partitions_before, export_csv, overwrite_partition, overwrite_partitions, replace_table
 from pickbay.sources import testdata as T
 from pickbay.sources.tables import as_of, day_scan, partition_scan, read_csv_upload, read_partitioned
 from pickbay.streaming.ingest import stream_backfill
 
 HEAD_N = 20
-# Above this input size the division job keeps its shared relations (order
-# facts, marked catalogue) instead of recomputing them for each consumer.
-REUSE_MIN_BYTES = 1 << 30
-# Vote thresholds of the per-store selection for the test tables: the mapped
-# data has too few picked days for the production values (18, 16) to keep
-# SKUs of the second store (FIXTURES.md, selection facts).
-TWO_STORE_THRESHOLDS = (16, 2)
-
 CATALOGUE_SCHEMA = ("dc_id string, wh_group_id string, current_source_store_id string, "
                     "hot_sku_target_store_id string, hot_sku_out_store_rate double, sku_id string, "
                     "future_source_store_id string, white_flag int, dt date, pid string, ts string")
@@ -62,7 +54,8 @@ class Inputs:
     # order side
     @property
     def catalogue(self):
-        return self._get("cat", lambda: T.assortment(self.spark, self.sf_dir, self.scn))
+        # a table of its own in production: derived and written once per query
+        return self._get("cat", lambda: stage(T.assortment(self.spark, self.sf_dir, self.scn), "catalogue"))
 
     @property
     def selected(self):
@@ -84,14 +77,7 @@ class Inputs:
     def division(self) -> divide.Division:
         return self._get("div", lambda: divide.division(
             lambda: self.catalogue, lambda: self.selected, lambda: self.order_lines,
-            lambda: self.stock, lambda: self.transfers, self.scn, reuse=self.reuse))
-
-    @property
-    def reuse(self):
-        """Keep the shared division relations only when the order lines are big
-        enough that re-scanning them costs more than materialising them."""
-        size = path_bytes(self.spark, f"{self.sf_dir}/lineitem.parquet")
-        return divide.persisted if size >= REUSE_MIN_BYTES else None
+            lambda: self.stock, lambda: self.transfers, self.scn))
 
     @property
     def upload_all(self):
@@ -105,18 +91,9 @@ class Inputs:
     def marked_upload(self):
         return A.marked_upload_catalogue(self.upload_all, self.upload_selected)
 
-    # selection side (brands as SKUs)
-    @property
-    def sel_catalogue(self):
-        return self._get("scat", lambda: T.selection_assortment(self.spark, self.sf_dir, self.scn))
-
-    @property
-    def sel_lines(self):
-        return self._get("sol", lambda: T.selection_order_lines(self.spark, self.sf_dir, self.scn))
-
     @property
     def selection(self) -> selection.Selection:
-        return self._get("selection", lambda: selection.selection(self.sel_catalogue, self.sel_lines, self.scn))
+        return self._get("selection", lambda: selection.selection(self.catalogue, self.order_lines, self.scn))
 
     # purchase side
     def purchase(self, name):
@@ -311,43 +288,35 @@ def q_daily_order_count(spark, sf_dir):
 
 def q_pareto_cumulative(spark, sf_dir):
     s = Inputs(spark, sf_dir).selection
-    return PA.pareto_cumulative(s.daily, s.flags, s.params.joint_share, s.strategy)
+    return PA.pareto_cumulative(s.daily, s.flags, s.params.joint_share)
 
 
 def q_pareto_pick(spark, sf_dir):
-    s = Inputs(spark, sf_dir).selection
-    return PA.pareto_pick(s.daily, s.flags, s.params.joint_share, s.strategy)
+    return Inputs(spark, sf_dir).selection.joint_picks
 
 
 def q_pareto_pick_by_store(spark, sf_dir):
-    s = Inputs(spark, sf_dir).selection
-    return PA.pareto_pick_by_store(s.daily, s.flags, s.params.stores, s.strategy)
-
-
-def _joint_picks(i: Inputs):
-    s = i.selection
-    return PA.pareto_pick(s.daily, s.flags, s.params.joint_share, s.strategy)
+    return Inputs(spark, sf_dir).selection.store_picks
 
 
 def q_recency_votes(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return V.recency_votes(_joint_picks(i), i.scn)
+    return V.recency_votes(i.selection.joint_picks, i.scn)
 
 
 def q_union_votes(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return V.union_votes(_joint_picks(i), i.scn)
+    return V.union_votes(i.selection.joint_picks, i.scn)
 
 
 def q_select_joint(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return V.select_joint(_joint_picks(i), i.scn)
+    return V.select_joint(i.selection.joint_picks, i.scn)
 
 
 def q_select_two_store(spark, sf_dir):
-    i = Inputs(spark, sf_dir, store_thresholds=TWO_STORE_THRESHOLDS)
-    s = i.selection
-    return V.select_two_store(PA.pareto_pick_by_store(s.daily, s.flags, s.params.stores, s.strategy), i.scn)
+    i = Inputs(spark, sf_dir)
+    return V.select_two_store(i.selection.store_picks, i.scn)
 
 
 # ---------------------------------------------------------------------------
@@ -438,8 +407,7 @@ def q_sink_tsv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "order-line-tsv")
     lines = i.order_lines.drop("sub_dt")
     overwrite_partitions(lines, path, ["dt"], fmt="csv", sep="\t")
-    schema = ingest.ORDER_LINE_SCHEMA.replace(", sub_dt date", "")
-    return spark.read.schema(schema).option("sep", "\t").csv(path)
+    return spark.read.schema(lines.schema).option("sep", "\t").csv(path)
 
 
 def q_src_csv_upload(spark, sf_dir):
@@ -450,16 +418,14 @@ def q_src_csv_upload(spark, sf_dir):
 
 
 def q_sink_partition_overwrite(spark, sf_dir):
-    """Write ratio_result twice (idempotent re-run) next to another scenario's
-    partition; the pinned partition reads back exactly once."""
+    """Write another result into the run's partition, then ratio_result, next to
+    another scenario's partition; the pinned partition reads back exactly once."""
     i = Inputs(spark, sf_dir)
     path = scratch_path(spark, "ratio-result")
-    final = i.division.final.checkpoint()
-    tagged = final.select("*", F.lit(i.scn.run_date).alias("dt"), F.lit(i.scn.pid).alias("pid"),
-                          F.lit(i.scn.ts).alias("ts"))
-    overwrite_partitions(tagged.withColumn("pid", F.lit("p0")), path, ["dt", "pid", "ts"], fmt="orc")
-    overwrite_partitions(tagged, path, ["dt", "pid", "ts"], fmt="orc")
-    overwrite_partitions(tagged, path, ["dt", "pid", "ts"], fmt="orc")
+    final = stage(i.division.final, "ratio-result-rows")
+    overwrite_partition(final, path, {**i.scn.partition, "pid": "p0"}, fmt="orc")
+    overwrite_partition(final.unionAll(final), path, i.scn.partition, fmt="orc")
+    overwrite_partition(final, path, i.scn.partition, fmt="orc")
     schema = final.schema.add("dt", "date").add("pid", "string").add("ts", "string")
     return partition_scan(read_partitioned(spark, path, schema, fmt="orc"), i.scn).drop("dt", "pid", "ts")
 

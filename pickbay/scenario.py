@@ -41,6 +41,11 @@ class Scenario:
     def __post_init__(self):
         object.__setattr__(self, "run_date", _as_date(self.run_date))
 
+    @property
+    def partition(self) -> dict:
+        """The output partition of the run."""
+        return {"dt": self.run_date.isoformat(), "pid": self.pid, "ts": self.ts}
+
     @property
     def yesterday(self) -> _dt.date:
         return self.run_date - _dt.timedelta(days=1)

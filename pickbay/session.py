@@ -9,11 +9,10 @@ local sessions (tests, bench) where the setting is unset.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     "spark.ui.enabled": "false",
@@ -49,7 +48,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
-        conf.setdefault("spark.driver.memory", "16g")
+        conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -90,10 +89,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for one output."""
-    root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, "pickbay-tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{ensure_checkpoint_dir(spark)}/pickbay-tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` once as Parquet under the shared checkpoint location and read it
+    back.  Consumers prune columns, get file statistics, and neither they nor a
+    lost executor run `df` again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def path_bytes(spark: SparkSession, path: str) -> int:
@@ -107,17 +112,19 @@ def path_bytes(spark: SparkSession, path: str) -> int:
 # Initial shuffle partitions per input byte: AQE starts from this many
 # partitions and coalesces small ones, so it should err on the high side.
 BYTES_PER_SHUFFLE_PARTITION = 128 << 20
-MIN_SHUFFLE_PARTITIONS, MAX_SHUFFLE_PARTITIONS = 200, 100_000
+SPARK_DEFAULT_PARTITIONS = 200
 
 
 def size_shuffles(spark: SparkSession, paths) -> int | None:
     """Set the initial shuffle partition count from the input size, unless the
-    submit configuration already chose one.  Returns the value set, if any."""
+    submit configuration or the session already chose one.  Returns the value
+    set, if any."""
     submitted = spark.sparkContext.getConf()
     if submitted.contains("spark.sql.shuffle.partitions") or \
-            submitted.contains("spark.sql.adaptive.coalescePartitions.initialPartitionNum"):
+            submitted.contains("spark.sql.adaptive.coalescePartitions.initialPartitionNum") or \
+            int(spark.conf.get("spark.sql.shuffle.partitions")) != SPARK_DEFAULT_PARTITIONS:
         return None
     total = sum(path_bytes(spark, p) for p in paths)
-    n = max(MIN_SHUFFLE_PARTITIONS, min(MAX_SHUFFLE_PARTITIONS, total // BYTES_PER_SHUFFLE_PARTITION))
+    n = max(SPARK_DEFAULT_PARTITIONS, total // BYTES_PER_SHUFFLE_PARTITION)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n

@@ -1,8 +1,10 @@
 """Writers for the job outputs.
 
-* ``overwrite_partitions`` rewrites only the partitions present in the data
-  (dynamic partition overwrite), so re-running a day is idempotent and other
-  days are untouched.
+* ``overwrite_partition`` replaces one named partition of a table, also with an
+  empty result, so re-running a day leaves no old rows and other days are
+  untouched; the jobs write with it.
+* ``overwrite_partitions`` replaces the partitions present in the data
+  (dynamic partition overwrite).
 * ``replace_table`` is create-table-as-select with replace.
 * ``drop_partitions_before`` is the retention step: it lists the partition
   folders (metadata only) and removes the old ones through the Hadoop
@@ -17,8 +19,27 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def partition_path(spark: SparkSession, path: str, pinned: dict) -> str:
+    """Folder of the partition named by `pinned` (column -> value, in table order)."""
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join([path, *(utils.getPartitionPathString(c, str(v)) for c, v in pinned.items())])
+
+
+def overwrite_partition(df: DataFrame, path: str, pinned: dict, by=(), fmt: str = "parquet",
+                        records_per_file: int | None = 5_000_000, **options) -> None:
+    """Replace the one partition named by `pinned` with `df`, whatever it held:
+    an empty result leaves it empty.  `by` partitions the rows further below it."""
+    w = df.drop(*pinned).write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "static")
+    if by:
+        w = w.partitionBy(*by)
+    if records_per_file:
+        w = w.option("maxRecordsPerFile", records_per_file)
+    w.options(**options).save(partition_path(df.sparkSession, path, pinned))
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_cols, fmt: str = "parquet",
                          records_per_file: int | None = 5_000_000, **options) -> None:
+    """Replace the partitions that occur in `df`; others stay."""
     w = (df.write.mode("overwrite").format(fmt)
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_cols))

@@ -7,9 +7,9 @@ written as DataFrame projections, so every relation grows with the input
 tables.  The oracle SQL in :mod:`pickbay.checks.oracle` builds the same
 relations independently in DuckDB.
 
-The modulo rules decide what each relation holds (e.g. some catalogue SKUs
-have no sales, some SKUs are selected); they do not thin the work: every
-relation is derived from the whole tables and every query reads all of it.
+Every relation is derived from the whole tables; the modulo rules decide what a
+row means (its store, whether a SKU is selected), and order lines, raw detail
+and stock hold every line.
 """
 
 from __future__ import annotations
@@ -88,13 +88,14 @@ def _scenario_cols(scn: Scenario, day=None):
 def order_lines(spark, sf_dir, scn: Scenario) -> DataFrame:
     """order_line: one snapshot partition dt = run day - 1 holding all ship days."""
     li = table(spark, sf_dir, "lineitem")
-    return li.where(F.col("l_partkey") % 17 != 0).select(
+    return li.select(
         _s(F.col("l_partkey")).alias("sku_id"),
         _s(F.col("l_suppkey") % 4).alias("store_id"),
         F.col("l_shipdate").alias("out_wh_tm"),
         _s(F.col("l_partkey") % 50).alias("item_third_cate_cd"),
         _s(F.col("l_orderkey")).alias("parent_sale_ord_id"),
-        F.col("l_quantity").alias("sale_qtty"),
+        # quantities are text in the source; a few are not numbers
+        F.when(F.col("l_orderkey") % 97 == 0, F.lit("x")).otherwise(_s(F.col("l_quantity"))).alias("sale_qtty"),
         F.col("l_linestatus").alias("split_status_cd"),
         F.lit(scn.yesterday).alias("dt"),
         F.to_date("l_shipdate").alias("sub_dt"),
@@ -104,7 +105,7 @@ def order_lines(spark, sf_dir, scn: Scenario) -> DataFrame:
 def raw_order_detail(spark, sf_dir) -> DataFrame:
     """Raw order detail feeding the ingestion job; dt = ship day + 0..2 days."""
     li = table(spark, sf_dir, "lineitem")
-    return li.where(F.col("l_partkey") % 17 != 0).select(
+    return li.select(
         _s(F.col("l_partkey")).alias("item_sku_id"),
         _s(F.col("l_suppkey") % 4).alias("store_id"),
         F.col("l_shipdate").alias("out_wh_tm"),
@@ -119,12 +120,26 @@ def raw_order_detail(spark, sf_dir) -> DataFrame:
     )
 
 
+def _new_skus(spark, sf_dir) -> DataFrame:
+    """Parts that also exist as a new SKU which has not been sold yet."""
+    return table(spark, sf_dir, "part").where(F.col("p_partkey") % 17 == 0)
+
+
+def _new_sku(key) -> F.Column:
+    return F.concat(F.lit("N"), _s(key))
+
+
 def assortment(spark, sf_dir, scn: Scenario) -> DataFrame:
-    """Catalogue: distinct (sku, current store) with future/target store and flags."""
+    """Catalogue: distinct (sku, current store) with future/target store and flags,
+    and SKUs without sales.  One pair in five is not in the catalogue, so that some
+    order lines find no catalogue row."""
     li = table(spark, sf_dir, "lineitem")
-    pairs = (li.select(F.col("l_partkey").alias("k"), (F.col("l_suppkey") % 4).alias("store"))
-             .where((F.col("k") + F.col("store")) % 5 != 0)
-             .distinct())
+    sold = (li.select(F.col("l_partkey").alias("k"), (F.col("l_suppkey") % 4).alias("store"))
+            .where((F.col("k") + F.col("store")) % 5 != 0)
+            .distinct().withColumn("sku", _s(F.col("k"))))
+    new = _new_skus(spark, sf_dir).select(F.col("p_partkey").alias("k"), (F.col("p_partkey") % 4).alias("store"),
+                                          _new_sku(F.col("p_partkey")).alias("sku"))
+    pairs = sold.unionAll(new)
     future = _future_of(F.col("k"))
     return pairs.select(
         F.lit(DC_ID).alias("dc_id"),
@@ -132,7 +147,7 @@ def assortment(spark, sf_dir, scn: Scenario) -> DataFrame:
         _s(F.col("store")).alias("current_source_store_id"),
         F.when(F.col("k") % 11 == 0, future).otherwise(F.lit(OTHER_TARGET)).alias("hot_sku_target_store_id"),
         _rate_of(future).alias("hot_sku_out_store_rate"),
-        _s(F.col("k")).alias("sku_id"),
+        F.col("sku").alias("sku_id"),
         future.alias("future_source_store_id"),
         F.when(F.col("k") % 3 == 0, F.lit(0)).otherwise(F.lit(1)).alias("white_flag"),
         *_scenario_cols(scn),
@@ -141,8 +156,10 @@ def assortment(spark, sf_dir, scn: Scenario) -> DataFrame:
 
 def selected(spark, sf_dir, scn: Scenario) -> DataFrame:
     part = table(spark, sf_dir, "part")
-    return part.where((F.col("p_size") <= 10) & (F.col("p_partkey") % 11 != 0)).select(
-        _s(F.col("p_partkey")).alias("sku_id"), *_scenario_cols(scn))
+    chosen = (F.col("p_size") <= 10) & (F.col("p_partkey") % 11 != 0)
+    old = part.where(chosen).select(_s(F.col("p_partkey")).alias("sku_id"))
+    new = _new_skus(spark, sf_dir).where(chosen).select(_new_sku(F.col("p_partkey")).alias("sku_id"))
+    return old.unionAll(new).select("sku_id", *_scenario_cols(scn))
 
 
 def stock_snapshot(spark, sf_dir, scn: Scenario) -> DataFrame:
@@ -199,47 +216,6 @@ def upload_selected(spark, sf_dir, scn: Scenario) -> DataFrame:
             .withColumn("dt", F.lit(scn.run_date)))
 
 
-# --------------------------------------------------------------------------
-# selection job: brands act as SKUs so that daily counts are dense enough
-# --------------------------------------------------------------------------
-
-def _brand_number() -> F.Column:
-    return F.substring("p_brand", 7, 8).cast("int")
-
-
-def selection_order_lines(spark, sf_dir, scn: Scenario) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    day = F.to_date("l_shipdate")
-    lines = li.where(day.between(F.lit(scn.transfer_start), F.lit(scn.yesterday)))
-    return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("p_brand").alias("sku_id"),
-        F.lit("0").alias("store_id"),
-        F.col("l_shipdate").alias("out_wh_tm"),
-        _s(F.col("l_orderkey")).alias("parent_sale_ord_id"),
-        F.col("l_quantity").alias("sale_qtty"),
-        F.lit(scn.yesterday).alias("dt"),
-        F.to_date("l_shipdate").alias("sub_dt"),
-    )
-
-
-def selection_assortment(spark, sf_dir, scn: Scenario) -> DataFrame:
-    part = table(spark, sf_dir, "part")
-    brands = part.select("p_brand", _brand_number().alias("bn")).distinct()
-    future = _future_of(F.col("bn"))
-    return brands.select(
-        F.lit(DC_ID).alias("dc_id"),
-        F.lit(DC_ID).alias("wh_group_id"),
-        F.lit("0").alias("current_source_store_id"),
-        F.lit(OTHER_TARGET).alias("hot_sku_target_store_id"),
-        _rate_of(future).alias("hot_sku_out_store_rate"),
-        F.col("p_brand").alias("sku_id"),
-        future.alias("future_source_store_id"),
-        F.when(F.col("bn") % 5 != 0, F.lit(1)).otherwise(F.lit(0)).alias("white_flag"),
-        *_scenario_cols(scn),
-    )
-
-
 # --------------------------------------------------------------------------
 # purchase side
 # --------------------------------------------------------------------------
@@ -380,7 +356,8 @@ def stock_out(spark, sf_dir, pw: PurchaseWindow) -> DataFrame:
     return part.select(
         _s(F.col("p_partkey")).alias("sku_id"),
         _s(F.col("p_partkey") % 25).alias("delv_center_num"),
-        F.when(F.col("p_size") % 4 == 0, F.lit(None)).otherwise(F.col("p_size") % 15).cast("int").alias("vlt_ref"),
+        F.when(F.col("p_size") % 4 == 0, F.lit(None)).otherwise(F.col("p_size") % 15 + F.when(F.col("p_size") % 3 == 0, 0.50001).otherwise(0.0))
+         .cast("double").alias("vlt_ref"),
         F.lit(pw.end_date).alias("dt"),
     )
 

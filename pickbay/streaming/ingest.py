@@ -4,8 +4,8 @@ The batch ingestion re-reads a 31-day window every day so that rows arriving
 late for an earlier ship day are picked up.  The streaming form reads each new
 raw file exactly once (the file source's checkpointed log), applies the same
 filter and projection, and appends to order_line partitioned by ship day, so a
-late row lands in its ship day's folder when it arrives.  Run it with
-``trigger(availableNow=True)`` from the daily scheduler, or continuously.
+late row lands in its ship day's folder when it arrives.  Each daily run starts it
+with its own scenario; it reads what is new and ends.
 """
 
 from __future__ import annotations
@@ -22,8 +22,9 @@ RAW_SCHEMA = ("item_sku_id string, store_id string, out_wh_tm timestamp_ntz, ite
 
 
 def start_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str, scn: Scenario,
-                 available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the stream landing folder -> order_line(sub_dt); returns the query."""
+                 max_files_per_trigger: int | None = None):
+    """Start one run of the stream landing folder -> order_line(sub_dt); returns the
+    query, which ends when all files present at its start are read."""
     reader = spark.readStream.schema(RAW_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -32,8 +33,7 @@ def start_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str,
               .option("checkpointLocation", checkpoint)
               .partitionBy("sub_dt")
               .outputMode("append"))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start(sink)
+    return writer.trigger(availableNow=True).start(sink)
 
 
 def stream_backfill(spark: SparkSession, raw: DataFrame, scn: Scenario) -> DataFrame:

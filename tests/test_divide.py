@@ -133,3 +133,12 @@ def test_selected_sku_without_sales_gets_default_ratio(spark):
 def test_empty_catalogue_gives_empty_result(spark):
     d = _division(spark, [], [], ["a"])
     assert d.final.count() == 0 and d.store.count() == 0
+
+
+def test_base_tables_are_scanned_once(spark):
+    """The final result reads staged tables only: each base scan ran once, before."""
+    from conftest import SF_SMALL
+    from pickbay.registry import Inputs
+    d = Inputs(spark, SF_SMALL).division
+    plan = d.final._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet [l_") == plan.count("Scan parquet [p_") == 0

@@ -43,13 +43,13 @@ def test_divide_job_matches_registered_query(spark):
 
 
 def test_select_job_matches_registered_query(spark):
-    sf = "/root/testdata/sf0.01"  # the smallest tables select nothing with these thresholds
+    sf = "/root/testdata/sf0.01"
     i = Inputs(spark, sf)
-    cat = _write(i.sel_catalogue, spark, "j-scat", ["dt", "pid", "ts"])
-    lines = _write(i.sel_lines.drop("sub_dt"), spark, "j-sol", ["dt"])
+    cat = _write(i.catalogue, spark, "j-scat", ["dt", "pid", "ts"])
+    lines = _write(i.order_lines, spark, "j-sol", ["dt", "sub_dt"])
     out = scratch_path(spark, "j-selected")
     args = ["select", "--date", str(i.scn.run_date), "--pid", i.scn.pid, "--ts", i.scn.ts, "--out", out,
-            "--catalogue", cat, "--order-lines", lines, "--thresholds", "16,2"]
+            "--catalogue", cat, "--order-lines", lines]
     assert cli.main(args, spark) == 0
     back = spark.read.schema("sku_id string, dt date, pid string, ts string").orc(out).select("sku_id")
     expected = _rows(queries()["select_two_store"](spark, sf))
@@ -100,3 +100,36 @@ def test_verify_job_from_csv_uploads(spark, capsys):
     assert f"exported_rows={expected.count()}" in printed and "matched_skus=" in printed
     back = spark.read.schema(expected.schema).option("header", True).csv(out)
     assert _rows(back) == _rows(expected)
+
+
+def test_jobs_read_each_others_output(spark):
+    """ingest -> select -> divide, each on the table its predecessor wrote."""
+    sf = "/root/testdata/sf0.01"
+    i = Inputs(spark, sf)
+    run, before = str(i.scn.run_date), str(i.scn.yesterday)
+    raw = _write(T.raw_order_detail(spark, sf), spark, "c-raw", ["dt"])
+    cat = _write(i.catalogue, spark, "c-cat", ["dt", "pid", "ts"])
+    stock, moves = _write(i.stock, spark, "c-stock", ["dt"]), _write(i.transfers, spark, "c-tr", ["dp"])
+    scenario = ["--date", run, "--pid", i.scn.pid, "--ts", i.scn.ts]
+    for form in ("tsv", "orc"):
+        lines, chosen, ratio = (scratch_path(spark, n) for n in ("c-lines", "c-selected", "c-ratio"))
+        assert cli.main(["ingest", "--date", before, "--raw", raw, "--out", lines, "--out-format", form], spark) == 0
+        assert cli.main(["select", *scenario, "--catalogue", cat, "--order-lines", f"{form}:{lines}", "--out", chosen,
+                         "--thresholds", "3,2"], spark) == 0
+        assert cli.main(["divide", *scenario, "--catalogue", cat, "--selected", f"orc:{chosen}", "--order-lines", f"{form}:{lines}",
+                         "--stock", stock, "--transfers", moves, "--out", ratio], spark) == 0
+        picked = {r.sku_id for r in spark.read.orc(chosen).collect()}
+        assert picked and {r.sku_id for r in spark.read.orc(ratio).collect()} == picked
+        # a selection that now picks nothing leaves no old SKUs
+        assert cli.main(["select", *scenario, "--catalogue", cat, "--order-lines", f"{form}:{lines}", "--out", chosen,
+                         "--thresholds", "999,999"], spark) == 0
+        assert cli._read(spark, f"orc:{chosen}", "parquet", "selected").count() == 0
+
+
+def test_selection_of_one_dc(spark):
+    i = Inputs(spark, SF_SMALL)
+    from dataclasses import replace
+
+    from pickbay.plans.selection import selection
+    assert selection(i.catalogue, i.order_lines, replace(i.scn, dc_id="9")).facts.count() == 0
+    assert selection(i.catalogue, i.order_lines, replace(i.scn, dc_id="1")).facts.count() > 0

@@ -92,7 +92,8 @@ def test_range_running_total_equals_window(spark):
     """Distributed running total = window running total, across slice counts,
     with a large tie group, null values and groups spanning many tasks."""
     from pyspark.sql import functions as F
-    from pickbay.operators.prefix import running_total, window_running_total
+    from pickbay.operators.prefix import running_total
+    from pyspark.sql import Window
     rnd = random.Random(13)
     rows = []
     for d in range(4):
@@ -102,15 +103,33 @@ def test_range_running_total_equals_window(spark):
     df = spark.createDataFrame(rows, "sub_dt date, sku_id string, ord_cnt decimal(18,2), cc int")
     order = [F.desc("ord_cnt"), F.asc("sku_id")]
     value = F.col("ord_cnt") * F.col("cc")
-    ref = {(r.sub_dt, r.sku_id): r.cum for r in window_running_total(df, "sub_dt", order, value, "cum").collect()}
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")  # groups cross batches
-    try:
-        for n in (1, 3, 7, 16):
-            got = {(r.sub_dt, r.sku_id): r.cum
-                   for r in running_total(df, "sub_dt", order, value, "cum", partitions=n).collect()}
-            assert got == ref, n
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    day = Window.partitionBy("sub_dt").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ref = {(r.sub_dt, r.sku_id): r.cum for r in df.withColumn("cum", F.sum(value).over(day)).collect()}
+    for n in (None, 1, 3, 7, 16):
+        got = {(r.sub_dt, r.sku_id): r.cum
+               for r in running_total(df, "sub_dt", order, value, "cum", partitions=n).collect()}
+        assert got == ref, n
+
+
+def test_daily_count_does_not_depend_on_row_order(spark):
+    rnd = random.Random(3)
+    rows = [("x", "38", DAY, f"o{i}", 1.0) for i in range(400)]
+    rows += [(f"s{i}_{k}", "38", DAY, f"o{i}", 1.0) for i in range(400) for k in range(rnd.randint(0, 12))]
+    rows += [("x", "38", DAY, None, 1.0)] * 5
+    schema = "sku_id string, future_source_store_id string, sub_dt date, ord_id string, sale_qtty double"
+    seen = set()
+    for n in (1, 3, 8):
+        rnd.shuffle(rows)
+        out = O.daily_order_count(spark.createDataFrame(rows, schema).repartition(n)).collect()
+        seen.add(tuple(sorted((r.sku_id, str(r.ord_cnt)) for r in out)))
+    assert len(seen) == 1
+
+
+def test_limit_keeps_four_digits(spark):
+    """A running count of 0.25 is over a limit of 0.65 * 0.38 = 0.247."""
+    daily = _daily(spark, [(DAY, "a", "0.25"), (DAY, "b", "0.13")])
+    flags = _flags(spark, [("a", "38", 1, 1), ("b", "38", 1, 1)])
+    assert PA.pareto_pick(daily, flags, Decimal("0.65")).count() == 0
 
 
 def test_per_store_pick_restricted_to_store(spark):

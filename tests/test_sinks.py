@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pickbay.plans import ingest
 from pickbay.scenario import Scenario
 from pickbay.session import scratch_path
-from pickbay.sinks import drop_partitions_before, export_csv, list_partition_values, overwrite_partitions
+from pickbay.sinks import drop_partitions_before, export_csv, list_partition_values, overwrite_partition, overwrite_partitions
 
 SCN = Scenario(run_date=dt.date(2001, 1, 1), pid="p", ts="t")
 RAW_SCHEMA = ("item_sku_id string, store_id string, out_wh_tm timestamp_ntz, item_third_cate_cd string, "
@@ -87,3 +87,27 @@ def test_ingest_skips_rows_filed_before_their_ship_day(spark):
         [("z", "1", dt.datetime(2000, 12, 10, 9), "c", "oz", 1.0, "0", "0", 1, "1", dt.date(2000, 12, 9))],
         RAW_SCHEMA)
     assert ingest.ingest_order_lines(early, SCN).count() == 0
+
+
+def test_partition_overwrite_with_an_empty_result(spark):
+    path = scratch_path(spark, "test-static")
+    df = spark.createDataFrame([("x",), ("y",)], "sku_id string")
+    run, other = {"dt": "2001-01-01", "pid": "p 1/a", "ts": "t"}, {"dt": "2001-01-01", "pid": "p2", "ts": "t"}
+    for fmt in ("parquet", "orc"):
+        overwrite_partition(df, f"{path}-{fmt}", run, fmt=fmt)
+        overwrite_partition(df, f"{path}-{fmt}", other, fmt=fmt)
+        overwrite_partition(df.where("sku_id = 'x'"), f"{path}-{fmt}", run, fmt=fmt)
+        back = spark.read.format(fmt).load(f"{path}-{fmt}")
+        assert sorted((r.sku_id, r.pid) for r in back.collect()) == [("x", "p 1/a"), ("x", "p2"), ("y", "p2")]
+        overwrite_partition(df.where("false"), f"{path}-{fmt}", run, fmt=fmt)
+        back = spark.read.format(fmt).load(f"{path}-{fmt}")
+        assert sorted((r.sku_id, r.pid) for r in back.collect()) == [("x", "p2"), ("y", "p2")]
+
+
+def test_backfill_forgets_a_day_that_lost_its_lines(spark):
+    path = scratch_path(spark, "test-lost-day")
+    ingest.backfill(spark, _raw(spark), path, SCN)
+    ingest.backfill(spark, _raw(spark).where("item_sku_id <> 'a'"), path, SCN)
+    assert [r.sku_id for r in ingest.read_order_lines(spark, path).collect()] == ["b"]
+    ingest.backfill(spark, _raw(spark).where("false"), path, SCN)
+    assert ingest.read_order_lines(spark, path).count() == 0

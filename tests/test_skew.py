@@ -129,3 +129,22 @@ def test_hot_user_day_chain_is_split(spark):
     split, plan = _run(spark, build, SKEW_CONF)
     assert split == plain
     assert "isSkewJoin=true" in plan or "skew=true" in plan
+
+
+def test_lines_without_order_go_round_the_joins(spark):
+    """A third of the lines has no order id: they reach neither order join."""
+    i = Inputs(spark, SF_SMALL)
+    third = F.xxhash64("parent_sale_ord_id", "sku_id", "out_wh_tm") % 3 == 0
+    lines = i.order_lines.withColumn("parent_sale_ord_id", F.when(~third, F.col("parent_sale_ord_id")))
+    marked = A.assortment_orders(i.division.marked_catalogue, lines, carry=["is_selected"])
+    for build in (lambda: D.sku_split_sales(marked, O.order_flags(marked)), lambda: O.daily_order_count(marked)):
+        plain, _ = _run(spark, build, PLAIN_CONF)
+        split, _ = _run(spark, build, SKEW_CONF)
+        assert split == plain
+    rows = marked.collect()
+    want = {}
+    for r in rows:
+        if r.is_selected == 1:
+            want[r.sku_id] = want.get(r.sku_id, 0.0) + r.sale_qtty
+    got = {r.sku_id: r.sale_total for r in D.sku_split_sales(marked, O.order_flags(marked)).collect()}
+    assert got == want
