@@ -4,19 +4,19 @@ The pre-tokenizer's pattern never lets a token reach over a space that a
 non-space follows: whatever stands before, such a space starts a token.  A text
 can therefore be encoded stretch by stretch, cut before those spaces, and most
 stretches (a space and a word) repeat.  Ids of stretches and of single
-pre-tokens are kept in two caches of bounded size.
+pre-tokens are kept in a cache of bounded size.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+from array import array
 
-import numpy as np
 import regex
 
 TOKENIZER = "byte_bpe_50k.json"
-CACHE = 200_000       # entries of a generation; two generations are kept
+CACHE = 1_200_000     # entries kept (about 200 MB); a full cache is emptied
 CACHED_CHARS = 64     # longer stretches and pre-tokens aren't kept
 
 
@@ -25,40 +25,21 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
-class Cache:
-    """A dictionary that forgets what wasn't asked for during the last CACHE new entries."""
-
-    def __init__(self):
-        self.young, self.old = {}, {}
-
-    def get(self, key):
-        value = self.young.get(key)
-        if value is None:
-            value = self.old.get(key)
-            if value is not None:
-                self.put(key, value)
-        return value
-
-    def put(self, key, value):
-        if len(self.young) >= CACHE:
-            self.young, self.old = {}, self.young
-        self.young[key] = value
-
-
-_ODD = re.compile(r" (?=\s|$)|\s$")
+_WIDE = re.compile(r" (?=\s)")
 
 
 def stretches(text: str) -> list[str]:
     """Cut a text before each space that a non-space follows."""
     pieces = text.split(" ")
-    if not _ODD.search(text):
-        return [pieces[0], *[" " + p for p in pieces[1:]]] if pieces[0] else [" " + p for p in pieces[1:]]
-    out = [pieces[0]]
-    for p in pieces[1:]:
-        if p and not p[0].isspace():
-            out.append(" " + p)
-        else:
-            out[-1] += " " + p
+    if text[-1:] != " " and not _WIDE.search(text):
+        out = [pieces[0], *[" " + p for p in pieces[1:]]]
+    else:
+        out = [pieces[0]]
+        for p in pieces[1:]:
+            if p and not p[0].isspace():
+                out.append(" " + p)
+            else:
+                out[-1] += " " + p
     return out if out[0] else out[1:]
 
 
@@ -72,40 +53,44 @@ class Encoder:
         self.model = self.tokenizer.model
         self.pattern = regex.compile(_pattern())
         self.letters = _byte_letters()
-        self.whole, self.parts = Cache(), Cache()
+        self.known: dict[str, bytes] = {}
 
-    def _part(self, part: str) -> bytes:
-        """Ids of one pre-token as little-endian 32-bit integers."""
-        found = self.parts.get(part)
-        if found is None:
-            spelled = part.encode().decode("latin-1").translate(self.letters)
-            found = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
-            if len(part) <= CACHED_CHARS:
-                self.parts.put(part, found)
-        return found
+    def _keep(self, text: str, ids: bytes) -> bytes:
+        if len(text) <= CACHED_CHARS:
+            if len(self.known) >= CACHE:
+                self.known.clear()
+            self.known[text] = ids
+        return ids
 
-    def pretokens(self, text: str) -> list[str]:
-        return self.pattern.findall(text)
+    def _pretoken(self, part: str) -> bytes:
+        """Ids of one pre-token as little-endian 32-bit integers."""
+        letters = self.letters
+        spelled = "".join([letters[b] for b in part.encode()])
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def stretch(self, s: str) -> bytes:
-        found = self.whole.get(s)
-        if found is None:
-            found = b"".join([self._part(p) for p in self.pattern.findall(s)])
-            if len(s) <= CACHED_CHARS:
-                self.whole.put(s, found)
-        return found
+        """Ids of a stretch; letters after at most one space are a single pre-token,
+        and so is a last full stop or comma."""
+        found = self.known.get(s)
+        if found is not None:
+            return found
+        start = s[0] == " "
+        if s[start:].isalpha():
+            return self._keep(s, self._pretoken(s))
+        ids, simple = [], s[-1] in ".," and s[start:-1].isalpha()
+        for part in (s[:-1], s[-1]) if simple else self.pattern.findall(s):
+            found = self.known.get(part)
+            ids.append(found if found is not None else self._keep(part, self._pretoken(part)))
+        return self._keep(s, b"".join(ids))
 
     def encode(self, text: str) -> bytes:
         """All ids of a text as little-endian 32-bit integers."""
         cuts = stretches(text)
-        ids = list(map(self.whole.young.get, cuts))
+        ids = list(map(self.known.get, cuts))
         if None in ids:
             ids = [self.stretch(s) if i is None else i for s, i in zip(cuts, ids)]
         return b"".join(ids)
 
-    def count(self, text: str) -> int:
-        return len(self.encode(text)) // 4
-
 
 @functools.cache
 def encoder(path: str) -> Encoder:
@@ -118,9 +103,9 @@ def _pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-def _byte_letters() -> dict[int, int]:
+def _byte_letters() -> list[str]:
     """Byte-level spelling: printable bytes stand for themselves, the others for
     the code points from 256 on, in order."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = [b for b in range(256) if b not in plain]
-    return {b: 256 + i for i, b in enumerate(others)}
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
