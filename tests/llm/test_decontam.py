@@ -1,4 +1,5 @@
 from pickbay.llm import decontam
+from support import documents  # noqa: F401 (fixture)
 
 
 def words(text):

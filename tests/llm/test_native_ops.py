@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 from pickbay.llm import mixing, quality_rules, sharding
 from pyspark.sql import functions as F
+from support import documents  # noqa: F401 (fixture)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

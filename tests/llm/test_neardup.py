@@ -5,6 +5,7 @@ import random
 import numpy as np
 from pickbay.llm import neardup
 from pickbay.llm.common import shingle_sets, word_hashes
+from support import documents  # noqa: F401 (fixture)
 
 
 def plain_set(text):

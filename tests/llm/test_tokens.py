@@ -9,6 +9,7 @@ import pytest
 from pickbay.llm import chat, tokenbin, tokencount
 from pickbay.llm.common import stage_path
 from pickbay.llm.tokens import encoder, tokenizer_path
+from support import documents  # noqa: F401 (fixture)
 
 PIECES = ["a", "B", "é", " ", "  ", "\n", "\t", " ", "\x1c", "\x85", "'s", "'", "ll", "1", "中", "!", "<|endoftext|>", "😀",
           "don't", "word", "\\", "<", "|", "<|im_end|>"]

@@ -3,6 +3,7 @@ import os
 import numpy as np
 import pytest
 from pickbay.llm import weak_quality as wq
+from support import documents  # noqa: F401 (fixture)
 
 SF = "/root/testdata/sf0.01"
 
