@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from pickbay.llm.common import stage
 
 
-def _larger_to_smallest(edges: DataFrame) -> DataFrame:
-    """Tie every larger neighbour of a node to the node's smallest neighbour (or itself)."""
+def _larger_to_smallest(edges: DataFrame, name: str) -> DataFrame:
+    """Tie every larger neighbour of a node to the node's smallest neighbour (or itself).
+    The minima are written, so that the join can split a node of very many links."""
     both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    least = stage(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), name)
     return (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .where("a <> b").distinct())
 
@@ -40,4 +41,4 @@ def components(links: DataFrame, name: str) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionAll(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
         state = now
-        edges = stage(_smaller_to_smallest(_larger_to_smallest(edges)), name)
+        edges = stage(_smaller_to_smallest(_larger_to_smallest(edges, f"{name}-least")), name)

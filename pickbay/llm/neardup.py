@@ -299,7 +299,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     banded = reps.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = (banded.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
               .where("pivot < top").select("bucket", "pivot"))
-    members = stage(banded.join(shared, "bucket"), "neardup-members")
+    # the shared buckets are written, so that a bucket of very many members can be split in the join
+    members = stage(banded.join(stage(shared, "neardup-buckets"), "bucket"), "neardup-members")
 
     named = members.select("node").distinct()
     sigs = reps.select("node", F.col("n_shingles").alias("n"), "sig", "bands").join(named, "node", "left_semi")
@@ -331,7 +332,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                                     F.sum("c").alias("size"), F.count("*").alias("parts"))
              .where("parts > 1").select("bucket", F.col("main.label").alias("main"),
                                         F.col("main.c").alias("n_main"), F.expr("size - main.c").alias("n_rest")))
-    inner = located.join(mixed, "bucket").withColumn("rest", F.col("label") != F.col("main"))
+    inner = located.join(stage(mixed, "neardup-mixed"), "bucket").withColumn("rest", F.col("label") != F.col("main"))
     # blocks 0 .. mains-1 hold the main component, the following ones the rest;
     # a cell is a pair of blocks of which at least one is of the rest
     cells = (inner.withColumn("mains", F.expr(f"cast(ceil(n_main / {BLOCK}) as long)"))

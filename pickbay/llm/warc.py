@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickbay.llm.common import prepare
+from pickbay.llm.common import prepare, stage
 
 #: Smaller payloads are always written in full.
 REVISIT_MIN_BYTES = 1000
@@ -40,7 +40,8 @@ def resolve_revisits(pages: DataFrame) -> DataFrame:
     originals = (rows.where(f"bytes >= {REVISIT_MIN_BYTES}").groupBy("digest")
             .agg(F.max(F.struct("page_id", "url")).alias("original"), F.count("*").alias("n"))
             .where("n > 1 AND original.page_id IS NOT NULL").select("digest", "original"))
-    return rows.join(originals, "digest", "left").withColumn(
+    # written: the join then meets two plain shuffles, and a digest of very many pages can be split
+    return rows.join(stage(originals, "warc-originals"), "digest", "left").withColumn(
         "original", F.when(~F.col("page_id").eqNullSafe(F.col("original.page_id")), F.col("original")))
 
 
@@ -161,10 +162,11 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     prepare(spark)
     found = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
              .mapInArrow(_read(payloads), READ))
-    originals = found.where("record_type = 'response'").select(
+    originals = stage(found.where("record_type = 'response'").select(
         F.col("record_id").alias("_id"), F.col("page_id").alias("_page"), F.col("payload_bytes").alias("_bytes"),
-        F.col("payload_digest").alias("_digest")).dropDuplicates(["_id"])
-    joined = found.join(originals, F.col("refers_to_id") == F.col("_id"), "left")
+        F.col("payload_digest").alias("_digest")).dropDuplicates(["_id"]), "warc-responses")
+    # a record without a reference meets itself, so that no key is null
+    joined = found.join(originals, F.coalesce("refers_to_id", "record_id") == F.col("_id"), "left")
     same = F.col("payload_digest") == F.col("_digest")
     return joined.select("page_id", "url", "record_id", "record_type", "payload_digest",
                          F.coalesce("payload_bytes", F.when(same, F.col("_bytes"))).alias("payload_bytes"),
