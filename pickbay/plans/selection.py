@@ -13,6 +13,7 @@ from pickbay.operators import orders as O
 from pickbay.operators import pareto as PA
 from pickbay.operators import votes as V
 from pickbay.scenario import Scenario
+from pickbay.session import stage
 from pickbay.sinks import overwrite_partition
 from pickbay.sources.tables import day_scan, partition_scan
 
@@ -40,7 +41,8 @@ class Selection:
 
     @cached_property
     def daily(self):
-        return O.daily_order_count(self.facts)
+        # read by the running total (twice: it is range-partitioned) and the day limits
+        return stage(O.daily_order_count(self.facts), "daily-order-count")
 
     @cached_property
     def shares(self):
