@@ -126,6 +126,68 @@ SELECT *, (fail_bits & 3) <> 0 AS base_failed, 'v2' AS policy, fail_bits AS poli
 FROM f
 """
 
+#: A text's words (lower-cased ASCII) as the resampling contract defines them, and CRC-32 of each distinct one.
+OP12 = rf"""
+WITH {_CRC},
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+corpus AS (SELECT doc_id, unnest(w) AS word FROM d),
+target AS (SELECT unnest(w) AS word FROM q),
+hashed AS (
+  SELECT word, xor(4294967295, list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda b: ('0x' || b)::BIGINT)),
+           lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) % 10000 AS bucket
+  FROM (SELECT word FROM corpus UNION SELECT word FROM target), crc_table),
+s AS (SELECT bucket, count(*) AS n FROM corpus JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM target JOIN hashed USING (word) GROUP BY bucket),
+gain AS (
+  SELECT b AS bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM corpus) + 10000)::DOUBLE)
+                            / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM target) + 10000)::DOUBLE)))::BIGINT AS g
+  FROM range(10000) r(b) LEFT JOIN s ON s.bucket = b LEFT JOIN t ON t.bucket = b),
+m AS (SELECT doc_id, floor(avg(g))::BIGINT AS weight FROM corpus JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5) / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM d LEFT JOIN m USING (doc_id)),
+placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, 10 * count(*) OVER () // 100 AS drawn
+           FROM scored WHERE n_features >= 20)
+SELECT scored.doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
+OP13 = f"""
+WITH {_CRC},
+own AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+shared AS (
+  SELECT conv_id, turns, xor(4294967295, list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda b: ('0x' || b)::BIGINT)),
+           lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) % 9 AS h
+  FROM own, crc_table),
+whole AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1:h], c.turns[h + 1:]) AS turns
+  FROM shared c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5),
+prefix AS (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS depth FROM whole),
+node AS (
+  SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = len(turns)), '') AS ends
+  FROM prefix GROUP BY ALL),
+child AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+own_value AS (
+  SELECT node.path, depth, coalesce(n_children, 0) AS n_children,
+         CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * octet_length(encode(node.path[depth].text)) END AS saved
+  FROM node LEFT JOIN child USING (path)),
+above AS (SELECT path, n_children, saved, unnest(range(depth + 1)) AS upto FROM own_value),
+subtree AS (SELECT path[1:upto] AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+            FROM above GROUP BY ALL)
+SELECT node.conv_id, node.depth, parent.conv_id AS parent_conv_id, node.n_convs, n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, sha256(node.ends) AS ends_sha256
+FROM node JOIN own_value USING (path) JOIN subtree USING (path)
+LEFT JOIN node parent ON node.depth > 0 AND parent.path = node.path[1:node.depth - 1]
+"""
+
 ORACLE = {
     "op2_minhash_near_duplicates": OP2,
     "op3_warc_revisits": OP3,
@@ -133,4 +195,6 @@ ORACLE = {
     "op5_mixing": OP5,
     "op8_sharding": OP8,
     "op9_quality_rules": OP9,
+    "op12_importance_resampling": OP12,
+    "op13_prefix_trie": OP13,
 }

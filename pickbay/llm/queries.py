@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pickbay.llm import (chat, decontam, mixing, neardup, quality_rules, sharding, tokenbin, tokencount, warc,
-                         weak_quality)
+from pickbay.llm import (chat, decontam, mixing, neardup, prefix_trie, quality_rules, resample, sharding, tokenbin,
+                         tokencount, transducer, warc, weak_quality)
 from pickbay.llm.common import stage, stage_path
 
 SHARDS = 24
@@ -56,7 +56,20 @@ def op10_weak_quality(spark, sf_dir):
     return weak_quality.classify(table(spark, sf_dir, "documents"))
 
 
+def op11_bpe_transducer(spark, sf_dir):
+    return transducer.code_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark, sf_dir):
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_minhash_near_duplicates, op3_warc_revisits, op4_decontamination, op5_mixing,
     op6_token_records, op7_chat_masks, op8_sharding, op9_quality_rules, op10_weak_quality,
+    op11_bpe_transducer, op12_importance_resampling, op13_prefix_trie,
 )}

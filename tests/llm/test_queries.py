@@ -18,12 +18,12 @@ def _norm(rows):
 
 
 @pytest.mark.parametrize("name", ["op2_minhash_near_duplicates", "op3_warc_revisits", "op4_decontamination", "op5_mixing",
-                                  "op8_sharding", "op9_quality_rules"])
+                                  "op8_sharding", "op9_quality_rules", "op12_importance_resampling", "op13_prefix_trie"])
 def test_query_equals_sql(spark, name):
     from pickbay.llm.oracle import ORACLE
     from pickbay.llm.queries import QUERIES
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)

@@ -1,0 +1,101 @@
+"""The transducer against the library and against plain merging."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pickbay.llm import transducer as td
+from pickbay.llm.tokens import tokenizer_path
+from support import documents  # noqa: F401 (fixture)
+
+PIECES = ["a", "B", "é", " ", "  ", "\n", "\t", " ", " ", "\x1c", "\x85", "'s", "'", "ll", "1", "²", "中", "!", "<|endoftext|>", "😀",
+          "don't", "word", "\\", "<", "|", "　"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def ids_of(text):
+    return np.frombuffer(td.transducer(tokenizer_path()).encode(text), np.int32)
+
+
+def test_ids_and_text_equal_the_library(library, monkeypatch):
+    monkeypatch.setattr(td, "REGION", 40)
+    rng, t = random.Random(1), td.transducer(tokenizer_path())
+    for _ in range(4000):
+        text = "".join(rng.choices(PIECES, k=rng.randint(0, 30)))
+        want = library.encode(text, add_special_tokens=False).ids
+        assert ids_of(text).tolist() == want
+        cut = want[rng.randint(0, 3):len(want) - rng.randint(0, 3)]     # characters cut in two
+        assert t.decode(np.array(cut, np.int32)) == library.decode(cut, skip_special_tokens=False)
+    for _ in range(1000):
+        some = [rng.randrange(50_300) for _ in range(rng.randint(0, 12))]
+        assert t.decode(np.array(some, np.int32)) == library.decode(some, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("letters", ["abcdeinrst", "-=_*", "aeiou", "中é😀", "xy"])
+def test_long_pretokens_are_streamed(library, letters, monkeypatch):
+    monkeypatch.setattr(td, "BLOCK", 32)
+    rng = random.Random(letters)
+    for n in (65, 500, 4000):
+        text = "".join(rng.choices(letters, k=n))
+        assert ids_of(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_pathological_texts(library):
+    for text in (" " * 300_000, "a" * 300_000, "\n \n" * 50_000, "ab  " * 50_000, "x" * 100_000 + " " + "y z" * 50_000):
+        assert ids_of(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def random_merges(rng):
+    spelled, rules = {i: bytes([97 + i]) for i in range(3)}, []
+    while len(rules) < 25:
+        a, b = rng.choice(list(spelled)), rng.choice(list(spelled))
+        if spelled[a] + spelled[b] not in spelled.values() and len(spelled[a] + spelled[b]) < 12:
+            spelled[len(spelled)] = spelled[a] + spelled[b]
+            rules.append((a, b, len(spelled) - 1))
+    return td.Merges(spelled, rules), {i: len(s) for i, s in spelled.items()}
+
+
+def test_lookahead_suffices_for_any_merge_list():
+    """Tokens that end a lookahead before the end of a prefix stay when the text goes on; streams equal whole merging."""
+    rng = random.Random(9)
+    for _ in range(60):
+        merges, length = random_merges(rng)
+        for _ in range(20):
+            text = bytes(rng.choices(b"abc", k=rng.randint(1, 160)))
+            whole = merges._merge_long([merges.single[b] for b in text])
+            assert whole == merges._merge_short([merges.single[b] for b in text])
+            n, end = rng.randint(0, len(text)), 0
+            for got, want in zip(merges.merge(text[:n]), whole):
+                if end + length[got] > n - merges.lookahead:
+                    break
+                assert got == want
+                end += length[got]
+            stream, out = td.Stream(merges, length, 3), []
+            for at in range(0, len(text), 5):
+                out += stream.push(text[at:at + 5])
+                assert len(stream.held) <= merges.lookahead + stream.block
+            assert out + stream.finish() == whole
+
+
+def test_improper_merge_lists_are_refused():
+    with pytest.raises(ValueError):
+        td.Merges({0: b"a", 1: b"b", 2: b"ab", 3: b"aba"}, [(2, 0, 3), (0, 1, 2)])
+
+
+def test_table(documents, library):  # noqa: F811
+    texts = [None, "", " ", "plain words", "x" * 5000, "é<|endoftext|>  <|endoftext|>b", " ".join(f"w{i}," for i in range(20_000))]
+    rows = [(None if i == 3 else i, t) for i, t in enumerate(texts)] + [(9, "twice"), (9, "twice")]
+    got = td.code_digests(documents(rows).selectExpr("*", "1 as ids", "2 as decoded")).collect()
+    want = []
+    for i, t in rows:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                     hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert td.code_digests(documents([])).count() == 0
