@@ -2,11 +2,18 @@
 
 Labellers are overlapping heuristics that call a document good, bad or abstain.
 All documents' votes are counted by vote pattern (at most 3^labellers rows);
-expectation-maximisation over the patterns estimates how each labeller votes on
-good and on bad documents, without any true label, and gives every pattern the
-probability that its documents are good.  A linear scorer over hashed features
-(words, word shapes, repetition) is trained on those probabilities for a bounded
-sample of documents and scores every whole text.
+expectation-maximisation over the patterns estimates how often each labeller
+objects to good and to bad documents, without any true label, and gives every
+pattern the probability that its documents are good.
+
+Whether a labeller abstains says nothing of a document, so only the votes given
+count.  Bad documents come in kinds: a labeller may see one kind of junk that all
+others pass.  Its objections are then all mistakes or all right, and the votes
+alone can't tell; a labeller is held to be better than chance, so the model gives
+every labeller that it would put below chance a kind of its own.
+
+A linear scorer over hashed features (words, word shapes, repetition) is trained
+on the probabilities for a bounded sample of documents and scores every whole text.
 """
 
 from __future__ import annotations
@@ -18,12 +25,16 @@ from pyspark.sql import functions as F
 
 from pickbay.llm.common import prepare, stage, text_bytes, window_hashes, word_hashes
 
-#: Bound of the training sample (documents); everything else covers all rows.
-SAMPLE = 4000
+#: Bounds of the training sample: documents expected, and features (8 bytes each) of all of them; everything
+#: else covers all rows.
+SAMPLE, SAMPLE_FEATURES = 4000, 20_000_000
 DIMENSIONS = 1 << 16
 SCALE = 32.0
 ROUNDS, RATE, DECAY = 120, 0.5, 1e-4
-EM_ROUNDS = 100
+EM_ROUNDS = 200
+#: Priors of the label model: good votes added on good documents, as a share of all documents; the least rate at
+#: which a labeller objects to its own kind; the certainty of the first guess.
+CARE, OWN_RATE, FIRST = 0.02, 0.9, 0.95
 
 GOOD, ABSTAIN, BAD = 2, 1, 0
 
@@ -120,26 +131,53 @@ def _shape(text: bytes) -> bytes:
 def fit_label_model(patterns: dict[int, int]) -> dict[int, float]:
     """P(good) of each vote pattern, by expectation-maximisation over pattern counts.
 
-    Labellers vote independently given the class.  The first guess calls a
-    pattern bad if any labeller objects; every vote gets one pseudo-count.
+    Classes are good documents and one or more kinds of bad ones; labellers vote
+    independently given the class, and a class has one rate of objection for
+    each labeller.  The first guess calls a pattern bad if any labeller objects.
+    Good documents are voted on with care (pseudo-counts of CARE), no kind
+    objects less than good documents do, and while a labeller objects more often
+    to good documents than to bad ones, it gets a kind of its own.
     """
     if not patterns:
         return {}
     codes, n = np.array(list(patterns)), np.array(list(patterns.values()), float)
     votes = np.stack([codes // 3 ** k % 3 for k in range(len(LABELLERS))], axis=1)
-    onehot = np.eye(3)[votes]                                          # pattern, labeller, vote
-    good = np.where((votes == BAD).any(axis=1), 0.1, 0.95)
+    bad, good = (votes == BAD).astype(float), (votes == GOOD).astype(float)      # pattern, labeller
+    guess = np.where(bad.any(axis=1), 1 - FIRST, FIRST)
+    share, own = np.stack([guess, 1 - guess], axis=1), []                        # pattern, class; kinds' labellers
+    while True:
+        share, rates = _maximise(share, n, bad, good, own)
+        of_bad = n * share[:, 1:].sum(axis=1)
+        objects = (bad.T @ of_bad + 0.1) / ((bad + good).T @ of_bad + 0.2)
+        mistaken = bad.T @ (n * share[:, 0])
+        below = [k for k in range(len(LABELLERS)) if k not in own and mistaken[k] > 0 and objects[k] < rates[k]]
+        if not below:
+            return {int(c): float(g) for c, g in zip(codes, share[:, 0])}
+        k = max(below, key=lambda k: mistaken[k])
+        own.append(k)
+        kind = FIRST * bad[:, k:k + 1]
+        share = np.concatenate([share * (1 - kind), kind], axis=1)
+
+
+def _maximise(share, n, bad, good, own: list[int]):
+    """Class shares of each pattern after EM, and the rates of objection on good documents."""
+    total = n.sum()
     for _ in range(EM_ROUNDS):
-        logs = []
-        for weight in (good * n, (1 - good) * n):
-            table = np.einsum("p,plv->lv", weight, onehot) + 1.0
-            table /= table.sum(axis=1, keepdims=True)
-            logs.append(np.log((weight.sum() + 1) / (n.sum() + 2)) + np.einsum("plv,lv->p", onehot, np.log(table)))
-        new = 1 / (1 + np.exp(np.clip(logs[1] - logs[0], -500, 500)))
-        if np.abs(new - good).max() < 1e-9:
+        weight = share * n[:, None]
+        against, given = bad.T @ weight, (bad + good).T @ weight                 # labeller, class
+        rate = (against + 0.1) / (given + 0.2)
+        rate[:, 0] = (against[:, 0] + 0.01) / (given[:, 0] + CARE * total + 0.02)
+        good_rates = rate[:, 0].copy()
+        rate[:, 1:] = np.maximum(rate[:, 1:], rate[:, :1])
+        for c, k in enumerate(own, 2):
+            rate[k, c] = max(rate[k, c], OWN_RATE)
+        logs = np.log((weight.sum(axis=0) + 1) / (total + share.shape[1])) + bad @ np.log(rate) + good @ np.log(1 - rate)
+        new = np.exp(logs - logs.max(axis=1, keepdims=True))
+        new /= new.sum(axis=1, keepdims=True)
+        moved, share = np.abs(new - share).max(), new
+        if moved < 1e-9:
             break
-        good = new
-    return {int(c): float(g) for c, g in zip(codes, good)}
+    return share, good_rates
 
 
 # ---------------------------------------------------------------------------
@@ -179,11 +217,11 @@ class Scorer:
 
 def _votes(batches):
     for batch in batches:
-        pattern = Texts(text_bytes(batch.column(1))).votes()
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pattern)], names=["doc_id", "votes"])
+        yield pa.RecordBatch.from_arrays([pa.array(Texts(text_bytes(batch.column(0))).votes())], names=["votes"])
 
 
 def _training_rows(batches):
+    """key, features, their frequencies, how many, and the vote pattern of each text."""
     for batch in batches:
         texts = Texts(text_bytes(batch.column(1)))
         doc, at = texts.features()
@@ -192,9 +230,9 @@ def _training_rows(batches):
         cuts = np.searchsorted(owner, np.arange(len(texts.texts) + 1))
         at, x = (keys % DIMENSIONS).astype(np.int32), (n / np.maximum(texts.counts, 1)[owner]).astype(np.float32)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([at[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-             pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()), batch.column(2)],
-            names=["at", "x", "votes"])
+            [batch.column(0), pa.array([at[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+             pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()), pa.array(np.diff(cuts)),
+             pa.array(texts.votes())], names=["key", "at", "x", "n", "votes"])
 
 
 class Model:
@@ -208,16 +246,36 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def _sample(texts: DataFrame, rows: int, sample: int, seed: int) -> DataFrame:
+    """Training rows: about `sample` distinct documents, those whose hash falls below a share of its range."""
+    spark = texts.sparkSession
+    keyed = texts.withColumn("key", F.xxhash64(F.lit(seed), "doc_id", "text"))
+    if rows > sample:
+        keyed = keyed.where(F.shiftrightunsigned("key", 1) < F.lit(int(2 ** 63 * sample / rows)))
+    # equal documents are one example
+    drawn = keyed.groupBy("key").agg(F.first("text").alias("text"))
+    examples = stage(drawn.mapInArrow(_training_rows, "key long, at binary, x binary, n long, votes long"), "quality-sample")
+    sizes, total, last = examples.select("key", "n").orderBy("key").collect(), 0, None
+    for key, n in sizes:
+        total += n
+        if total > SAMPLE_FEATURES:
+            break
+        last = key
+    return examples.where(F.col("key") <= last) if last is not None else spark.createDataFrame([], examples.schema)
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = 0) -> Model:
-    """Label model over all documents, scorer over `sample` of them (those whose ids hash lowest)."""
+    """Label model over all documents, scorer over about `sample` of them, drawn by a hash of id and text.
+
+    The driver gets the counts of vote patterns, the sample's sizes and at most
+    SAMPLE_FEATURES of its features, never more.
+    """
     prepare(docs.sparkSession)
     texts = _texts(docs)
-    votes = stage(texts.mapInArrow(_votes, "doc_id long, votes long"), "quality-votes")
-    posterior = fit_label_model({r[0]: r[1] for r in votes.groupBy("votes").count().collect()})
-    chosen = (votes.where("doc_id IS NOT NULL").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(sample)
-              .dropDuplicates(["doc_id"]))
-    rows = texts.join(chosen, "doc_id").select("doc_id", "text", "votes").mapInArrow(
-        _training_rows, "at binary, x binary, votes long").limit(2 * sample).collect()   # repeated ids may add rows
+    counted = texts.select("text").mapInArrow(_votes, "votes long").groupBy("votes").count().collect()
+    patterns = {r[0]: r[1] for r in counted}
+    posterior = fit_label_model(patterns)
+    rows = _sample(texts, sum(patterns.values()), sample, seed).select("at", "x", "votes").collect()
     rows.sort(key=lambda r: (bytes(r[0]), bytes(r[1])))
     return Model(posterior, Scorer.fit([(np.frombuffer(r[0], np.int32), np.frombuffer(r[1], np.float32), posterior[r[2]])
                                         for r in rows]))
@@ -237,8 +295,8 @@ def classify(docs: DataFrame, model: Model | None = None, threshold: float = 0.5
     """doc_id, posterior (label model), score (scorer) and kept (score >= threshold) of every row.
 
     Defined cases: in a null, empty or word-free text all labellers abstain and
-    the scorer answers with its bias; null doc_ids are scored but not sampled for
-    training; repeated rows get equal scores; texts are read whole; an empty table
+    the scorer answers with its bias; null doc_ids are rows like others; repeated
+    rows get equal scores and are one example in training; texts are read whole; an empty table
     gives an empty result; columns other than doc_id and text are ignored.
     """
     prepare(docs.sparkSession)
@@ -256,6 +314,11 @@ def _accepted(model: Model, at: int, threshold: float):
 
 
 def accepted_documents(docs: DataFrame, model: Model | None = None, threshold: float = 0.5) -> DataFrame:
-    """The rows of `docs` whose score reaches the threshold; all columns unchanged."""
+    """The rows of `docs` whose score reaches the threshold; all columns unchanged.
+
+    Defined cases: as in classify(); each row is judged by its own text, so equal
+    ids don't matter; a document without words stays if the model's bias reaches
+    the threshold; an empty table gives an empty result.
+    """
     prepare(docs.sparkSession)
     return docs.mapInArrow(_accepted(model or fit(docs), docs.columns.index("text"), threshold), docs.schema)
