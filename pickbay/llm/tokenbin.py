@@ -62,7 +62,7 @@ def unframe(data, offset: int = 0) -> tuple[int | None, np.ndarray, int]:
 
 def _encode(path: str):
     def run(batches):
-        enc, end = encoder(path), np.array([END_ID], "<u4")
+        enc, end = encoder(path, added=True), np.array([END_ID], "<u4")
         for batch in batches:
             out = [frame(i, np.concatenate([np.frombuffer(enc.encode(t or ""), "<u4"), end]))
                    for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
@@ -73,8 +73,8 @@ def _encode(path: str):
 def write_token_records(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     """Encode whole texts, end each with id 0, and write `path`/records and `path`/index.
 
-    Defined cases: a null or empty text is its end id alone; special-token strings
-    in a text are ordinary text; null doc_ids come first; rows of one doc_id are
+    Defined cases: a null or empty text is its end id alone; an added token's string
+    in a text is that token, as in the library's own encoding; null doc_ids come first; rows of one doc_id are
     ordered by a hash of the text, equal rows are interchangeable; an empty table
     gives no records and an empty index; other columns are ignored.
     """

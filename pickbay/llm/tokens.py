@@ -26,30 +26,35 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 _WIDE = re.compile(r" (?=\s)")
+_CUT = re.compile(r"(?= \S)")
 
 
 def stretches(text: str) -> list[str]:
     """Cut a text before each space that a non-space follows."""
-    pieces = text.split(" ")
     if text[-1:] != " " and not _WIDE.search(text):
+        pieces = text.split(" ")
         out = [pieces[0], *[" " + p for p in pieces[1:]]]
     else:
-        out = [pieces[0]]
-        for p in pieces[1:]:
-            if p and not p[0].isspace():
-                out.append(" " + p)
-            else:
-                out[-1] += " " + p
+        return [p for p in _CUT.split(text) if p]
     return out if out[0] else out[1:]
 
 
 class Encoder:
-    """Ids of whole texts, equal to the tokenizer's own encoding without special tokens."""
+    """Ids of whole texts, equal to the tokenizer's own encoding with add_special_tokens=False.
 
-    def __init__(self, path: str):
+    With `added`, strings of the file's added tokens in a text are those tokens, as the
+    library takes them; without, they are ordinary text.
+    """
+
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = {}
+        for i, t in self.tokenizer.get_added_tokens_decoder().items() if added else ():
+            if t.single_word or t.lstrip or t.rstrip:
+                raise ValueError("added tokens that strip or match whole words only are not supported")
+            self.added[t.content] = array("I", [i]).tobytes()
+        self.between = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.model = self.tokenizer.model
         self.pattern = regex.compile(_pattern())
         self.letters = _byte_letters()
@@ -85,6 +90,12 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """All ids of a text as little-endian 32-bit integers."""
+        if not self.added or not self.between.search(text):
+            return self._plain(text)
+        return b"".join([self.added[part] if k % 2 else self._plain(part) for k, part in enumerate(self.between.split(text))])
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text in which no added token stands."""
         cuts = stretches(text)
         ids = list(map(self.known.get, cuts))
         if None in ids:
@@ -93,9 +104,9 @@ class Encoder:
 
 
 @functools.cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added: bool = False) -> Encoder:
     """One encoder for each Python worker and file."""
-    return Encoder(path)
+    return Encoder(path, added)
 
 
 def _pattern() -> str:
