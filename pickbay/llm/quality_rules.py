@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 
+#: Hash of the three words from word w at position i on (windows with equal hashes are compared by their words).
+WINDOW_HASH = "xxhash64(w, get(words, i + 1), get(words, i + 2))"
+
 #: Name and failure condition of each rule; its position is its bit.
 RULES = (
     ("few_words", "n_words < 50"),
@@ -49,20 +52,35 @@ def measurements(docs: DataFrame) -> DataFrame:
     d = d.withColumn("words", F.array_remove(F.split("text", SPACES), ""))
     d = d.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     d = d.withColumn("n_words", F.size("words").cast("long"))
-    # a window's key holds its hash above and its position below
+    # a window's key holds the low bits of its hash above and its position below; only windows that share
+    # the hash with another one are looked at word by word
     d = d.withColumn("bits", F.length(F.bin("n_words")))
-    d = d.withColumn("keys", F.expr("""
+    d = d.withColumn("keys", F.expr(f"""
         sort_array(slice(transform(words, (w, i) -> shiftleft(
-            xxhash64(w, get(words, i + 1), get(words, i + 2)), bits) | i), 1, greatest(size(words) - 2, 0)))"""))
+            {WINDOW_HASH}, bits) | i), 1, greatest(size(words) - 2, 0)))"""))
+    d = d.withColumn("alike", F.expr("""
+        filter(keys, (k, i) -> shiftright(k, bits) = shiftright(get(keys, i - 1), bits)
+                            OR shiftright(k, bits) = shiftright(get(keys, i + 1), bits))"""))
+    d = d.withColumn("at", F.expr("transform(alike, k -> cast(k & (shiftleft(1L, bits) - 1) as int))"))
+    # different windows with one hash (neighbours in hash order, then position)
+    d = d.withColumn("clash", F.expr("""
+        exists(sequence(1, greatest(size(alike) - 1, 1)), i ->
+            shiftright(get(alike, i), bits) = shiftright(get(alike, i - 1), bits)
+            AND NOT (get(words, get(at, i)) = get(words, get(at, i - 1))
+                     AND get(words, get(at, i) + 1) = get(words, get(at, i - 1) + 1)
+                     AND get(words, get(at, i) + 2) = get(words, get(at, i - 1) + 2)))"""))
+    d = d.withColumn("exact", F.expr("""
+        CASE WHEN clash THEN sort_array(transform(at, i -> named_struct(
+            'a', get(words, i), 'b', get(words, i + 1), 'c', get(words, i + 2), 'i', i))) END"""))
     d = d.withColumn("found", F.expr("""
-        sort_array(transform(filter(keys, (k, i) ->
-            shiftright(k, bits) = shiftright(get(keys, i - 1), bits) OR shiftright(k, bits) = shiftright(get(keys, i + 1), bits)),
-            k -> cast(k & (shiftleft(1L, bits) - 1) as int)))"""))
+        sort_array(CASE WHEN clash THEN transform(filter(exact, (x, j) ->
+            (x.a = get(exact, j - 1).a AND x.b = get(exact, j - 1).b AND x.c = get(exact, j - 1).c)
+            OR (x.a = get(exact, j + 1).a AND x.b = get(exact, j + 1).b AND x.c = get(exact, j + 1).c)), x -> x.i)
+        ELSE at END)"""))
     covered = F.expr("""
         CASE WHEN size(found) = 0 THEN 0L ELSE
             aggregate(zip_with(slice(found, 2, size(found)), slice(found, 1, size(found) - 1), (b, a) -> least(b - a, 3)),
                       3L, (s, x) -> s + x) END""")
-    letters = F.regexp_replace("text", r"[^\p{L}]+", "")
     return d.select(
         "doc_id", "n_words", F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),

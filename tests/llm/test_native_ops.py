@@ -125,3 +125,44 @@ def test_ablation_by_bits(documents):
                               sum(b & mask & ~bit == 0 for b in bits))
                        for name, bit in quality_rules.BIT.items() if bit & mask}
     assert {r.failed for r in quality_rules.ablation(quality_rules.ledger(documents([]))).collect()} == {0}
+
+
+def test_mixed_rows_keep_their_own_copies(documents):
+    """Null and repeated ids with different texts, clashing names, any order of the input."""
+    rows = [(None if i % 3 else 7, "w " * (i % 29), f"s{i % 2}", f"x{i}", i) for i in range(900)]
+    rows += [(3, "same text", "s1", "one", 1), (3, "same text", "s1", "two", 2), (3, None, None, None, None)]
+    df = documents(rows, "doc_id long, text string, source string, _key string, _size long").selectExpr(
+        "*", "1 as _copy", "2 as _copies", "'r' as number", "'c' as content", "4 as copies", "5 as digest")
+    once = mixing.mixed_documents(df)
+    assert once.columns == df.columns
+    got = Counter(map(str, once.collect()))
+    assert set(got) <= set(map(str, df.collect())) and set(got.values()) <= {1, 2}
+    words = Counter()
+    for r in once.collect():
+        words[r.source] += len(WORD.findall(r.text or ""))
+    plan = {r.source: r.target for r in mixing.copies(df).select("source", "target").distinct().collect()}
+    assert all(abs(words[s] - plan[s]) <= 60 for s in plan)
+    for other in (df.repartition(7), df.orderBy(F.desc("_size")), df.coalesce(1)):
+        assert Counter(map(str, mixing.mixed_documents(other).collect())) == got
+
+
+def test_mixing_of_many_null_ids_is_linear(documents):
+    rows = documents([(0, "a b c", "s")], "doc_id long, text string, source string")
+    many = rows.selectExpr("cast(null as long) as doc_id", "text", "source", "explode(sequence(1, 100000)) as n")
+    assert abs(mixing.mixed_documents(many).count() - 150_000) < 10
+
+
+def test_windows_with_equal_hashes_are_told_apart(documents, monkeypatch):
+    """Every window with one hash, and one of two: the words decide."""
+    rows = list(enumerate(TEXTS)) + [(99, "a b c d a b c x y z y z a b"), (98, "p q r " * 30 + "s t u")]
+    for weak in ("0L", "xxhash64(w) % 2"):
+        monkeypatch.setattr(quality_rules, "WINDOW_HASH", weak)
+        got = {r.doc_id: r.n_repeat_words for r in quality_rules.quality_rules(documents(rows)).collect()}
+        assert got == {i: plain_rules(t)[4] for i, t in rows}
+
+
+def test_very_long_text_has_no_repeats_of_its_own(spark):
+    n = 2_000_000
+    text = spark.range(1).selectExpr("id as doc_id", f"array_join(transform(sequence(1, {n}), x -> cast(x as string)), ' ') as text")
+    r = quality_rules.quality_rules(text).first()
+    assert (r.n_words, r.n_repeat_words) == (n, 0)
