@@ -55,9 +55,15 @@ class Partition:
     def candidates(self, shingles: np.ndarray) -> np.ndarray:
         if len(shingles) < self.need:
             return np.zeros(0, np.int64)
-        at = np.searchsorted(shingles, self.hashes)
-        at[at == len(shingles)] = 0
-        return np.unique(self.owner[shingles[at] == self.hashes])
+        if len(self.hashes) <= len(shingles):
+            at = np.searchsorted(shingles, self.hashes)
+            at[at == len(shingles)] = 0
+            return np.unique(self.owner[shingles[at] == self.hashes])
+        # the shorter list is looked up in the longer one: a document's cost hardly grows with the benchmark
+        first, last = (np.searchsorted(self.hashes, shingles, side=s) for s in ("left", "right"))
+        n = (last - first)[last > first]
+        at = np.repeat(first[last > first] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.unique(self.owner[at])
 
 
 class Index:
@@ -138,7 +144,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.sparkSession.createDataFrame([], SCHEMA) if found is None else found
 
 
+def _without(ids, items, at: int):
+    def run(batches):
+        index = None
+        for batch in batches:
+            index = index or Index(ids, items)
+            words, counts = word_hashes(text_bytes(batch.column(at)))
+            ends = counts.cumsum().tolist()
+            keep = [not any(True for _ in index.search(words[end - n:end])) for end, n in zip(ends, counts.tolist())]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+    return run
+
+
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` that contain no item; all columns unchanged."""
-    hits = contaminated(docs, benchmark).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hits, docs["doc_id"].cast("long").eqNullSafe(hits["_hit"]), "left_anti")
+    """The rows of `docs` that contain no item; all columns unchanged.
+
+    Every row is judged by its own text, so rows that share a doc_id or have none
+    don't answer for each other.  Defined cases: as in contaminated(); a document
+    without text stays; without items all rows stay; an empty table stays empty;
+    columns may have any name.
+    """
+    prepare(docs.sparkSession)
+    for block in _blocks(benchmark):
+        docs = docs.mapInArrow(_without([i for i, _ in block], [t for _, t in block], docs.columns.index("text")), docs.schema)
+    return docs

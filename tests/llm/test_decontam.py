@@ -1,3 +1,5 @@
+import random
+
 from pickbay.llm import decontam
 from support import documents  # noqa: F401 (fixture)
 
@@ -50,3 +52,28 @@ def test_clean_documents_and_empty_tables(spark, documents):
     assert decontam.contaminated(docs, none).count() == 0
     assert decontam.clean_documents(docs, none).count() == len(DOCS)
     assert decontam.contaminated(documents([]), items).count() == 0
+
+
+def test_rows_are_judged_by_their_own_text(documents, monkeypatch):
+    """Repeated and null ids with different texts; columns with the operator's own names."""
+    hit, clean = ITEMS[0][1], "nothing of the kind stands in this text at all"
+    rows = [(None, hit), (None, clean), (7, hit), (7, clean), (7, None)]
+    df = documents(rows).selectExpr("*", "1 as item_id", "2 as n_shared", "'x' as _hit")
+    items = documents([*ITEMS[:1], (20, "other words of another item"), (21, "a third one of five words")], "item_id long, text string")
+    for block in (1 << 20, 10):
+        monkeypatch.setattr(decontam, "BLOCK_BYTES", block)
+        left = decontam.clean_documents(df, items)
+        assert left.columns == df.columns
+        assert sorted((str(r.doc_id), str(r.text)) for r in left.collect()) == sorted([("None", clean), ("7", clean), ("7", "None")])
+
+
+def test_large_benchmarks_are_looked_up_from_the_document():
+    """More sketch hashes than shingles: the same items are found."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(1, 30))) for _ in range(3000)]
+    index = decontam.Index(list(range(len(texts))), [t.encode() for t in texts])
+    docs = [(0, " ".join(texts[5:9])), (1, texts[77]), (2, "w1"), (3, "w1 w2 w3 " + texts[10])]
+    from pickbay.llm.common import word_hashes
+    got = sorted(((d, m, len(index.sets[m]), n) for d, t in docs for m, n in index.search(word_hashes([t.encode()])[0])), key=str)
+    assert got == plain(docs, list(enumerate(texts))) and len(got) > 5
