@@ -29,13 +29,13 @@ CELL_ROWS = 1 << 16
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size (words of the text; null: 0) and the layout columns."""
+def sizes(docs: DataFrame, *keep: str) -> DataFrame:
+    """doc_id, source, size (words of the text; null: 0), the layout column and the columns `keep`."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                     F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
                     F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("/"), text).cast("binary"))
-                    .alias("digest"))
+                    .alias("digest"), *keep)
 
 
 def targets(sized: DataFrame, total_share: float = TOTAL_SHARE, max_copies: int = MAX_COPIES,
@@ -91,7 +91,11 @@ def copies(docs: DataFrame, seed: int = 0, **recipe) -> DataFrame:
     reruns agree); no row is taken more than twice, as expected copies are at
     most 2; columns other than doc_id, text and source are ignored.
     """
-    sized = stage(sizes(docs), "mix-sizes")
+    return _copies(stage(sizes(docs), "mix-sizes"), (), seed, **recipe)
+
+
+def _copies(sized: DataFrame, keep: tuple, seed: int, **recipe) -> DataFrame:
+    """copies() of sized rows; the columns `keep` settle ties of the layout and are returned too."""
     plan = targets(sized, seed=seed, **recipe)
     laid = _layout(sized, sized.count())
     cell = ["source", "size_class", "cut"]
@@ -100,15 +104,15 @@ def copies(docs: DataFrame, seed: int = 0, **recipe) -> DataFrame:
              .withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0))))
     cells = cells.alias("c").join(plan.alias("p"), F.expr("c.source <=> p.source")).select(
         "c.source", "size_class", "cut", "before", "source_size", "target", "offset")
-    rank = F.row_number().over(Window.partitionBy(*cell).orderBy("digest", "doc_id", "size"))
+    rank = F.row_number().over(Window.partitionBy(*cell).orderBy("digest", "doc_id", "size", *keep))
     numbered = laid.withColumn("rank", rank)
     placed = numbered.alias("d").join(cells.alias("c"), F.expr(
         "d.source <=> c.source AND d.size_class = c.size_class AND d.cut = c.cut")).select(
-        "doc_id", "d.source", "size", "source_size", "target", "offset", (F.col("before") + F.col("rank")).alias("i"))
+        "doc_id", "d.source", "size", "source_size", "target", "offset", *keep, (F.col("before") + F.col("rank")).alias("i"))
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     crossed = F.floor(F.col("e") * F.col("i") + F.col("offset")) - F.floor(F.col("e") * (F.col("i") - 1) + F.col("offset"))
     return placed.withColumn("e", expected).withColumn("copies", crossed.cast("int")).select(
-        "doc_id", "source", "size", "source_size", "target", "copies")
+        "doc_id", "source", "size", "source_size", "target", "copies", *keep)
 
 
 def mixture(docs: DataFrame, seed: int = 0, **recipe) -> DataFrame:
@@ -120,20 +124,17 @@ def mixture(docs: DataFrame, seed: int = 0, **recipe) -> DataFrame:
 def mixed_documents(docs: DataFrame, seed: int = 0, **recipe) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it, columns unchanged.
 
-    Copies are looked up by doc_id; rows that share a doc_id are numbered in the
-    same order on both sides, so each row meets its own count.
+    The rows are written once with a number of their own, by which each meets its
+    copies, whatever its doc_id.  Defined cases: as in copies(); rows that share
+    doc_id, text and source are told apart by a hash of all their columns, so the
+    mix doesn't depend on the order or partitions of the input (rows equal in
+    every column are interchangeable); columns may have any name.
     """
-    names = docs.columns
-    order = ["_size", "_source"]
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63))
-    mine = docs.withColumns({
-        "_size": F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD)).cast("long"),
-        "_source": F.col("source").cast("string"), "_key": key})
-    mine = mine.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy(*order)))
-    counts = copies(docs, seed, **recipe).select(key.alias("_ckey"), F.col("size").alias("_size"),
-                                                 F.col("source").alias("_source"), F.col("copies").alias("_copies"))
-    counts = counts.withColumn("_cnth", F.row_number().over(Window.partitionBy("_ckey").orderBy(*order, "_copies")))
-    # _nth is compared outside the join key: both sides already lie by _key
-    joined = mine.join(counts.where("_copies > 0").select("_ckey", "_cnth", "_copies"),
-                       F.expr("_key = _ckey AND _nth - _cnth = 0"))
-    return joined.withColumn("_copy", F.explode(F.expr("sequence(1, _copies)"))).select(*names)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(whole.alias("row"), F.monotonically_increasing_id().alias("number"))
+    rows = stage(rows, "mix-rows")
+    needed = [F.col(f"row.{c}").alias(c) for c in ("doc_id", "text", "source")]
+    sized = sizes(rows.select(*needed, "number", F.xxhash64("row").alias("content")), "content", "number")
+    copies_of = _copies(stage(sized, "mix-sizes"), ("content", "number"), seed, **recipe).where("copies > 0")
+    drawn = rows.join(copies_of.select("number", "copies"), "number")
+    return drawn.select("row", F.explode(F.expr("sequence(1, copies)"))).select("row.*")
