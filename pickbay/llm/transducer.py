@@ -37,12 +37,17 @@ from pickbay.llm.tokens import _byte_letters, _pattern, tokenizer_path
 
 #: Bytes merged at once besides the lookahead, and characters of a text looked at together.
 BLOCK, REGION = 2048, 1 << 16
-#: Stretches and pre-tokens of at most so many characters are kept, so many of them; a full cache is emptied.
-CACHED_CHARS, CACHE = 64, 600_000
+#: Stretches and pre-tokens of at most so many characters are kept, in two generations of at most so many:
+#: a full one becomes the older, and what is found there is kept on.
+CACHED_CHARS, CACHE = 64, 400_000
 #: Ids turned into text at once.
 IDS = 1 << 16
 
 
+#: A rule as one number: its rank, then the merged symbol in the low bits.
+_SYMBOL, _NO_RULE = (1 << 32) - 1, 1 << 62
+
+
 class Merges:
     """A merge list over byte symbols: rules, and the lookahead that suffices for it."""
 
@@ -50,6 +55,7 @@ class Merges:
         """bytes_of: what each symbol spells; rules: (left, right, merged) in order of rank."""
         self.single = {b[0]: i for i, b in bytes_of.items() if len(b) == 1}
         self.rules = {(left, right): (rank, merged) for rank, (left, right, merged) in enumerate(rules)}
+        self.codes = {pair: rank << 32 | merged for pair, (rank, merged) in self.rules.items()}   # order like ranks
         made = {i for i, b in bytes_of.items() if len(b) == 1}
         for left, right, merged in rules:
             if left not in made or right not in made or merged in made:
@@ -81,21 +87,19 @@ class Merges:
         return self._merge_short(symbols) if len(symbols) <= CACHED_CHARS else self._merge_long(symbols)
 
     def _merge_short(self, symbols: list[int]) -> list[int]:
-        rules, none = self.rules, (len(self.rules), 0)
-        while len(symbols) > 1:
-            found = [rules.get(pair, none) for pair in zip(symbols, symbols[1:])]
-            best = min(found)
-            if best is none:
+        rules, none = self.codes.get, _NO_RULE
+        codes = [rules(pair, none) for pair in zip(symbols, symbols[1:])]
+        while codes:
+            best = min(codes)
+            if best == none:
                 break
-            out, i, last = [], 0, len(found)
-            while i <= last:
-                if i < last and found[i] is best:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(symbols[i])
-                    i += 1
-            symbols = out
+            i, merged = codes.index(best), best & _SYMBOL
+            symbols[i] = merged
+            del symbols[i + 1], codes[i]
+            if i:
+                codes[i - 1] = rules((symbols[i - 1], merged), none)
+            if i < len(codes):
+                codes[i] = rules((merged, symbols[i + 1]), none)
         return symbols
 
     def _merge_long(self, symbols: list[int]) -> list[int]:
@@ -173,13 +177,14 @@ class Transducer:
         self.between = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.pattern = regex.compile(_pattern())
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     # -- text to ids -----------------------------------------------------
 
     def _keep(self, text: str, ids: bytes) -> bytes:
         if len(text) <= CACHED_CHARS:
             if len(self.known) >= CACHE:
-                self.known.clear()
+                self.older, self.known = self.known, {}
             self.known[text] = ids
         return ids
 
@@ -187,7 +192,10 @@ class Transducer:
         if end - start <= CACHED_CHARS:
             part = text[start:end]
             found = self.known.get(part)
-            return found if found is not None else self._keep(part, array("I", self.merges.merge(part.encode())).tobytes())
+            if found is None:
+                found = self.older.get(part)
+                found = self._keep(part, array("I", self.merges.merge(part.encode())).tobytes() if found is None else found)
+            return found
         stream, out = Stream(self.merges, self.length), array("I")
         for at in range(start, end, BLOCK):
             out.extend(stream.push(text[at:min(at + BLOCK, end)].encode()))
@@ -199,6 +207,8 @@ class Transducer:
         return b"".join([self._pretoken(text, *m.span()) for m in self.pattern.finditer(text, start, end)])
 
     def _stretch(self, part: str) -> bytes:
+        if part in self.older:
+            return self._keep(part, self.older[part])
         if part[part[0] == " ":].isalpha():
             return self._pretoken(part, 0, len(part))
         return self._keep(part, self._span(part, 0, len(part)))
