@@ -1,6 +1,10 @@
 """Daily Pareto pick: per ship day, take SKUs in falling order-count order
 until the running count of selectable SKUs reaches a share of the day's orders.
 
+The cut is found on a histogram: per day, the distinct order counts with their
+sums.  Prefix sums over them say which counts lie within a limit as a whole and
+at which count the limit falls; only the SKUs of that one count need their order.
+
 Ordering is (ord_cnt desc, sku_id asc): the reference has no tie-break, which
 makes its result depend on the sort; the SKU id makes it deterministic.  Counts
 are decimals, so `running <= share * total` is exact.
@@ -11,11 +15,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pickbay.operators.assortment import FUTURE, SKU, can_choose_by_sku, can_choose_flags
-from pickbay.operators.prefix import running_total
+from pickbay.operators.prefix import running_by_value, value_histogram
 
 # Narrow enough that comparing the two keeps all four fraction digits: Spark
 # would round the limit to two if both had 38 digits.
@@ -54,10 +58,6 @@ def selection_params(shares: DataFrame) -> SelectionParams:
     return SelectionParams(stores, per_store)
 
 
-def _running(rows: DataFrame, order, value) -> DataFrame:
-    return running_total(rows, "sub_dt", order, value, "cumulative_total")
-
-
 def pareto_cumulative(daily: DataFrame, flags: DataFrame, share: Decimal | None) -> DataFrame:
     """Joint form: running selectable count and the day's limit (share x all orders).
 
@@ -66,7 +66,7 @@ def pareto_cumulative(daily: DataFrame, flags: DataFrame, share: Decimal | None)
     """
     rows = daily.join(can_choose_by_sku(flags), SKU, "left")
     totals = daily.groupBy("sub_dt").agg(F.sum("ord_cnt").alias("_day_total"))
-    run = _running(rows, [F.desc("ord_cnt"), F.asc(SKU)], F.col("ord_cnt") * F.col("canchoose_flag"))
+    run = running_by_value(rows, "sub_dt", "ord_cnt", [SKU], F.col("ord_cnt") * F.col("canchoose_flag"), "cumulative_total")
     share_col = F.lit(share).cast("decimal(4,2)")
     return run.join(totals, "sub_dt").select(
         "sub_dt", SKU, "ord_cnt", "canchoose_flag",
@@ -78,11 +78,37 @@ def _choosable(flags: DataFrame) -> DataFrame:
     return can_choose_flags(flags).where(F.col("canchoose_flag") == 1).select(SKU).distinct()
 
 
+def _within_limits(rows: DataFrame, limits: DataFrame, tie: list[str]) -> DataFrame:
+    """The `rows` (sub_dt, ord_cnt, amount, ...) whose running amount is within a
+    limit, once for each row of `limits` (sub_dt, limit, and what else names it).
+
+    `limits` has a few rows per day, and so has the cut made from it.
+    """
+    names = [c for c in limits.columns if c != "sub_dt"]
+    hist = value_histogram(rows, "sub_dt", "ord_cnt", F.coalesce("amount", F.lit(0).cast("decimal(18,2)")))
+    before = F.coalesce("before", F.lit(0)).cast(CUM_TYPE)
+    upto = (before + F.col("own")).cast(CUM_TYPE)
+    cut = (hist.join(limits, "sub_dt").groupBy("sub_dt", *names).agg(
+        F.min(F.when(upto <= F.col("limit"), F.col("ord_cnt"))).alias("whole"),
+        F.max(F.when((before <= F.col("limit")) & (upto > F.col("limit")),
+                     F.struct("ord_cnt", before.alias("before")))).alias("edge")))
+    whole = rows.join(cut, "sub_dt").where(F.col("ord_cnt") >= F.col("whole")).select(*rows.columns, *names)
+    order = Window.partitionBy("sub_dt", *names).orderBy(*tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edge = cut.where("edge IS NOT NULL").select("sub_dt", *names, F.col("edge.ord_cnt").alias("ord_cnt"), "edge.before")
+    inside = F.col("before") + F.coalesce(F.sum("amount").over(order), F.lit(0))
+    last = (rows.join(edge, ["sub_dt", "ord_cnt"]).withColumn("_run", inside.cast(CUM_TYPE))
+            .where(F.col("_run") <= F.col("limit")).select(*rows.columns, *names))
+    return whole.unionAll(last)
+
+
 def pareto_pick(daily: DataFrame, flags: DataFrame, share: Decimal | None) -> DataFrame:
     """Joint pick: (sub_dt, sku_id) rows within the day's limit."""
-    cum = pareto_cumulative(daily, flags, share)
-    picked = cum.where(F.col("cumulative_total") <= F.col("total_ord")).select("sub_dt", SKU)
-    return picked.join(_choosable(flags), SKU, "left_semi")
+    rows = daily.join(_choosable(flags).withColumn("_ok", F.lit(1)), SKU, "left").select(
+        "sub_dt", SKU, "ord_cnt", F.when(F.col("_ok") == 1, F.col("ord_cnt")).alias("amount"))
+    limit = (F.sum("ord_cnt") * F.lit(share).cast("decimal(4,2)")).cast(LIMIT_TYPE).alias("limit")
+    picked = _within_limits(rows, daily.groupBy("sub_dt").agg(limit), [SKU])
+    # only selectable rows carry an amount
+    return picked.where("amount IS NOT NULL").select("sub_dt", SKU)
 
 
 def pareto_pick_by_store(daily: DataFrame, flags: DataFrame, stores: tuple[StoreShare, ...],
@@ -93,30 +119,26 @@ def pareto_pick_by_store(daily: DataFrame, flags: DataFrame, stores: tuple[Store
     to the store's own SKUs as well.
 
     Output (future_source_store_id, store_rank, sub_dt, sku_id).  The day
-    limits are one aggregate with a column per store (the mode has two).
+    limits are one aggregate, a row per day and store.
     """
+    if not stores:
+        return daily.sparkSession.createDataFrame(
+            [], f"{FUTURE} string, store_rank int, sub_dt date, {SKU} string")
     if restrict_to_store:
-        picks = [pareto_pick_by_store(daily, flags.where(F.col(FUTURE) == s.store_id), (s,))
-                 .withColumn("store_rank", F.lit(s.rank)) for s in stores]
-        if not picks:
-            return pareto_pick_by_store(daily, flags, ())
+        picks = [pareto_pick_by_store(daily, flags.where(F.col(FUTURE) == s.store_id), (s,)) for s in stores]
         out = picks[0]
         for p in picks[1:]:
             out = out.unionByName(p)
         return out
-    if not stores:
-        return daily.sparkSession.createDataFrame(
-            [], f"{FUTURE} string, store_rank int, sub_dt date, {SKU} string")
-    rows = daily.join(can_choose_flags(flags), SKU, "left")
-    limits = rows.groupBy("sub_dt").agg(*[
-        (F.sum(F.col("ord_cnt") * F.when(F.col(FUTURE) == s.store_id, 1).otherwise(0))
+    flagged = daily.join(can_choose_flags(flags), SKU, "left")
+    rows = flagged.select("sub_dt", SKU, F.col(FUTURE).alias("_store"), "ord_cnt",
+                          (F.col("ord_cnt") * F.col("canchoose_flag")).alias("amount"))
+    sums = flagged.groupBy("sub_dt").agg(*[
+        (F.coalesce(F.sum(F.when(F.col(FUTURE) == s.store_id, F.col("ord_cnt"))), F.lit(0).cast("decimal(18,2)"))
          * F.lit(s.share).cast("decimal(4,2)")).cast(LIMIT_TYPE).alias(f"_limit{s.rank}") for s in stores])
-    run = _running(rows, [F.desc("ord_cnt"), F.asc(SKU), F.asc(FUTURE)],
-                   F.col("ord_cnt") * F.col("canchoose_flag"))
-    cum = run.join(limits, "sub_dt")
-    picks = None
-    for s in stores:
-        p = (cum.where(F.col("cumulative_total") <= F.col(f"_limit{s.rank}"))
-             .select(F.lit(s.store_id).alias(FUTURE), F.lit(s.rank).alias("store_rank"), "sub_dt", SKU))
-        picks = p if picks is None else picks.unionByName(p)
-    return picks.join(_choosable(flags), SKU, "left_semi")
+    limits = sums.select("sub_dt", F.inline(F.array(*[
+        F.struct(F.lit(s.store_id).alias(FUTURE), F.lit(s.rank).alias("store_rank"), F.col(f"_limit{s.rank}").alias("limit"))
+        for s in stores])))
+    picked = _within_limits(rows, limits, [SKU, "_store"])
+    return picked.select(FUTURE, "store_rank", "sub_dt", SKU).join(_choosable(flags), SKU, "left_semi").select(
+        FUTURE, "store_rank", "sub_dt", SKU)

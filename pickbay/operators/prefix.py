@@ -1,7 +1,13 @@
 """Running totals that do not put a whole group into one task.
 
 `SUM(x) OVER (PARTITION BY g ORDER BY k ROWS UNBOUNDED PRECEDING)` runs each
-group `g` in a single task.  `running_total` computes the same column in parts:
+group `g` in a single task.  Both functions compute the same column in parts.
+
+`running_by_value` is for orders that begin with a value many rows share: a
+histogram of the values (one row per group and distinct value) gives what comes
+before a value, and only rows of one value need the rest of the order.
+
+`running_total` takes any order:
 
 1. rows are range-partitioned on (g, k) and written once, each with the number of
    its slice, so a slice is a fixed set of rows and a big group spans many;
@@ -21,6 +27,23 @@ from pyspark.sql import functions as F
 from pickbay.session import stage
 
 
+def value_histogram(rows: DataFrame, group_col: str, value_col: str, amount: Column) -> DataFrame:
+    """Per (group, distinct value): `own` (sum of `amount`) and `before` (sum over
+    all larger values of the group; null while there is none to add)."""
+    cells = rows.groupBy(group_col, value_col).agg(F.sum(amount).alias("own"))
+    larger = Window.partitionBy(group_col).orderBy(F.desc(value_col)).rowsBetween(Window.unboundedPreceding, -1)
+    return cells.withColumn("before", F.sum("own").over(larger))
+
+
+def running_by_value(rows: DataFrame, group_col: str, value_col: str, tie: list[str], amount: Column, out: str) -> DataFrame:
+    """Add `out` = running sum of `amount` per `group_col`, values falling, ties by `tie`."""
+    within = (Window.partitionBy(group_col, value_col).orderBy(*tie)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = value_histogram(rows, group_col, value_col, amount).select(group_col, value_col, F.col("before").alias("_before"))
+    run = rows.withColumn("_inside", F.sum(amount).over(within)).join(before, [group_col, value_col])
+    return run.withColumn(out, F.coalesce(F.col("_inside") + F.col("_before"), "_inside", "_before")).drop("_inside", "_before")
+
+
 def running_total(df: DataFrame, group_col: str, order: list[Column], value: Column, out: str,
                   scale: int = 2, partitions: int | None = None) -> DataFrame:
     """Add `out` = running sum of `value` (a decimal of `scale` digits) per

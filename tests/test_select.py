@@ -54,6 +54,56 @@ def test_pick_random_against_brute_force(spark):
     assert got == brute_pick(daily, cc, Decimal("0.65"))
 
 
+def test_pick_inside_one_large_count(spark):
+    """The limit falls among hundreds of SKUs of one count, some not selectable or unknown to the catalogue."""
+    rnd = random.Random(11)
+    skus = [f"s{i:04d}" for i in range(500)]
+    cc = {s: rnd.choice([0, 1, 1, 1]) for s in skus[:450]}
+    daily = [(DAY - dt.timedelta(days=d), s, "1.00" if rnd.random() < 0.8 else rnd.choice(["7.25", "0.10"]))
+             for d in range(3) for s in skus]
+    flags = _flags(spark, [(s, "38", c, 1) for s, c in cc.items()])
+    for share in ("0.00", "0.33", "0.50", "1.00"):
+        got = {(r.sub_dt, r.sku_id) for r in PA.pareto_pick(_daily(spark, daily), flags, Decimal(share)).collect()}
+        assert got == brute_pick(daily, cc, Decimal(share)), share
+
+
+def test_per_store_pick_against_brute_force(spark):
+    rnd = random.Random(17)
+    rows = [(f"s{i:03d}", st, rnd.choice([0, 1, 1]), rnd.choice([0, 1, 1])) for i in range(80) for st in rnd.choice([["38"], ["39"], ["38", "39"]])]
+    daily = [(DAY - dt.timedelta(days=d), f"s{i:03d}", rnd.choice(["0.50", "1.00", "1.00", "2.50"])) for d in range(3) for i in range(85)]
+    stores = (PA.StoreShare("38", 0.5, Decimal("0.65"), 1), PA.StoreShare("39", 0.3, Decimal("0.45"), 2))
+    ok = {s for s, _, w, m in rows if w and m}
+    want = []
+    for day in {d for d, _, _ in daily}:
+        flat = [(Decimal(c), s, st, w * m) for d, s, c in daily if d == day for s2, st, w, m in rows if s2 == s]
+        flat += [(Decimal(c), s, None, 0) for d, s, c in daily if d == day and s not in {r[0] for r in rows}]
+        for store in stores:
+            limit = sum(c for c, _, st, _ in flat if st == store.store_id) * store.share
+            run = Decimal(0)
+            for c, s, st, choose in sorted(flat, key=lambda r: (-r[0], r[1], r[2] or "")):
+                run += c * choose
+                if run <= limit and s in ok:
+                    want.append((store.store_id, store.rank, day, s))
+    got = PA.pareto_pick_by_store(_daily(spark, daily), _flags(spark, rows), stores).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert PA.pareto_pick_by_store(_daily(spark, daily), _flags(spark, rows), ()).count() == 0
+
+
+def test_running_by_value_equals_window(spark):
+    from pickbay.operators.prefix import running_by_value
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    rnd = random.Random(19)
+    rows = [(DAY - dt.timedelta(days=rnd.randint(0, 2)), f"s{i:04d}", Decimal(rnd.choice(["1.00", "1.00", "2.50", "9.00"])), rnd.choice([0, 1, None]))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "sub_dt date, sku_id string, ord_cnt decimal(18,2), cc int")
+    value = F.col("ord_cnt") * F.col("cc")
+    day = Window.partitionBy("sub_dt").orderBy(F.desc("ord_cnt"), "sku_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = {(r.sub_dt, r.sku_id): r.cum for r in df.withColumn("cum", F.sum(value).over(day)).collect()}
+    got = {(r.sub_dt, r.sku_id): r.cum for r in running_by_value(df, "sub_dt", "ord_cnt", ["sku_id"], value, "cum").collect()}
+    assert got == want
+
+
 def test_order_weight_and_daily_count(spark):
     facts = spark.createDataFrame(
         [("x", "38", DAY, "o1", 1.0), ("y", "38", DAY, "o1", 1.0), ("z", "38", DAY, "o1", 1.0),
