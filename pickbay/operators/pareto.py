@@ -74,7 +74,8 @@ def pareto_cumulative(daily: DataFrame, flags: DataFrame, share: Decimal | None)
         (F.col("_day_total") * share_col).cast(LIMIT_TYPE).alias("total_ord"))
 
 
-def _choosable(flags: DataFrame) -> DataFrame:
+def choosable_skus(flags: DataFrame) -> DataFrame:
+    """SKUs that may be selected for some store."""
     return can_choose_flags(flags).where(F.col("canchoose_flag") == 1).select(SKU).distinct()
 
 
@@ -103,7 +104,7 @@ def _within_limits(rows: DataFrame, limits: DataFrame, tie: list[str]) -> DataFr
 
 def pareto_pick(daily: DataFrame, flags: DataFrame, share: Decimal | None) -> DataFrame:
     """Joint pick: (sub_dt, sku_id) rows within the day's limit."""
-    rows = daily.join(_choosable(flags).withColumn("_ok", F.lit(1)), SKU, "left").select(
+    rows = daily.join(choosable_skus(flags).withColumn("_ok", F.lit(1)), SKU, "left").select(
         "sub_dt", SKU, "ord_cnt", F.when(F.col("_ok") == 1, F.col("ord_cnt")).alias("amount"))
     limit = (F.sum("ord_cnt") * F.lit(share).cast("decimal(4,2)")).cast(LIMIT_TYPE).alias("limit")
     picked = _within_limits(rows, daily.groupBy("sub_dt").agg(limit), [SKU])
@@ -140,5 +141,5 @@ def pareto_pick_by_store(daily: DataFrame, flags: DataFrame, stores: tuple[Store
         F.struct(F.lit(s.store_id).alias(FUTURE), F.lit(s.rank).alias("store_rank"), F.col(f"_limit{s.rank}").alias("limit"))
         for s in stores])))
     picked = _within_limits(rows, limits, [SKU, "_store"])
-    return picked.select(FUTURE, "store_rank", "sub_dt", SKU).join(_choosable(flags), SKU, "left_semi").select(
+    return picked.select(FUTURE, "store_rank", "sub_dt", SKU).join(choosable_skus(flags), SKU, "left_semi").select(
         FUTURE, "store_rank", "sub_dt", SKU)

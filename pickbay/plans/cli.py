@@ -45,11 +45,13 @@ def _scenario(a) -> Scenario:
     kw = {}
     if getattr(a, "thresholds", None):
         kw["store_thresholds"] = tuple(int(x) for x in a.thresholds.split(","))
+    if getattr(a, "cover", None):
+        kw["cover_share"] = float(a.cover)
     return Scenario(run_date=a.date, pid=a.pid, ts=a.ts, dc_id=getattr(a, "dc_id", None), **kw)
 
 
 DEDUP = ("cancel", "confirm", "receipt")
-OPTIONS = {"job", "date", "pid", "ts", "format", "out_format", "out", "thresholds", "dc_id", *(f"{d}_dedup" for d in DEDUP)}
+OPTIONS = {"job", "date", "pid", "ts", "format", "out_format", "out", "thresholds", "dc_id", "cover", *(f"{d}_dedup" for d in DEDUP)}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -75,6 +77,7 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--order-lines", required=True)
     sp.add_argument("--dc-id")
     sp.add_argument("--thresholds", help="votes needed by the first,second store, e.g. 18,16")
+    sp.add_argument("--cover", help="select by this share of whole orders (e.g. 0.2) instead of daily votes")
 
     sp = sub.add_parser("divide", help="sales division -> ratio_result(dt, pid, ts)")
     common(sp)
@@ -109,7 +112,7 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
         ingest.backfill(spark, _read(spark, a.raw, fmt), a.out, scn, fmt=a.out_format or "tsv")
     elif a.job == "select":
         selection.run_selection(_read(spark, a.catalogue, fmt), _read(spark, a.order_lines, fmt, "order_lines"),
-                                _scenario(a), a.out, **out_fmt)
+                                _scenario(a), a.out, by="coverage" if a.cover else "votes", **out_fmt)
     elif a.job == "divide":
         divide.run_division(_read(spark, a.catalogue, fmt), _read(spark, a.selected, fmt, "selected"),
                             _read(spark, a.order_lines, fmt, "order_lines"), _read(spark, a.stock, fmt),

@@ -3,12 +3,14 @@ selected(dt, pid, ts)."""
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickbay.operators import assortment as A
+from pickbay.operators import cover as C
 from pickbay.operators import orders as O
 from pickbay.operators import pareto as PA
 from pickbay.operators import votes as V
@@ -66,12 +68,19 @@ class Selection:
             return V.select_two_store(self.store_picks, self.scn)
         return V.select_joint(self.joint_picks, self.scn)
 
+    @cached_property
+    def covering(self):
+        """The selection by order coverage: few SKUs that hold a share of the orders whole."""
+        return C.select_cover(self.facts, PA.choosable_skus(self.flags), Decimal(str(self.scn.cover_share)))
+
 
 def selection(catalogue: DataFrame, order_lines: DataFrame, scn: Scenario) -> Selection:
     return Selection(catalogue, order_lines, scn)
 
 
 def run_selection(catalogue: DataFrame, order_lines: DataFrame, scn: Scenario, out_path: str,
-                  out_format: str = "orc") -> None:
-    chosen = selection(catalogue, order_lines, scn).selected.select(A.SKU)
+                  out_format: str = "orc", by: str = "votes") -> None:
+    """`by`: daily votes (the reference's rule), or coverage of whole orders."""
+    job = selection(catalogue, order_lines, scn)
+    chosen = (job.covering if by == "coverage" else job.selected).select(A.SKU)
     overwrite_partition(chosen, out_path, scn.partition, fmt=out_format, compression="snappy")

@@ -319,6 +319,11 @@ def q_select_two_store(spark, sf_dir):
     return V.select_two_store(i.selection.store_picks, i.scn)
 
 
+def q_select_cover(spark, sf_dir):
+    """Few SKUs that hold a share of the orders whole (greedy cover)."""
+    return Inputs(spark, sf_dir).selection.covering
+
+
 # ---------------------------------------------------------------------------
 # purchase side
 # ---------------------------------------------------------------------------
@@ -470,6 +475,17 @@ def q_ingest_backfill(spark, sf_dir):
     return ingest.read_order_lines(spark, path)
 
 
+def q_ingest_rolling(spark, sf_dir):
+    """A rolling table: all days but the last without their late rows, then the run itself;
+    only the days that the second run changes are written again."""
+    i = Inputs(spark, sf_dir)
+    path = scratch_path(spark, "order-days")
+    raw = T.raw_order_detail(spark, sf_dir)
+    ingest.roll_days(spark, raw.where(F.col("dt") < F.lit(i.scn.yesterday)), path, i.scn)
+    ingest.roll_days(spark, raw, path, i.scn)
+    return ingest.read_rolled_days(spark, path, i.scn)
+
+
 def q_stream_ingest(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     return stream_backfill(spark, T.raw_order_detail(spark, sf_dir), i.scn)

@@ -37,6 +37,7 @@ class Scenario:
     retention_days: int = 4  # ingestion partitions older than this are dropped
     store_thresholds: tuple[int, int] = (18, 16)  # votes needed, 1st / 2nd store
     joint_threshold: int = 0
+    cover_share: float = 0.2  # share of the orders that a coverage selection holds whole
 
     def __post_init__(self):
         object.__setattr__(self, "run_date", _as_date(self.run_date))
