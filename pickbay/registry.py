@@ -23,6 +23,7 @@ from pickbay.operators import pareto as PA
 from pickbay.operators import proportions as P
 from pickbay.operators import purchase as PU
 from pickbay.operators import votes as V
+from pickbay.operators.asof import as_of_many
 from pickbay.plans import divide, ingest, selection
 from pickbay.plans.verify import UPLOAD_ALL_SCHEMA, upload_check_result
 from pickbay.session import scratch_path, stage
@@ -387,6 +388,13 @@ def q_scd2_asof(spark, sf_dir):
     return as_of(i.purchase("booking"), i.pw.end_text).select("id", "poid", "yn", "start_date", "end_date")
 
 
+def q_scd2_asof_many(spark, sf_dir):
+    """The booking version valid on the day of each other event of the same order."""
+    i = Inputs(spark, sf_dir)
+    return as_of_many(i.purchase("booking"), T.order_events(spark, sf_dir), ["poid"], "event_day").select(
+        "event_id", "poid", "event_day", "id", "yn", "start_date", "end_date")
+
+
 # ---------------------------------------------------------------------------
 # sources and sinks
 # ---------------------------------------------------------------------------

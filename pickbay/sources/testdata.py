@@ -340,6 +340,12 @@ def booking_chain(spark, sf_dir) -> DataFrame:
     )
 
 
+def order_events(spark, sf_dir) -> DataFrame:
+    """Every event but the bookings, by order and day."""
+    ev = table(spark, sf_dir, "events").where(F.col("event_type") != "click")
+    return ev.select("event_id", _s(F.col("user_id")).alias("poid"), F.date_format("ts", "yyyy-MM-dd").alias("event_day"))
+
+
 def backinfo_chain(spark, sf_dir) -> DataFrame:
     ev = table(spark, sf_dir, "events").where(F.col("event_type") == "view")
     v = _chain_validity(ev)
