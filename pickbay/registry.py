@@ -22,6 +22,7 @@ from pickbay.operators import orders as O
 from pickbay.operators import pareto as PA
 from pickbay.operators import proportions as P
 from pickbay.operators import purchase as PU
+from pickbay.operators import sketches as SK
 from pickbay.operators import votes as V
 from pickbay.operators.asof import as_of_many
 from pickbay.plans import divide, ingest, selection
@@ -269,6 +270,17 @@ def q_sku_set_intersection(spark, sf_dir):
     return C.sku_intersection(i.selected, store1)
 
 
+def q_distinct_sketches(spark, sf_dir):
+    """Distinct SKUs, orders and categories of the last 7, 14 and all ship days, from
+    sketches stored per day and store, held against exact counts."""
+    i = Inputs(spark, sf_dir)
+    lines = day_scan(i.order_lines, i.scn.yesterday)
+    sketches = stage(SK.day_sketches(lines), "day-sketches")
+    last = i.scn.yesterday
+    windows = [(f"last_{n}", last - _dt.timedelta(days=n - 1), last) for n in (7, 14)] + [("all", _dt.date(1900, 1, 1), last)]
+    return SK.checked(sketches, lines, windows)
+
+
 def q_head_n(spark, sf_dir):
     """First rows of the catalogue in key order (a top-n report: the limit is the feature)."""
     cat = Inputs(spark, sf_dir).catalogue
