@@ -103,8 +103,11 @@ def _long_hashes(text: bytes, lower: bool) -> np.ndarray:
         if cut < 0:  # one word longer than a chunk
             stop = min((p for p in (text.find(c, end) for c in (_SPACES[i:i + 1] for i in range(6))) if p >= 0),
                        default=len(text))
-            word = text[pos:stop].lower() if lower else text[pos:stop]
-            out.append(np.array([xxhash.xxh3_64_intdigest(word)], np.uint64))
+            if stop - pos < _CAP:   # as long as a chunk holds: hashed as it is in a chunk
+                out.append(_hash_chunk(text[pos:stop] + b" ", lower)[1])
+            else:
+                word = text[pos:stop].lower() if lower else text[pos:stop]
+                out.append(np.array([xxhash.xxh3_64_intdigest(word)], np.uint64))
             pos = stop
         else:
             out.append(_hash_chunk(text[pos:cut + 1], lower)[1])

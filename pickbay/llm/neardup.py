@@ -372,8 +372,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that near_duplicates keeps: the document with the smallest id
-    of each component (all its rows, if it is repeated) and rows without an id; all columns
-    unchanged."""
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    """The rows of `docs` without near duplicates: one document of each component stays,
+    the one with the smallest doc_id; all columns unchanged.
+
+    A document is a doc_id and a text: rows equal in both are one document, all of whose
+    rows stay or go together; a doc_id that carries several texts is several
+    documents, as are rows without a doc_id.  All but one of them get a number above all
+    ids, by which they take part like any other document.  Defined cases: a
+    text without words stays; an empty table stays empty; columns may have any name.
+    """
+    text = F.col("text").cast("string")
+    key = {"id": F.col("doc_id").cast("long"), "h1": F.xxhash64(text), "h2": F.xxhash64(F.lit("text"), text)}
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        *[c.alias(n) for n, c in key.items()])
+    ids = keyed.select("id", "h1", "h2")
+    texts = ids.groupBy("id").agg(F.min(F.struct("h1", "h2")).alias("first"), F.max(F.struct("h1", "h2")).alias("last"))
+    several = stage(texts.where("id IS NULL OR first < last").select(F.col("id").alias("of"), "first"), "distinct-several")
+    span = ids.agg(F.min("id"), F.max("id")).first()
+    top = max(span[1] or 0, 0) + 1
+    base = top if top < 1 << 62 else min(span[0] or 0, 0) - (1 << 62)     # room for a number of each document
+    others = (ids.join(several, F.expr("id <=> of")).where("id IS NULL OR h1 <> first.h1 OR h2 <> first.h2")
+              .select(F.col("id").alias("other"), F.col("h1").alias("o1"), F.col("h2").alias("o2")).distinct()
+              .withColumn("extra", F.lit(base) + F.monotonically_increasing_id()))
+    others = stage(others, "distinct-others")
+    numbered = keyed.join(others, F.expr("id <=> other AND h1 = o1 AND h2 = o2"), "left").select(
+        "row", F.coalesce("extra", "id").alias("number"))
+    gone = near_duplicates(numbered.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")))
+    gone = gone.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
+    return numbered.join(gone, F.expr("number = gone"), "left_anti").select("row.*")

@@ -114,3 +114,37 @@ def test_word_hashes_across_chunk_cuts():
     assert n.tolist() == [3, 1, 1, 1] and (h[:3] == h[3:]).all()
     sets = [len(s) for s in shingle_sets([b"", b"a b c d e a b c d e", b"a b"])]
     assert sets == [0, 5, 1]
+
+
+def test_documents_that_share_an_id_or_have_none(documents):
+    """Each text of a repeated or missing id is judged by itself; clashing names and wide ids are no matter."""
+    rng = random.Random(8)
+
+    def text(n=40):
+        return " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * rng.randint(1, 9) for _ in range(n))
+    a, b, c, d = text(), text(), text(), text()
+    near = " ".join(a.split()[:-1])
+    rows = [(3, a), (7, near), (7, b), (None, a), (None, c), (None, c), (9, c + " x"), (4, d), (4, d), (5, None), (None, ""), (7, "")]
+    for shift in (0, (1 << 62) + 5):
+        moved = [(None if i is None else i + shift, t) for i, t in rows]
+        df = documents(moved).selectExpr("*", "1 as number", "'g' as gone", "2 as h1", "3 as id", "4 as extra", "5 as first")
+        left = neardup.distinct_documents(df)
+        assert left.columns == df.columns
+        got = [(None if r.doc_id is None else r.doc_id - shift, r.text) for r in left.collect()]
+        texts = [t for _, t in got]
+        assert (3, a) in got or shift                             # the smallest id represents the group
+        assert sum(t in (a, near) for t in texts) == 1            # one document of each group
+        assert (7, b) in got                                      # found nowhere else
+        assert len({str(x) for x in got if x[1] in (c, c + " x")}) == 1
+        assert texts.count(d) == 2                                # rows of one document stay together
+        assert (5, None) in got and (None, "") in got and (7, "") in got
+    assert neardup.distinct_documents(documents([])).count() == 0
+
+
+def test_a_word_as_long_as_a_chunk_has_one_hash():
+    from pickbay.llm.common import _CAP
+    for n in (_CAP - 2, _CAP - 1, _CAP, _CAP + 1):
+        word = b"w" * n
+        alone = word_hashes([word])[0].tolist()
+        assert word_hashes([word + b" and more words after it"])[0][:1].tolist() == alone
+        assert word_hashes([b"before " + word + b" after"])[0][1:2].tolist() == alone
