@@ -2,6 +2,11 @@
 
 Every stage works on all rows its predecessor kept; all but the last return the
 columns of documents, the last one the shard and slot of every row.
+
+Defined cases, in every stage: rows are judged one by one, so rows with a repeated
+doc_id or none don't answer for each other; a null, empty or word-free text has no
+words, shingles or bytes of its own; rows equal in all columns are
+interchangeable; an empty table stays empty; further columns of any name pass through.
 """
 
 from __future__ import annotations
@@ -12,27 +17,37 @@ SHARDS = 24
 
 
 def quality_classifier(spark, docs, sf_dir):
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go.
+
+    The model is trained on these documents; texts without words get its bias and
+    stay if that reaches the threshold."""
     return weak_quality.accepted_documents(docs)
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """One document of each near-duplicate group stays."""
+    """One document of each near-duplicate group stays, that with the smallest doc_id.
+
+    Rows equal in doc_id and text are one document and stay together; texts without
+    words are duplicates of nothing."""
     return neardup.distinct_documents(docs)
 
 
 def decontamination(spark, docs, sf_dir):
-    """Documents that contain a benchmark item go."""
+    """Documents that contain a benchmark item go.
+
+    Without items, and for items without words, all stay."""
     return decontam.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixture(spark, docs, sf_dir):
-    """Every document as often as the source mix takes it."""
+    """Every document as often as the source mix takes it: not at all, once or twice.
+
+    Null is a source of its own; the draw depends on the rows, not on their order."""
     return mixing.mixed_documents(docs)
 
 
 def sharded(spark, docs, sf_dir):
-    """The shard and slot of every row of the mix."""
+    """The shard and slot of every row of the mix; rows without doc_id come first."""
     return sharding.balanced_shards(docs, SHARDS)
 
 
