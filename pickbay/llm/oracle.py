@@ -105,7 +105,7 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
 FROM cut
 """
 
-OP9 = rf"""
+_LEDGER = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
 win AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) >= 3),
 hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS c FROM win) WHERE c > 1),
@@ -121,11 +121,22 @@ k AS (SELECT * EXCLUDE (l), len(l)::BIGINT AS n_lines, (len(l) - len(list_distin
 f AS (SELECT *, (1 * (n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (100 * n_symbols > 30 * n_words)::INT
                  + 8 * (100 * n_dup_lines > 50 * n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT + 32 * (word_chars > 15 * n_words)::INT
                  + 64 * (100 * n_upper > 60 * n_letters)::INT + 128 * (100 * n_exclaims > 50 * n_words)::INT)::BIGINT AS fail_bits FROM k)
+"""
+
+OP9 = _LEDGER + """
 SELECT *, (fail_bits & 3) <> 0 AS base_failed, 'v2' AS policy, fail_bits AS policy_bits,
        CASE WHEN bit_count(fail_bits) = 1 THEN fail_bits ELSE 0 END::BIGINT AS sole_bit, fail_bits = 0 AS kept
 FROM f
 """
 
+ABLATION = _LEDGER + """
+SELECT rule, count(*) FILTER ((fail_bits & bit) <> 0) AS failed, count(*) FILTER (fail_bits = bit) AS only_this,
+       count(*) FILTER ((fail_bits & ~bit) = 0) AS kept_without
+FROM (SELECT unnest(['few_words', 'repeated_windows', 'symbols', 'duplicate_lines', 'short_words', 'long_words', 'upper_case',
+                     'exclamations']) AS rule, unnest([1, 2, 4, 8, 16, 32, 64, 128])::BIGINT AS bit) LEFT JOIN f ON true
+GROUP BY rule
+"""
+
 #: A text's words (lower-cased ASCII) as the resampling contract defines them, and CRC-32 of each distinct one.
 OP12 = rf"""
 WITH {_CRC},
@@ -197,4 +208,5 @@ ORACLE = {
     "op9_quality_rules": OP9,
     "op12_importance_resampling": OP12,
     "op13_prefix_trie": OP13,
+    "quality_ablation": ABLATION,
 }

@@ -52,6 +52,11 @@ def op9_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def quality_ablation(spark, sf_dir):
+    """What each rule of the current policy adds to it, from the ledger's bits."""
+    return quality_rules.ablation(stage(quality_rules.ledger(table(spark, sf_dir, "documents")), "quality-ledger"))
+
+
 def op10_weak_quality(spark, sf_dir):
     return weak_quality.classify(table(spark, sf_dir, "documents"))
 
@@ -72,4 +77,5 @@ QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_minhash_near_duplicates, op3_warc_revisits, op4_decontamination, op5_mixing,
     op6_token_records, op7_chat_masks, op8_sharding, op9_quality_rules, op10_weak_quality,
     op11_bpe_transducer, op12_importance_resampling, op13_prefix_trie,
+    quality_ablation,
 )}

@@ -1,8 +1,9 @@
 """WARC archives with revisit records for repeated payloads.
 
-Only headers (page id, address, digest) are shuffled by payload digest to find
-the page that keeps its payload; the others become revisit records that refer to
-it.  Records are composed by Spark and written by its text writer, whose line
+Headers (page id, address, digest) are shuffled by payload digest to find the
+page that keeps its payload; the others become revisit records that refer to it.
+The repeated digests are joined back to the pages: where they are too many to be
+broadcast, that join shuffles the payloads too, once.  Records are composed by Spark and written by its text writer, whose line
 separator is the blank line that ends a WARC record, so archives appear through
 Spark's output committer on any file system.  Reading parses archives (plain or
 gzip, of one or many members) record by record, checks the digests and joins

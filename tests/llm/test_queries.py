@@ -18,7 +18,7 @@ def _norm(rows):
 
 
 @pytest.mark.parametrize("name", ["op2_minhash_near_duplicates", "op3_warc_revisits", "op4_decontamination", "op5_mixing",
-                                  "op8_sharding", "op9_quality_rules", "op12_importance_resampling", "op13_prefix_trie"])
+                                  "op8_sharding", "op9_quality_rules", "op12_importance_resampling", "op13_prefix_trie", "quality_ablation"])
 def test_query_equals_sql(spark, name):
     from pickbay.llm.oracle import ORACLE
     from pickbay.llm.queries import QUERIES
