@@ -6,13 +6,21 @@ raw file exactly once (the file source's checkpointed log), applies the same
 filter and projection, and appends to order_line partitioned by ship day, so a
 late row lands in its ship day's folder when it arrives.  Each daily run starts it
 with its own scenario; it reads what is new and ends.
+
+A line that is delivered again (a drop that is sent twice, a file under a new name)
+counts once: the stream keeps a 128-bit key of every line with its ship time, and
+drops lines whose key it holds.  A watermark on the ship time, later than the ingestion
+window is long, lets keys expire when no run would take their lines any more, so
+the state holds the keys of two windows (a key stays a window past the watermark),
+however long the stream runs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pickbay.plans.ingest import ORDER_LINE_SCHEMA, ingest_order_lines
+from pickbay.plans.ingest import ORDER_LINE_COLS, ORDER_LINE_SCHEMA, ingest_order_lines
 from pickbay.scenario import Scenario
 from pickbay.session import scratch_path
 
@@ -21,6 +29,21 @@ RAW_SCHEMA = ("item_sku_id string, store_id string, out_wh_tm timestamp_ntz, ite
               "sale_ord_valid_flag int, sku_valid_flag string, dt date")
 
 
+def delivered_once(lines: DataFrame, scn: Scenario) -> DataFrame:
+    """Each line of a stream (or table) of order lines once, whatever it was delivered in.
+
+    Lines are the same if all their columns are; a line without a ship time isn't an
+    order line.  On a stream, lines that ship before the watermark (the newest ship
+    time seen less the window and a day) are dropped as too late for any window.
+    """
+    keyed = lines.withColumns({
+        "_shipped": F.col("out_wh_tm").cast("timestamp"),
+        "_k1": F.xxhash64(*ORDER_LINE_COLS), "_k2": F.xxhash64(F.lit("line"), *ORDER_LINE_COLS[::-1])})
+    keyed = keyed.withWatermark("_shipped", f"{scn.history_days + 1} days")
+    keyed = keyed.dropDuplicatesWithinWatermark(["_k1", "_k2"]) if lines.isStreaming else keyed.dropDuplicates(["_k1", "_k2"])
+    return keyed.drop("_shipped", "_k1", "_k2")
+
+
 def start_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str, scn: Scenario,
                  max_files_per_trigger: int | None = None):
     """Start one run of the stream landing folder -> order_line(sub_dt); returns the
@@ -28,7 +51,7 @@ def start_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str,
     reader = spark.readStream.schema(RAW_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = ingest_order_lines(reader.parquet(landing), scn)
+    lines = delivered_once(ingest_order_lines(reader.parquet(landing), scn), scn)
     writer = (lines.writeStream.format("parquet")
               .option("checkpointLocation", checkpoint)
               .partitionBy("sub_dt")
@@ -37,15 +60,15 @@ def start_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str,
 
 
 def stream_backfill(spark: SparkSession, raw: DataFrame, scn: Scenario) -> DataFrame:
-    """Land the raw detail in two drops (rows arriving up to the run day, then
-    the later arrivals), run the stream after each, and read the sink back.
-    The second run only reads the second drop."""
+    """Land the raw detail in three drops (rows arriving up to the run day, the later
+    arrivals, the later arrivals once more), run the stream after each, and read
+    the sink back.  Each run only reads its own drop; the last adds nothing."""
     landing = scratch_path(spark, "raw-landing")
     sink = scratch_path(spark, "order-line-stream")
     checkpoint = scratch_path(spark, "order-line-stream-ckpt")
     early = raw.where(raw.dt < scn.run_date)
     late = raw.where(~(raw.dt < scn.run_date))
-    for i, drop in enumerate((early, late)):
+    for drop in (early, late, late):
         drop.write.mode("append").parquet(f"{landing}")
         q = start_ingest(spark, landing, sink, checkpoint, scn)
         q.awaitTermination()
