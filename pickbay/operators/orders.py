@@ -70,16 +70,21 @@ def order_weight(facts: DataFrame) -> DataFrame:
 def daily_order_count(facts: DataFrame) -> DataFrame:
     """Weighted order count per (ship day, SKU), rounded to 2 decimals.
 
-    A line weighs 1 / (distinct SKUs of its order); lines without an order
-    weigh 1 and stay out of the join.  Lines are counted per (day, SKU, order
-    size) as integers and only then divided, as decimals of 11 digits, so the
-    result doesn't depend on the order of summation.
+    A line weighs 1 / (distinct SKUs of its order); a line without an order weighs
+    1.  Lines are counted per (day, SKU, order size) as integers and only then
+    divided, as decimals of 11 digits, so the result doesn't depend on the order of
+    summation.
+
+    The facts are read once: the order sizes are counted from the same aggregation
+    that the sizes are joined to.  Both branches use all its columns and neither
+    filters it, so the engine shuffles it once and reads it twice.
     """
     lines = facts.groupBy("ord_id", "sub_dt", SKU).agg(F.count(F.lit(1)).alias("n_lines"))
-    known = lines.where(F.col("ord_id").isNotNull())
-    sizes = known.select("ord_id", SKU).distinct().groupBy("ord_id").agg(F.count(F.lit(1)).alias("n_skus"))
-    sized = known.join(sizes, "ord_id").select("sub_dt", SKU, "n_skus", "n_lines")
-    lone = lines.where(F.col("ord_id").isNull()).select("sub_dt", SKU, F.lit(1).cast("long").alias("n_skus"), "n_lines")
-    per_size = sized.unionAll(lone).groupBy("sub_dt", SKU, "n_skus").agg(F.sum("n_lines").alias("n_lines"))
+    sizes = (lines.groupBy(F.col("ord_id").alias("_order"), SKU).agg(F.sum("n_lines").alias("_n"))
+             .groupBy("_order").agg(F.count("_n").alias("_size")))
+    # null-safe, or the engine would filter one branch by its key and shuffle the lines twice
+    sized = lines.join(sizes, F.col("ord_id").eqNullSafe(F.col("_order"))).select(
+        "sub_dt", SKU, "n_lines", F.when(F.col("ord_id").isNull(), F.lit(1)).otherwise(F.col("_size")).alias("n_skus"))
+    per_size = sized.groupBy("sub_dt", SKU, "n_skus").agg(F.sum("n_lines").alias("n_lines"))
     share = F.col("n_lines").cast("decimal(20,0)") / F.col("n_skus").cast("decimal(10,0)")
     return per_size.groupBy("sub_dt", SKU).agg(F.round(F.sum(share), 2).cast("decimal(18,2)").alias("ord_cnt"))
