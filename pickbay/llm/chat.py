@@ -6,14 +6,14 @@ Inside roles and texts a backslash is put into every "<|" ("<\\|", and one more
 into "<\\|", and so on), so marks can't occur there; taking one out again
 restores the text.
 
-A conversation is rendered whole and encoded once with offsets.  The character
-spans of the assistant texts are sorted, as are the tokens; binary search finds
-the tokens of each span, which carry the loss.
+A conversation is rendered whole and encoded once with offsets, in UTF-8 bytes: every
+token stands for a known number of bytes, so the running sum of these is where it
+ends.  The spans of the assistant texts are sorted, as are the tokens; binary search
+finds the tokens of each span, which carry the loss.
 """
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import re
 
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pickbay.llm.common import prepare
-from pickbay.llm.tokens import tokenizer_path
+from pickbay.llm.tokens import Encoder, encoder, tokenizer_path
 
 START, SEP, END = MARKS = ("<|im_start|>", "<|im_sep|>", "<|im_end|>")
 LOSS_ROLE = "assistant"
@@ -43,54 +43,60 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"<\1|", text)
 
 
-@functools.cache
-def chat_tokenizer(path: str):
-    """The tokenizer with the template's marks as special tokens, offsets untrimmed."""
-    from tokenizers import AddedToken, Tokenizer, pre_tokenizers
-    tok = Tokenizer.from_file(path)
-    tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=False)
-    tok.add_special_tokens([AddedToken(m, special=True, normalized=False) for m in MARKS])
-    return tok
+def chat_encoder(path: str) -> Encoder:
+    """The tokenizer with the template's marks as special tokens."""
+    return encoder(path, True, MARKS)
 
 
 def render(turns) -> tuple[str, np.ndarray]:
-    """(formatted text, spans of the assistant texts) of (role, text) turns."""
+    """(formatted text, byte spans of the assistant texts) of (role, text) turns."""
     parts, spans, at = [], [], 0
     for role, text in turns:
         head, body = f"{START}{escape(role or '')}{SEP}", escape(text or "")
+        begin = at + len(head.encode())
+        at = begin + len(body.encode())
         if role == LOSS_ROLE:
-            spans.append((at + len(head), at + len(head) + len(body)))
+            spans.append((begin, at))
         parts += [head, body, END]
-        at += len(head) + len(body) + len(END)
+        at += len(END)
     return "".join(parts), np.array(spans, np.int64).reshape(-1, 2)
 
 
-def loss_mask(offsets: np.ndarray, spans: np.ndarray) -> np.ndarray:
-    """True for tokens that overlap a span; offsets and spans are sorted and disjoint."""
-    mask = np.zeros(len(offsets), bool)
-    first = np.searchsorted(offsets[:, 1], spans[:, 0], side="right")   # first token that ends after the span begins
-    last = np.searchsorted(offsets[:, 0], spans[:, 1], side="left")     # first token that begins at its end or later
-    for a, b in zip(first.tolist(), last.tolist()):
-        mask[a:b] = True
-    return mask
+def loss_mask(ends: np.ndarray, spans: np.ndarray) -> np.ndarray:
+    """True for tokens that overlap a span, given where each token ends; ends and spans are
+    sorted, spans are disjoint, and each token begins where the one before it ends."""
+    first = np.searchsorted(ends, spans[:, 0], side="right")   # first token that ends after the span begins
+    last = np.searchsorted(ends, spans[:, 1], side="left") + (spans[:, 1] > spans[:, 0])   # one past the first that reaches its end
+    steps = np.zeros(len(ends) + 1, np.int64)
+    np.add.at(steps, first, 1)
+    np.add.at(steps, np.maximum(first, last), -1)
+    return np.cumsum(steps[:-1]) > 0
 
 
-def _turns(conversation) -> list[tuple[str | None, str | None]]:
-    return [(t["role"], t["text"]) for t in conversation]
+def _lists(column) -> tuple[list[int], pa.Array]:
+    """(bounds of each row's elements, all elements) of a list column without nulls."""
+    at = column.offsets.to_numpy()
+    return (at - at[0]).tolist(), column.flatten()
 
 
 def _format(path: str):
     def run(batches):
-        tok = chat_tokenizer(path)
+        enc = chat_encoder(path)
+        widths = np.array([len(b) for b in enc.token_bytes], np.int64)
         for batch in batches:
-            ids, masks, texts = [], [], []
-            rendered = [render(_turns(c)) for c in batch.column(1).to_pylist()]
-            for (text, spans), e in zip(rendered, tok.encode_batch([t for t, _ in rendered], add_special_tokens=False)):
-                ids.append(e.ids)
-                masks.append(loss_mask(np.array(e.offsets, np.int64).reshape(-1, 2), spans).tolist())
+            bounds, turns = _lists(batch.column(1))
+            said = list(zip(turns.field("role").to_pylist(), turns.field("text").to_pylist()))
+            ids, masks, texts = [np.zeros(0, np.int32)], [np.zeros(0, bool)], []
+            for a, b in zip(bounds, bounds[1:]):
+                text, spans = render(said[a:b])
+                tokens = np.frombuffer(enc.encode(text), np.int32)
+                ids.append(tokens)
+                masks.append(loss_mask(np.cumsum(widths[tokens]), spans))
                 texts.append(text)
+            at = pa.array(np.cumsum([0, *map(len, ids[1:])]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(texts, pa.string()), pa.array(ids, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.bool_()))],
+                [batch.column(0), pa.array(texts, pa.string()), pa.ListArray.from_arrays(at, pa.array(np.concatenate(ids))),
+                 pa.ListArray.from_arrays(at, pa.array(np.concatenate(masks)))],
                 names=["conv_id", "formatted", "input_ids", "loss_mask"])
     return run
 
@@ -118,21 +124,22 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(r), unescape(t)) for r, t in _TURN.findall(formatted)]
 
 
-def loss_texts(ids: list[int], mask: list[bool], tok) -> list[str]:
+def loss_texts(ids: np.ndarray, mask: np.ndarray, token_bytes: list[bytes]) -> list[str]:
     """The texts under the mask, one for each run of masked tokens, as written before escaping."""
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], np.asarray(mask, bool), [False]]).astype(np.int8)))
-    return [unescape(tok.decode(ids[a:b], skip_special_tokens=False)) for a, b in edges.reshape(-1, 2).tolist()]
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8))).tolist()
+    return [unescape(b"".join([token_bytes[i] for i in ids[a:b].tolist()]).decode()) for a, b in zip(edges[::2], edges[1::2])]
 
 
 def _digest(path: str):
     def run(batches):
-        tok = chat_tokenizer(path)
+        token_bytes = chat_encoder(path).token_bytes
         for batch in batches:
-            out = []
-            for conv, text, ids, mask in zip(*(c.to_pylist() for c in batch.columns)):
+            (bounds, ids), (_, masks) = (_lists(batch.column(c)) for c in ("input_ids", "loss_mask"))
+            ids, masks, out = ids.to_numpy(), masks.to_numpy(zero_copy_only=False), []
+            for conv, text, a, b in zip(batch.column("conv_id").to_pylist(), batch.column("formatted").to_pylist(), bounds, bounds[1:]):
                 turns = parse(text)
                 whole = "".join([f"{role}\n{said}\n" for role, said in turns])
-                loss = "".join(loss_texts(ids, mask, tok))
+                loss = "".join(loss_texts(ids[a:b], masks[a:b], token_bytes))
                 out.append((conv, len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss),
                             hashlib.sha256(loss.encode()).hexdigest(), len(text)))
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]

@@ -43,12 +43,13 @@ class Encoder:
     """Ids of whole texts, equal to the tokenizer's own encoding with add_special_tokens=False.
 
     With `added`, strings of the file's added tokens in a text are those tokens, as the
-    library takes them; without, they are ordinary text.
+    library takes them; without, they are ordinary text.  `marks` become added tokens too.
     """
 
-    def __init__(self, path: str, added: bool = False):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, added: bool = False, marks: tuple[str, ...] = ()):
+        from tokenizers import AddedToken, Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.add_special_tokens([AddedToken(m, special=True, normalized=False) for m in marks])
         self.added = {}
         for i, t in self.tokenizer.get_added_tokens_decoder().items() if added else ():
             if t.single_word or t.lstrip or t.rstrip:
@@ -94,6 +95,17 @@ class Encoder:
             return self._plain(text)
         return b"".join([self.added[part] if k % 2 else self._plain(part) for k, part in enumerate(self.between.split(text))])
 
+    @functools.cached_property
+    def token_bytes(self) -> list[bytes]:
+        """The bytes each id stands for in a text."""
+        value = {letter: b for b, letter in enumerate(self.letters)}
+        out = [b""] * (max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            out[i] = bytes([value[c] for c in token]) if set(token) <= value.keys() else token.encode()
+        for i, token in self.tokenizer.get_added_tokens_decoder().items():
+            out[i] = token.content.encode()
+        return out
+
     def _plain(self, text: str) -> bytes:
         """Ids of a text in which no added token stands."""
         cuts = stretches(text)
@@ -104,9 +116,9 @@ class Encoder:
 
 
 @functools.cache
-def encoder(path: str, added: bool = False) -> Encoder:
-    """One encoder for each Python worker and file."""
-    return Encoder(path, added)
+def encoder(path: str, added: bool = False, marks: tuple[str, ...] = ()) -> Encoder:
+    """One encoder for each Python worker, file and choice of added tokens."""
+    return Encoder(path, added, marks)
 
 
 def _pattern() -> str:

@@ -10,6 +10,7 @@ from pickbay.llm import chat, tokenbin, tokencount
 from pickbay.llm.common import stage_path
 from pickbay.llm.tokens import encoder, tokenizer_path
 from support import documents  # noqa: F401 (fixture)
+from tokenizers import AddedToken, Tokenizer
 
 PIECES = ["a", "B", "é", " ", "  ", "\n", "\t", " ", "\x1c", "\x85", "'s", "'", "ll", "1", "中", "!", "<|endoftext|>", "😀",
           "don't", "word", "\\", "<", "|", "<|im_end|>"]
@@ -22,7 +23,6 @@ def noise(rng, n):
 
 @pytest.fixture(scope="module")
 def whole():
-    from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizer_path())
     t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
@@ -31,7 +31,6 @@ def whole():
 @pytest.fixture(scope="module")
 def library():
     """The library's encoding with nothing set."""
-    from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizer_path())
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
@@ -148,7 +147,41 @@ def test_chat_masks(documents, spark):
         loss = "".join(text or "" for _, role, text in turns if role == "assistant")
         assert r.n_turns == len(turns) and r.turns_sha256 == hashlib.sha256(whole_text.encode()).hexdigest()
         assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    tok = Tokenizer.from_file(tokenizer_path())
+    tok.add_special_tokens([AddedToken(m, special=True, normalized=False) for m in chat.MARKS])
+    for r in table.collect():
+        encoding = tok.encode(r.formatted, add_special_tokens=False)
+        assert r.input_ids == encoding.ids
+        # plain masks: the tokens between <|im_sep|> and <|im_end|> of an assistant turn
+        begin, sep, end = map(tok.token_to_id, chat.MARKS)
+        want, role, inside = [], [], None
+        for i in encoding.ids:
+            if i == begin:
+                role, inside = [], False
+            elif i == sep:
+                inside = tok.decode(role, skip_special_tokens=False) == "assistant"
+                want.append(False)
+                continue
+            elif i == end:
+                inside = None
+            elif inside is False:
+                role.append(i)
+            want.append(inside is True)
+        assert r.loss_mask == want
     lengths = {r.conv_id: len(r.formatted) for r in table.collect()}
     assert all(got[c].formatted_chars == n for c, n in lengths.items())
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.digests(chat.format_chats(empty)).count() == 0
+
+
+def test_loss_mask_against_every_token():
+    rng = random.Random(12)
+    for _ in range(2000):
+        ends = np.cumsum([rng.randint(1, 4) for _ in range(rng.randint(0, 12))]).astype(np.int64)
+        top = int(ends[-1]) if len(ends) else 0
+        cuts = sorted(rng.sample(range(top + 1), k=min(top + 1, 2 * rng.randint(0, 3)) // 2 * 2))
+        spans = np.array(cuts, np.int64).reshape(-1, 2)
+        begins = [0, *ends[:-1].tolist()]
+        want = [any(b < y and e > x for x, y in spans.tolist()) for b, e in zip(begins, ends.tolist())]
+        assert chat.loss_mask(ends, spans).tolist() == want
+    assert chat.loss_mask(np.array([3, 5]), np.array([[3, 3]])).tolist() == [False, False]   # an empty text
