@@ -73,6 +73,12 @@ def recent_sales(marked_facts: DataFrame, scn: Scenario) -> DataFrame:
             .agg(F.coalesce(F.sum("sale_qtty"), F.lit(0.0)).alias("sale_total_3")))
 
 
+def recent_sales_of_orders(order_facts: DataFrame) -> DataFrame:
+    """As recent_sales, from :func:`orders.order_sku_facts`."""
+    return (order_facts.where((F.col("is_selected") == 1) & F.col("recent_qtty").isNotNull())
+            .groupBy(SKU, FUTURE).agg(F.sum("recent_qtty").alias("sale_total_3")))
+
+
 def transfer_qty(marked_catalogue: DataFrame, transfers: DataFrame, scn: Scenario) -> DataFrame:
     """Units moved out by inter-store transfers in the last `transfer_days` days.
 

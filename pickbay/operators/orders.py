@@ -8,22 +8,37 @@ from pyspark.sql import functions as F
 SKU, FUTURE = "sku_id", "future_source_store_id"
 
 
+def order_sku_facts(marked_facts: DataFrame, recent_start=None, recent_end=None) -> DataFrame:
+    """Order facts summed per (order, future store, SKU, is_selected): lines, units, and
+    units shipped from recent_start to recent_end (null if none).
+
+    An order has at most one row per catalogue row here, however many lines it
+    holds, so the rows can be bucketed by order.
+    """
+    recent = F.col("sub_dt").between(F.lit(recent_start), F.lit(recent_end))
+    return marked_facts.groupBy("ord_id", FUTURE, SKU, "is_selected").agg(
+        F.count("ord_id").alias("n_lines"), F.sum("sale_qtty").alias("sale_qtty"),
+        F.sum(F.when(recent, F.col("sale_qtty"))).alias("recent_qtty"))
+
+
 def order_store_summary(marked_facts: DataFrame) -> DataFrame:
     """Per (order, future store): whether selected / unselected lines are there,
-    the line count and the units.
+    the line count and the units, from order lines or from
+    :func:`order_sku_facts`.
 
     The one definition both the order marking and the order / sales
     proportions read (each consumer keeps only the columns it needs, so each
-    runs its own copy of this aggregation over the same input; the job runner
-    checkpoints that input).  Partial aggregation runs map-side, so a very
+    runs its own copy of this aggregation; over facts bucketed by order it needs
+    no shuffle).  Over lines, partial aggregation runs map-side, so a very
     large order is reduced before the shuffle.  Lines without an order id form
     their own groups (they count for units, not for lines, as COUNT(ord_id)
     does).
     """
+    lines = F.sum("n_lines") if "n_lines" in marked_facts.columns else F.count("ord_id")
     return marked_facts.groupBy("ord_id", FUTURE).agg(
         F.max("is_selected").alias("has_sel"),
         F.max(1 - F.col("is_selected")).alias("has_unsel"),
-        F.count("ord_id").alias("n_lines"),
+        lines.alias("n_lines"),
         F.sum("sale_qtty").alias("qty"))
 
 
@@ -67,23 +82,28 @@ def order_weight(facts: DataFrame) -> DataFrame:
             .agg((F.lit(1.0) / F.countDistinct(SKU)).alias("ord_weight")))
 
 
+def order_days(facts: DataFrame) -> DataFrame:
+    """Lines per (order, ship day, SKU): at most one row per catalogue SKU and day for an order."""
+    return facts.groupBy("ord_id", "sub_dt", SKU).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def daily_order_count(facts: DataFrame) -> DataFrame:
-    """Weighted order count per (ship day, SKU), rounded to 2 decimals.
+    return daily_counts(order_days(facts))
+
+
+def daily_counts(lines: DataFrame) -> DataFrame:
+    """Weighted order count per (ship day, SKU), rounded to 2 decimals, from :func:`order_days`.
 
     A line weighs 1 / (distinct SKUs of its order); a line without an order weighs
     1.  Lines are counted per (day, SKU, order size) as integers and only then
     divided, as decimals of 11 digits, so the result doesn't depend on the order of
     summation.
 
-    The facts are read once: the order sizes are counted from the same aggregation
-    that the sizes are joined to.  Both branches use all its columns and neither
-    filters it, so the engine shuffles it once and reads it twice.
+    Over rows bucketed by order the sizes and the join with them need no shuffle.
     """
-    lines = facts.groupBy("ord_id", "sub_dt", SKU).agg(F.count(F.lit(1)).alias("n_lines"))
-    sizes = (lines.groupBy(F.col("ord_id").alias("_order"), SKU).agg(F.sum("n_lines").alias("_n"))
-             .groupBy("_order").agg(F.count("_n").alias("_size")))
-    # null-safe, or the engine would filter one branch by its key and shuffle the lines twice
-    sized = lines.join(sizes, F.col("ord_id").eqNullSafe(F.col("_order"))).select(
+    sizes = (lines.select(F.col("ord_id").alias("_order"), SKU).distinct()
+             .groupBy("_order").agg(F.count(F.lit(1)).alias("_size")))
+    sized = lines.join(sizes, F.col("ord_id") == F.col("_order"), "left").select(
         "sub_dt", SKU, "n_lines", F.when(F.col("ord_id").isNull(), F.lit(1)).otherwise(F.col("_size")).alias("n_skus"))
     per_size = sized.groupBy("sub_dt", SKU, "n_skus").agg(F.sum("n_lines").alias("n_lines"))
     share = F.col("n_lines").cast("decimal(20,0)") / F.col("n_skus").cast("decimal(10,0)")

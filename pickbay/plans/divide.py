@@ -13,7 +13,7 @@ from pickbay.operators import division as D
 from pickbay.operators import orders as O
 from pickbay.operators import proportions as P
 from pickbay.scenario import Scenario
-from pickbay.session import stage
+from pickbay.session import stage, stage_bucketed
 from pickbay.sinks import overwrite_partition
 from pickbay.sources.tables import day_scan, partition_scan
 
@@ -21,10 +21,12 @@ from pickbay.sources.tables import day_scan, partition_scan
 class Division:
     """Every relation of the division job, each built on first use.
 
-    Relations with several consumers (the marked catalogue and order facts, the
-    per-order summary, and the per-SKU split, stock and transfers) are written
-    once as Parquet; each consumer reads its columns from there, so order lines,
-    stock and transfers are scanned once each.
+    Relations with several consumers (the marked catalogue, the order facts, and the
+    per-SKU split, stock and transfers) are written once as Parquet; each consumer
+    reads its columns from there, so order lines, stock and transfers are scanned
+    once each.  The order facts, summed per (order, store, SKU), are bucketed by
+    order: marking, pick flags, the split and the proportions then work
+    bucket by bucket and shuffle nothing on the order.
     """
 
     def __init__(self, catalogue: DataFrame, selected: DataFrame, order_lines: DataFrame, stock: DataFrame,
@@ -65,11 +67,16 @@ class Division:
     def marked_facts(self):
         # is_selected comes with the catalogue side of the one facts join
         lines = day_scan(self._input("order_lines"), self.scn.yesterday)
-        return stage(A.assortment_orders(self.marked_catalogue, lines, carry=["is_selected"]), "marked-facts")
+        return A.assortment_orders(self.marked_catalogue, lines, carry=["is_selected"])
+
+    @cached_property
+    def order_facts(self):
+        return stage_bucketed(O.order_sku_facts(self.marked_facts, self.scn.recent_start, self.scn.yesterday),
+                              "order-facts", "ord_id")
 
     @cached_property
     def order_summary(self):
-        return stage(O.order_store_summary(self.marked_facts), "order-summary")
+        return O.order_store_summary(self.order_facts)
 
     @cached_property
     def order_flags(self):
@@ -77,7 +84,7 @@ class Division:
 
     @cached_property
     def split(self):
-        return stage(D.sku_split_sales(self.marked_facts, self.order_flags), "sku-split")
+        return stage(D.sku_split_sales(self.order_facts, self.order_flags), "sku-split")
 
     @cached_property
     def stock(self):
@@ -86,7 +93,7 @@ class Division:
 
     @cached_property
     def recent(self):
-        return D.recent_sales(self.marked_facts, self.scn)
+        return D.recent_sales_of_orders(self.order_facts)
 
     @cached_property
     def transfer(self):

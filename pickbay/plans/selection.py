@@ -15,7 +15,7 @@ from pickbay.operators import orders as O
 from pickbay.operators import pareto as PA
 from pickbay.operators import votes as V
 from pickbay.scenario import Scenario
-from pickbay.session import stage
+from pickbay.session import stage, stage_bucketed
 from pickbay.sinks import overwrite_partition
 from pickbay.sources.tables import day_scan, partition_scan
 
@@ -41,10 +41,15 @@ class Selection:
     def flags(self):
         return A.assortment_flags(self.catalogue)
 
+    @cached_property
+    def order_days(self):
+        # order sizes and the join with them run bucket by bucket
+        return stage_bucketed(O.order_days(self.facts), "order-days", "ord_id")
+
     @cached_property
     def daily(self):
-        # read by the running total (twice: it is range-partitioned) and the day limits
-        return stage(O.daily_order_count(self.facts), "daily-order-count")
+        # read by the histogram and by the cut
+        return stage(O.daily_counts(self.order_days), "daily-order-count")
 
     @cached_property
     def shares(self):

@@ -151,7 +151,7 @@ def q_mark_orders(spark, sf_dir):
 
 
 def q_order_pick_flag(spark, sf_dir):
-    return O.order_pick_flag(Inputs(spark, sf_dir).division.marked_facts)
+    return O.order_pick_flag(Inputs(spark, sf_dir).division.order_facts)
 
 
 def q_sku_split_sales(spark, sf_dir):

@@ -101,6 +101,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Write `df` once as Parquet bucketed by `key` and return the bucketed table:
+    aggregations, windows and joins on the key (and further columns) then run
+    bucket by bucket, without a shuffle.
+
+    One file per bucket, as many buckets as the session has shuffle partitions, so
+    tables staged in one session join bucket to bucket.  A bucket is one task
+    and can't be split: rows per key must be bounded before they come here.
+    The table is known to this session's catalogue only; its files lie under the
+    shared checkpoint location.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = "staged_" + path.rsplit("/", 1)[1].replace("-", "_")
+    (df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", path).saveAsTable(table))
+    return spark.table(table)
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under `path` (one metadata call on the file system)."""
     jvm = spark.sparkContext._jvm
