@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from pickbay.plans import divide, ingest, purchase, selection, verify
 from pickbay.scenario import PurchaseWindow, Scenario
-from pickbay.session import apply_runtime_defaults, ensure_checkpoint_dir, size_shuffles
+from pickbay.session import apply_runtime_defaults, ensure_checkpoint_dir, scratch_scope, size_shuffles
 
 
 FORMATS = ("parquet", "orc", "csv", "tsv", "json")
@@ -99,14 +99,7 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-def main(argv=None, spark: SparkSession | None = None) -> int:
-    a = parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"pickbay-{a.job}").getOrCreate()
-    ensure_checkpoint_dir(spark)
-    apply_runtime_defaults(spark)
-    fmt = a.format
-    size_shuffles(spark, [_split(v, fmt)[1] for k, v in vars(a).items() if k not in OPTIONS and isinstance(v, str)])
-    out_fmt = {"out_format": a.out_format} if a.out_format else {}
+def _run(spark: SparkSession, a, fmt: str, out_fmt: dict) -> None:
     if a.job == "ingest":
         scn = Scenario(run_date=a.date, pid="", ts="")
         ingest.backfill(spark, _read(spark, a.raw, fmt), a.out, scn, fmt=a.out_format or "tsv")
@@ -128,6 +121,18 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
                  "backinfo": a.backinfo, "lifecycle": a.lifecycle, "stock_out": a.stock_out, "dc_info": a.dc_info}
         purchase.run_purchase(a.out, pw, **{f"{d}_dedup": getattr(a, f"{d}_dedup") for d in DEDUP}, **out_fmt,
                               **{k: _read(spark, v, fmt) for k, v in names.items()})
+
+
+def main(argv=None, spark: SparkSession | None = None) -> int:
+    a = parser().parse_args(argv)
+    spark = spark or SparkSession.builder.appName(f"pickbay-{a.job}").getOrCreate()
+    ensure_checkpoint_dir(spark)
+    apply_runtime_defaults(spark)
+    fmt = a.format
+    size_shuffles(spark, [_split(v, fmt)[1] for k, v in vars(a).items() if k not in OPTIONS and isinstance(v, str)])
+    out_fmt = {"out_format": a.out_format} if a.out_format else {}
+    with scratch_scope(spark):
+        _run(spark, a, fmt, out_fmt)
     return 0
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,7 +90,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for one output."""
-    return f"{ensure_checkpoint_dir(spark)}/pickbay-tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_checkpoint_dir(spark)}/pickbay-tables/{name}-{uuid.uuid4().hex[:12]}"
+    for taken in _open_scopes:
+        taken.append(path)
+    return path
+
+
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the scratch folders taken inside when the block ends, also by an error.
+
+    For jobs that write their result: a DataFrame that still reads a staged table
+    must not be used after the block."""
+    taken: list[str] = []
+    _open_scopes.append(taken)
+    try:
+        yield
+    finally:
+        _open_scopes.pop()
+        for path in taken:
+            spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+            fs, jpath = _file_system(spark, path)
+            fs.delete(jpath, True)
+
+
+def _table_name(path: str) -> str:
+    """The catalogue name of a bucketed table staged at `path`."""
+    return "staged_" + path.rsplit("/", 1)[1].replace("-", "_")
+
+
+def _file_system(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -115,16 +150,14 @@ def stage_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, name)
-    table = "staged_" + path.rsplit("/", 1)[1].replace("-", "_")
+    table = _table_name(path)
     (df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", path).saveAsTable(table))
     return spark.table(table)
 
 
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under `path` (one metadata call on the file system)."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = _file_system(spark, path)
     return int(fs.getContentSummary(jpath).getLength()) if fs.exists(jpath) else 0
 
 
