@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SKU, FUTURE = "sku_id", "future_source_store_id"
+#: One line of an order, in units of the 11th digit.
+DIGITS = 10 ** 11
 
 
 def order_sku_facts(marked_facts: DataFrame, recent_start=None, recent_end=None) -> DataFrame:
@@ -96,15 +100,25 @@ def daily_counts(lines: DataFrame) -> DataFrame:
 
     A line weighs 1 / (distinct SKUs of its order); a line without an order weighs
     1.  Lines are counted per (day, SKU, order size) as integers and only then
-    divided, as decimals of 11 digits, so the result doesn't depend on the order of
+    divided, to 11 digits, so the result doesn't depend on the order of
     summation.
 
-    Over rows bucketed by order the sizes and the join with them need no shuffle.
+    An order's size is the largest rank of its SKUs, so the lines are sorted by order
+    once and join nothing; lines without an order are dealt by SKU.  Over rows
+    bucketed by order the sizes need no shuffle.  The counts come out dealt by SKU (a
+    SKU has at most one row per day and order size by then), so a join with the SKUs'
+    flags shuffles them no more.
     """
-    sizes = (lines.select(F.col("ord_id").alias("_order"), SKU).distinct()
-             .groupBy("_order").agg(F.count(F.lit(1)).alias("_size")))
-    sized = lines.join(sizes, F.col("ord_id") == F.col("_order"), "left").select(
+    order = Window.partitionBy("ord_id", "_none")
+    ranked = (lines.withColumn("_none", F.when(F.col("ord_id").isNull(), F.col(SKU)))
+              .withColumn("_rank", F.dense_rank().over(order.orderBy(SKU))))
+    sized = ranked.withColumn("_size", F.max("_rank").over(order)).select(
         "sub_dt", SKU, "n_lines", F.when(F.col("ord_id").isNull(), F.lit(1)).otherwise(F.col("_size")).alias("n_skus"))
     per_size = sized.groupBy("sub_dt", SKU, "n_skus").agg(F.sum("n_lines").alias("n_lines"))
-    share = F.col("n_lines").cast("decimal(20,0)") / F.col("n_skus").cast("decimal(10,0)")
-    return per_size.groupBy("sub_dt", SKU).agg(F.round(F.sum(share), 2).cast("decimal(18,2)").alias("ord_cnt"))
+    # n_lines / n_skus to 11 digits, as whole numbers (parts that can't overflow): decimals of
+    # this width are objects, and there are about as many rows as lines
+    parts = per_size.repartition(SKU).select(
+        "sub_dt", SKU, F.expr("n_lines div n_skus").alias("whole"),
+        F.expr(f"((n_lines % n_skus) * {2 * DIGITS} + n_skus) div (2 * n_skus)").alias("part"))
+    cents = F.sum("whole") * 100 + F.expr(f"(sum(part) + {DIGITS // 200}) div {DIGITS // 100}")
+    return parts.groupBy("sub_dt", SKU).agg((cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)").alias("ord_cnt"))

@@ -15,11 +15,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pickbay.operators.assortment import FUTURE, SKU, can_choose_by_sku, can_choose_flags
-from pickbay.operators.prefix import running_by_value, value_histogram
+from pickbay.operators.prefix import running_by_value
+from pickbay.session import stage
 
 # Narrow enough that comparing the two keeps all four fraction digits: Spark
 # would round the limit to two if both had 38 digits.
@@ -79,23 +80,50 @@ def choosable_skus(flags: DataFrame) -> DataFrame:
     return can_choose_flags(flags).where(F.col("canchoose_flag") == 1).select(SKU).distinct()
 
 
-def _within_limits(rows: DataFrame, limits: DataFrame, tie: list[str]) -> DataFrame:
+@dataclass(frozen=True)
+class DayLimit:
+    """A day's limit: `share` of the day's sum of `counted`, told apart by `names` (literals)."""
+
+    share: Decimal | None
+    counted: Column
+    names: dict
+
+
+def _day_cut(rows: DataFrame, limits: list[DayLimit]) -> DataFrame:
+    """Per day and limit, from one pass over `rows` (sub_dt, ord_cnt, amount, ...): the least count
+    whose SKUs all lie within the limit (`whole`), and the count at which it falls with what comes
+    before (`edge`).  The day's sums come from the histogram, so they need no pass of their own."""
+    nothing = F.lit(0).cast("decimal(18,2)")
+    cells = rows.groupBy("sub_dt", "ord_cnt").agg(
+        F.sum(F.coalesce("amount", nothing)).alias("own"),
+        *[F.sum(x.counted).alias(f"_sum{k}") for k, x in enumerate(limits)])
+    day = Window.partitionBy("sub_dt")
+    larger = day.orderBy(F.desc("ord_cnt")).rowsBetween(Window.unboundedPreceding, -1)
+    limit = [(F.coalesce(F.sum(f"_sum{k}").over(day).cast(CUM_TYPE), nothing) * F.lit(x.share).cast("decimal(4,2)"))
+             .cast(LIMIT_TYPE).alias(f"_limit{k}") for k, x in enumerate(limits)]
+    hist = cells.select("sub_dt", "ord_cnt", "own", F.coalesce(F.sum("own").over(larger), F.lit(0)).cast(CUM_TYPE).alias("before"), *limit)
+    each = hist.select("sub_dt", "ord_cnt", "before", (F.col("before") + F.col("own")).cast(CUM_TYPE).alias("upto"), F.inline(F.array(*[
+        F.struct(*[F.lit(v).alias(c) for c, v in x.names.items()], F.col(f"_limit{k}").alias("limit")) for k, x in enumerate(limits)])))
+    return each.groupBy("sub_dt", *limits[0].names).agg(
+        F.max("limit").alias("limit"),
+        F.min(F.when(F.col("upto") <= F.col("limit"), F.col("ord_cnt"))).alias("whole"),
+        F.max(F.when((F.col("before") <= F.col("limit")) & (F.col("upto") > F.col("limit")),
+                     F.struct("ord_cnt", "before"))).alias("edge"))
+
+
+def _within_limits(rows: DataFrame, limits: list[DayLimit], tie: list[str]) -> DataFrame:
     """The `rows` (sub_dt, ord_cnt, amount, ...) whose running amount is within a
-    limit, once for each row of `limits` (sub_dt, limit, and what else names it).
+    limit, once for each of the day's limits.
 
-    `limits` has a few rows per day, and so has the cut made from it.
+    The rows are read three times (histogram, whole counts, edge), so they are
+    written once; the cut has a row per day and limit.
     """
-    names = [c for c in limits.columns if c != "sub_dt"]
-    hist = value_histogram(rows, "sub_dt", "ord_cnt", F.coalesce("amount", F.lit(0).cast("decimal(18,2)")))
-    before = F.coalesce("before", F.lit(0)).cast(CUM_TYPE)
-    upto = (before + F.col("own")).cast(CUM_TYPE)
-    cut = (hist.join(limits, "sub_dt").groupBy("sub_dt", *names).agg(
-        F.min(F.when(upto <= F.col("limit"), F.col("ord_cnt"))).alias("whole"),
-        F.max(F.when((before <= F.col("limit")) & (upto > F.col("limit")),
-                     F.struct("ord_cnt", before.alias("before")))).alias("edge")))
-    whole = rows.join(cut, "sub_dt").where(F.col("ord_cnt") >= F.col("whole")).select(*rows.columns, *names)
+    names = list(limits[0].names)
+    rows = stage(rows, "pareto-rows")
+    cut = stage(_day_cut(rows, limits), "pareto-cut")
+    whole = rows.join(cut.select("sub_dt", *names, "whole"), "sub_dt").where(F.col("ord_cnt") >= F.col("whole")).select(*rows.columns, *names)
     order = Window.partitionBy("sub_dt", *names).orderBy(*tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = cut.where("edge IS NOT NULL").select("sub_dt", *names, F.col("edge.ord_cnt").alias("ord_cnt"), "edge.before")
+    edge = cut.where("edge IS NOT NULL").select("sub_dt", *names, "limit", F.col("edge.ord_cnt").alias("ord_cnt"), "edge.before")
     inside = F.col("before") + F.coalesce(F.sum("amount").over(order), F.lit(0))
     last = (rows.join(edge, ["sub_dt", "ord_cnt"]).withColumn("_run", inside.cast(CUM_TYPE))
             .where(F.col("_run") <= F.col("limit")).select(*rows.columns, *names))
@@ -104,10 +132,9 @@ def _within_limits(rows: DataFrame, limits: DataFrame, tie: list[str]) -> DataFr
 
 def pareto_pick(daily: DataFrame, flags: DataFrame, share: Decimal | None) -> DataFrame:
     """Joint pick: (sub_dt, sku_id) rows within the day's limit."""
-    rows = daily.join(choosable_skus(flags).withColumn("_ok", F.lit(1)), SKU, "left").select(
+    rows = daily.join(choosable_skus(flags).withColumn("_ok", F.lit(1)).hint("shuffle_hash"), SKU, "left").select(
         "sub_dt", SKU, "ord_cnt", F.when(F.col("_ok") == 1, F.col("ord_cnt")).alias("amount"))
-    limit = (F.sum("ord_cnt") * F.lit(share).cast("decimal(4,2)")).cast(LIMIT_TYPE).alias("limit")
-    picked = _within_limits(rows, daily.groupBy("sub_dt").agg(limit), [SKU])
+    picked = _within_limits(rows, [DayLimit(share, F.col("ord_cnt"), {})], [SKU])
     # only selectable rows carry an amount
     return picked.where("amount IS NOT NULL").select("sub_dt", SKU)
 
@@ -120,7 +147,7 @@ def pareto_pick_by_store(daily: DataFrame, flags: DataFrame, stores: tuple[Store
     to the store's own SKUs as well.
 
     Output (future_source_store_id, store_rank, sub_dt, sku_id).  The day
-    limits are one aggregate, a row per day and store.
+    limits come from the day's histogram, a row per day and store.
     """
     if not stores:
         return daily.sparkSession.createDataFrame(
@@ -131,15 +158,12 @@ def pareto_pick_by_store(daily: DataFrame, flags: DataFrame, stores: tuple[Store
         for p in picks[1:]:
             out = out.unionByName(p)
         return out
-    flagged = daily.join(can_choose_flags(flags), SKU, "left")
-    rows = flagged.select("sub_dt", SKU, F.col(FUTURE).alias("_store"), "ord_cnt",
-                          (F.col("ord_cnt") * F.col("canchoose_flag")).alias("amount"))
-    sums = flagged.groupBy("sub_dt").agg(*[
-        (F.coalesce(F.sum(F.when(F.col(FUTURE) == s.store_id, F.col("ord_cnt"))), F.lit(0).cast("decimal(18,2)"))
-         * F.lit(s.share).cast("decimal(4,2)")).cast(LIMIT_TYPE).alias(f"_limit{s.rank}") for s in stores])
-    limits = sums.select("sub_dt", F.inline(F.array(*[
-        F.struct(F.lit(s.store_id).alias(FUTURE), F.lit(s.rank).alias("store_rank"), F.col(f"_limit{s.rank}").alias("limit"))
-        for s in stores])))
+    # _any: the SKU may be selected for some store.  A SKU has few stores: its side is
+    # the one to hash, and the day counts, dealt by SKU already, aren't sorted
+    choose = can_choose_flags(flags).withColumn("_any", F.max("canchoose_flag").over(Window.partitionBy(SKU)))
+    rows = daily.join(choose.hint("shuffle_hash"), SKU, "left").select(
+        "sub_dt", SKU, F.col(FUTURE).alias("_store"), "ord_cnt", (F.col("ord_cnt") * F.col("canchoose_flag")).alias("amount"), "_any")
+    limits = [DayLimit(s.share, F.when(F.col("_store") == s.store_id, F.col("ord_cnt")), {FUTURE: s.store_id, "store_rank": s.rank})
+              for s in stores]
     picked = _within_limits(rows, limits, [SKU, "_store"])
-    return picked.select(FUTURE, "store_rank", "sub_dt", SKU).join(choosable_skus(flags), SKU, "left_semi").select(
-        FUTURE, "store_rank", "sub_dt", SKU)
+    return picked.where("_any = 1").select(FUTURE, "store_rank", "sub_dt", SKU)

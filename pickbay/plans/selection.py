@@ -43,13 +43,18 @@ class Selection:
 
     @cached_property
     def order_days(self):
-        # order sizes and the join with them run bucket by bucket
+        # order sizes run bucket by bucket
         return stage_bucketed(O.order_days(self.facts), "order-days", "ord_id")
 
+    @cached_property
+    def counts(self):
+        # read once and not written: the picks write them with the SKUs' flags
+        return O.daily_order_count(self.facts)
+
     @cached_property
     def daily(self):
-        # read by the histogram and by the cut
-        return stage(O.daily_counts(self.order_days), "daily-order-count")
+        # read by the running count and by the day's total
+        return stage(self.counts, "daily-order-count")
 
     @cached_property
     def shares(self):
@@ -61,11 +66,11 @@ class Selection:
 
     @cached_property
     def joint_picks(self):
-        return PA.pareto_pick(self.daily, self.flags, self.params.joint_share)
+        return PA.pareto_pick(self.counts, self.flags, self.params.joint_share)
 
     @cached_property
     def store_picks(self):
-        return PA.pareto_pick_by_store(self.daily, self.flags, self.params.stores)
+        return PA.pareto_pick_by_store(self.counts, self.flags, self.params.stores)
 
     @cached_property
     def selected(self):

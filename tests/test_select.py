@@ -9,6 +9,7 @@ from pickbay.operators import orders as O
 from pickbay.operators import pareto as PA
 from pickbay.operators import votes as V
 from pickbay.scenario import Scenario
+from pyspark.sql import functions as F
 
 DAY = dt.date(2000, 12, 30)
 SCN = Scenario(run_date=dt.date(2001, 1, 1), pid="p", ts="t")
@@ -203,3 +204,23 @@ def test_per_store_pick_restricted_to_store(spark):
            for r in PA.pareto_pick_by_store(df, flags2, stores2, restrict_to_store=True).collect()}
     # 39 with share 1.00: limit 5, runs b=4, d=5 -> both, and never SKUs of 38
     assert got == {("38", "a"), ("39", "b"), ("39", "d")}
+
+
+def test_picks_read_the_day_counts_once(spark):
+    """The pick writes its rows once; what it returns reads no day count again."""
+    daily = _daily(spark, [(DAY, "a", "5.00"), (DAY, "b", "4.00")]).withColumn("ord_cnt", F.col("ord_cnt") + F.lit(0)).withColumn(
+        "ord_cnt", F.col("ord_cnt").cast("decimal(18,2)"))
+    flags = _flags(spark, [("a", "38", 1, 1), ("b", "39", 1, 1)])
+    stores = (PA.StoreShare("38", 0.5, Decimal("0.65"), 1), PA.StoreShare("39", 0.3, Decimal("1.00"), 2))
+    for picks in (PA.pareto_pick(daily, flags, Decimal("0.65")), PA.pareto_pick_by_store(daily, flags, stores)):
+        plan = picks._jdf.queryExecution().optimizedPlan().toString()
+        assert "LocalRelation" not in plan and "LogicalRDD" not in plan and plan.count("parquet") >= 2, plan
+
+
+def test_daily_counts_in_whole_numbers(spark):
+    """1/3 and 2/3 add up to whole lines, halves of a cent round up, large counts don't overflow."""
+    rows = [("o3", DAY, s, n) for s, n in (("x", 1), ("y", 2), ("z", 10 ** 12))] + [(None, DAY, "x", 4)]
+    rows += [("o8", DAY, f"e{k}", 1) for k in range(8)] + [("o200", DAY, f"h{k}", 1) for k in range(200)]
+    got = {r.sku_id: r.ord_cnt for r in O.daily_counts(spark.createDataFrame(rows, "ord_id string, sub_dt date, sku_id string, n_lines long")).collect()}
+    assert got["x"] == Decimal("4.33") and got["y"] == Decimal("0.67") and got["z"] == Decimal("333333333333.33")
+    assert got["e0"] == Decimal("0.13") and got["h0"] == Decimal("0.01")
