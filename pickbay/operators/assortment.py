@@ -83,13 +83,15 @@ def assortment_orders(catalogue: DataFrame, order_lines: DataFrame, carry=()) ->
 
     The reference writes a left join followed by `out_wh_tm is not null`,
     which is an inner join; it is written as one here.  Both sides are scans,
-    so a SKU holding a large share of the lines is split by AQE's skew join
-    (or the catalogue is broadcast when it measures small).
+    so a SKU holding a large share of the lines is split by AQE's skew join.
+    The catalogue grows with the input and its files are a fraction of its rows
+    (4 million rows measure under 10 MB), so it is never broadcast by file size:
+    both sides are dealt by (store, SKU) and the catalogue's part is hashed.
     """
     a = catalogue.select(SKU, F.col(CURRENT).alias("store_id"), FUTURE, *carry)
     b = sold_lines(order_lines).select(SKU, "store_id", F.col("parent_sale_ord_id").alias("ord_id"), "sale_qtty",
                                        day_of("out_wh_tm").alias("sub_dt"))
-    return (a.join(b, ["store_id", SKU], "inner")
+    return (a.hint("shuffle_hash").join(b, ["store_id", SKU], "inner")
             .where(F.col("sub_dt").isNotNull())
             .select(SKU, FUTURE, "sub_dt", "ord_id", "sale_qtty", *carry))
 

@@ -130,3 +130,28 @@ def test_the_selection_job_by_coverage(spark):
     got = spark.read.parquet(f"{root}/selected")
     row = cover.covered_orders(i.selection.facts, got).first()
     assert row.n_covered >= 0.2 * row.n_orders and got.count() == i.selection.covering.count()
+
+
+def test_nothing_is_broadcast_by_size(spark, monkeypatch):
+    """A round's SKUs and baskets are broadcast by their number of rows, the rest not at all; the result is the same."""
+    from pickbay.operators import assortment as A
+    from pickbay.registry import Inputs
+    from conftest import SF_SMALL
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "32m"
+    orders, skus = noise(11, 300, 40)
+    plans, stage = {}, cover.stage
+
+    def kept(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, name)
+
+    monkeypatch.setattr(cover, "stage", kept)
+    monkeypatch.setattr(cover, "BROADCAST_ROWS", 0)
+    got = cover.select_cover(facts_of(spark, orders), skus_of(spark, skus), Decimal("0.6"))
+    assert {r.sku_id for r in got.collect()} == plain_cover(orders, set(skus), Decimal("0.6"))
+    assert len(plans["cover-state"]) > 1
+    for name in ("cover-lines", "cover-baskets", "cover-members", "cover-state", "cover-gains"):
+        assert not any("BroadcastHashJoin" in p for p in plans[name]), name
+    i = Inputs(spark, SF_SMALL)
+    plan = A.assortment_orders(i.catalogue, i.order_lines)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
