@@ -224,3 +224,14 @@ def test_daily_counts_in_whole_numbers(spark):
     got = {r.sku_id: r.ord_cnt for r in O.daily_counts(spark.createDataFrame(rows, "ord_id string, sub_dt date, sku_id string, n_lines long")).collect()}
     assert got["x"] == Decimal("4.33") and got["y"] == Decimal("0.67") and got["z"] == Decimal("333333333333.33")
     assert got["e0"] == Decimal("0.13") and got["h0"] == Decimal("0.01")
+
+
+def test_union_votes_count_the_days_once(spark):
+    """All picks and the recent ones are two reads of the written rows, not two runs of the day counts."""
+    lines = [(f"o{k}", f"s{k % 5}", DAY) for k in range(40)]
+    facts = spark.createDataFrame(lines, "ord_id string, sku_id string, sub_dt date")
+    flags = _flags(spark, [(f"s{k}", "38", 1, 1) for k in range(5)])
+    votes = V.union_votes(PA.pareto_pick(O.daily_order_count(facts), flags, Decimal("1.00")), SCN)
+    plan = votes._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "LocalRelation" not in plan and "dense_rank" not in plan
+    assert {r.sku_id: r.re_times for r in votes.collect()} == {f"s{k}": 1 + SCN.recent_bonus for k in range(5)}
