@@ -92,11 +92,13 @@ def order_days(facts: DataFrame) -> DataFrame:
 
 
 def daily_order_count(facts: DataFrame) -> DataFrame:
-    return daily_counts(order_days(facts))
+    return daily_counts(facts.select("ord_id", "sub_dt", SKU))
 
 
 def daily_counts(lines: DataFrame) -> DataFrame:
-    """Weighted order count per (ship day, SKU), rounded to 2 decimals, from :func:`order_days`.
+    """Weighted order count per (ship day, SKU), rounded to 2 decimals, from :func:`order_days`
+    or from the order lines themselves (no `n_lines`: each counts once).  Lines of an order
+    rarely repeat, so summing them first costs a shuffle and two aggregations and saves no rows.
 
     A line weighs 1 / (distinct SKUs of its order); a line without an order weighs
     1.  Lines are counted per (day, SKU, order size) as integers and only then
@@ -104,17 +106,18 @@ def daily_counts(lines: DataFrame) -> DataFrame:
     summation.
 
     An order's size is the largest rank of its SKUs, so the lines are sorted by order
-    once and join nothing; lines without an order are dealt by SKU.  Over rows
+    once and join nothing; lines without an order are dealt by SKU and day.  Over rows
     bucketed by order the sizes need no shuffle.  The counts come out dealt by SKU (a
     SKU has at most one row per day and order size by then), so a join with the SKUs'
     flags shuffles them no more.
     """
     order = Window.partitionBy("ord_id", "_none")
-    ranked = (lines.withColumn("_none", F.when(F.col("ord_id").isNull(), F.col(SKU)))
+    counted = "n_lines" in lines.columns
+    ranked = (lines.withColumn("_none", F.when(F.col("ord_id").isNull(), F.xxhash64(SKU, "sub_dt")))
               .withColumn("_rank", F.dense_rank().over(order.orderBy(SKU))))
-    sized = ranked.withColumn("_size", F.max("_rank").over(order)).select(
-        "sub_dt", SKU, "n_lines", F.when(F.col("ord_id").isNull(), F.lit(1)).otherwise(F.col("_size")).alias("n_skus"))
-    per_size = sized.groupBy("sub_dt", SKU, "n_skus").agg(F.sum("n_lines").alias("n_lines"))
+    sized = ranked.withColumn("_size", F.max("_rank").over(order)).withColumn(
+        "n_skus", F.when(F.col("ord_id").isNull(), F.lit(1)).otherwise(F.col("_size")))
+    per_size = sized.groupBy("sub_dt", SKU, "n_skus").agg(F.sum("n_lines" if counted else F.lit(1)).alias("n_lines"))
     # n_lines / n_skus to 11 digits, as whole numbers (parts that can't overflow): decimals of
     # this width are objects, and there are about as many rows as lines
     parts = per_size.repartition(SKU).select(

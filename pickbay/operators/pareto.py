@@ -92,11 +92,15 @@ class DayLimit:
 def _day_cut(rows: DataFrame, limits: list[DayLimit]) -> DataFrame:
     """Per day and limit, from one pass over `rows` (sub_dt, ord_cnt, amount, ...): the least count
     whose SKUs all lie within the limit (`whole`), and the count at which it falls with what comes
-    before (`edge`).  The day's sums come from the histogram, so they need no pass of their own."""
+    before (`edge`).  The day's sums come from the histogram, so they need no pass of their own; rows
+    alike are counted as whole numbers first, since few (day, count) cells hold more than two amounts."""
     nothing = F.lit(0).cast("decimal(18,2)")
-    cells = rows.groupBy("sub_dt", "ord_cnt").agg(
-        F.sum(F.coalesce("amount", nothing)).alias("own"),
-        *[F.sum(x.counted).alias(f"_sum{k}") for k, x in enumerate(limits)])
+    counted = [x.counted.alias(f"_counted{k}") for k, x in enumerate(limits)]
+    alike = rows.groupBy("sub_dt", "ord_cnt", F.coalesce("amount", nothing).alias("amount"), *counted).agg(F.count(F.lit(1)).alias("n"))
+    n = F.col("n").cast("decimal(18,0)")
+    cells = alike.groupBy("sub_dt", "ord_cnt").agg(
+        F.sum(F.col("amount") * n).cast(CUM_TYPE).alias("own"),
+        *[F.sum(F.col(f"_counted{k}") * n).cast(CUM_TYPE).alias(f"_sum{k}") for k, _ in enumerate(limits)])
     day = Window.partitionBy("sub_dt")
     larger = day.orderBy(F.desc("ord_cnt")).rowsBetween(Window.unboundedPreceding, -1)
     limit = [(F.coalesce(F.sum(f"_sum{k}").over(day).cast(CUM_TYPE), nothing) * F.lit(x.share).cast("decimal(4,2)"))

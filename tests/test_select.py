@@ -235,3 +235,30 @@ def test_union_votes_count_the_days_once(spark):
     plan = votes._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" not in plan and "LocalRelation" not in plan and "dense_rank" not in plan
     assert {r.sku_id: r.re_times for r in votes.collect()} == {f"s{k}": 1 + SCN.recent_bonus for k in range(5)}
+
+
+def test_daily_count_shuffles_lines_by_order_and_by_sku_only(spark):
+    """Lines go to their order's sizes as they are: one shuffle by order, one per order size, one by SKU."""
+    facts = spark.createDataFrame([("o1", "x", DAY), ("o1", "x", DAY), ("o1", "y", DAY), (None, "x", DAY), (None, "x", DAY),
+                                   ("o2", "y", None), ("o2", None, DAY)], "ord_id string, sku_id string, sub_dt date")
+    counts = O.daily_order_count(facts)
+    plan = counts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange hashpartitioning") == 3, plan
+    # lines without an order are dealt by SKU and day, as one hot SKU may hold many
+    assert "xxhash64(sku_id" in plan and "sub_dt" in plan.split("xxhash64(", 1)[1].split(")", 1)[0]
+    got = {(r.sub_dt, r.sku_id): r.ord_cnt for r in counts.collect()}
+    summed = {(r.sub_dt, r.sku_id): r.ord_cnt for r in O.daily_counts(O.order_days(facts)).collect()}
+    assert got == summed and got[DAY, "x"] == Decimal("3.00") and got[DAY, "y"] == Decimal("0.50")
+
+
+def test_day_cut_counts_rows_alike_before_it_adds_decimals(spark):
+    rows = spark.createDataFrame([(DAY, "5.00", "5.00")] * 2 + [(DAY, "5.00", None), (DAY, "2.00", "2.00"), (DAY, None, None)],
+                                 "sub_dt date, ord_cnt string, amount string")
+    rows = rows.select("sub_dt", *[F.col(c).cast("decimal(18,2)").alias(c) for c in ("ord_cnt", "amount")])
+    cut = PA._day_cut(rows, [PA.DayLimit(Decimal("0.65"), F.col("ord_cnt"), {})])
+    r, = cut.collect()
+    # 0.65 * 17 = 11.05: the two rows of 5 fit, and so does the 2 no longer
+    assert (r.limit, r.whole, r.edge.ord_cnt, r.edge.before) == (Decimal("11.05"), Decimal("5.00"), Decimal("2.00"), Decimal("10.00"))
+    plan = cut._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    first = [x for x in plan.splitlines() if "HashAggregate" in x and "partial_" in x][-1]
+    assert "partial_count" in first and "partial_sum" not in first, first
